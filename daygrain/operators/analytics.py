@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daygrain.functions import (
@@ -20,10 +21,8 @@ from daygrain.operators.series import (
     block_number,
     rows_back,
     running,
-    whole,
     with_preceding_rows,
 )
-from pyspark.sql import Window as W
 
 
 def trend_deviation(
@@ -81,25 +80,29 @@ def sigma_flags(
 
 
 def temp_ranks(
-    df: DataFrame, series: str = "city", time: str = "date", value: str = "temp_max"
+    df: DataFrame,
+    series: str = "city",
+    time: str = "date",
+    value: str = "temp_max",
+    block_days: int | None = None,
 ) -> DataFrame:
     """Percent rank and quartile of each day within its series.
 
     Missing values sort last. The day breaks ties for the quartile only: equal
-    values share a percent rank.
+    values share a percent rank. With ``block_days`` a series is cut into bands
+    of values, see :func:`_ranks_in_bands`.
     """
-    by_value = W.partitionBy(series).orderBy(F.col(value).asc_nulls_last())
-    by_value_and_day = W.partitionBy(series).orderBy(
-        F.col(value).asc_nulls_last(), F.col(time).asc_nulls_last()
-    )
-    ranked = df.select(
-        series,
-        time,
-        "temp_max",
-        "temp_min",
-        F.ntile(4).over(by_value_and_day).cast("bigint").alias("temp_quartile"),
-        F.percent_rank().over(by_value).alias("_rank"),
-    )
+    rows = df.select(series, time, "temp_max", "temp_min")
+    if block_days:
+        ranked = _ranks_in_bands(rows, series, time, value, block_days)
+    else:
+        by_value = W.partitionBy(series).orderBy(F.col(value).asc_nulls_last())
+        by_value_and_day = by_value.orderBy(F.col(value).asc_nulls_last(), F.col(time).asc())
+        ranked = rows.select(
+            "*",
+            F.ntile(4).over(by_value_and_day).cast("bigint").alias("temp_quartile"),
+            F.percent_rank().over(by_value).alias("_rank"),
+        )
     return ranked.select(
         series,
         time,
@@ -111,6 +114,49 @@ def temp_ranks(
     )
 
 
+def _ranks_in_bands(
+    rows: DataFrame, series: str, time: str, value: str, block_days: int, bands: int = 64
+) -> DataFrame:
+    """Rank within bands of equal width and add the rows in the bands below.
+
+    A band depends only on the least and greatest value of its series, so it comes
+    out the same however often it is computed, and equal values share a band.
+    """
+    limits = {"_low": F.min(value), "_high": F.max(value), "_n": F.count(F.lit(1))}
+    rows = attach_series_stats(rows, series, limits, time, block_days)
+    position = F.floor((F.col(value) - F.col("_low")) / (F.col("_high") - F.col("_low")) * bands)
+    band = (
+        F.when(F.col(value).isNull(), F.lit(bands + 1))
+        .when(F.col("_high") > F.col("_low"), position)
+        .otherwise(F.lit(0))
+    )
+    rows = rows.withColumn("_band", band.cast("int"))
+    below = rows.groupBy(series, "_band").agg(F.count(F.lit(1)).alias("n_band"))
+    below = below.select(
+        series,
+        "_band",
+        F.coalesce(F.sum("n_band").over(before(series, "_band")), F.lit(0)).alias("_below"),
+    )
+    in_band = W.partitionBy(series, "_band").orderBy(F.col(value).asc_nulls_last())
+    in_band_by_day = in_band.orderBy(F.col(value).asc_nulls_last(), F.col(time).asc())
+    rows = rows.join(below, [series, "_band"]).select(
+        *[c for c in rows.columns if c != "_band"],
+        (F.col("_below") + F.rank().over(in_band) - 1).alias("_smaller"),
+        (F.col("_below") + F.row_number().over(in_band_by_day) - 1).alias("_index"),
+    )
+    # The first n % 4 quarters hold one row more than the others.
+    small = F.floor(F.col("_n") / 4)
+    surplus = F.col("_n") % 4
+    in_large = surplus * (small + 1)
+    quarter = F.when(
+        F.col("_index") < in_large, F.floor(F.col("_index") / (small + 1))
+    ).otherwise(surplus + F.floor((F.col("_index") - in_large) / F.when(small > 0, small)))
+    share = F.when(F.col("_n") > 1, F.col("_smaller") / (F.col("_n") - 1)).otherwise(F.lit(0.0))
+    return rows.select(
+        "*", (quarter + 1).cast("bigint").alias("temp_quartile"), share.alias("_rank")
+    )
+
+
 def rain_streaks(
     df: DataFrame, series: str = "city", time: str = "date", block_days: int | None = None
 ) -> DataFrame:

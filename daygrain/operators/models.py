@@ -41,9 +41,13 @@ def moving_avg(
 
     Rows that lack any of the three are left out before the frames are built.
     """
+    complete = F.lit(True)
+    for c in TEMPERATURES:
+        complete = complete & F.col(c).isNotNull()
+    # Written as separate NOT NULL tests, which the Parquet scan takes over.
     rows = df.select(
         series, time, *TEMPERATURES, "precipitation_mm", "wind_speed_max_kmh"
-    ).dropna(subset=list(TEMPERATURES))
+    ).filter(complete)
     rows, keys = with_preceding_rows(rows, series, time, window - 1, block_days)
     frame = rows_back(keys, time, window - 1)
     averages = [

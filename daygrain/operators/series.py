@@ -21,7 +21,8 @@ MAX_SERIES_DAYS = 200_000
 
 
 def ordered(keys: str | list[str], time: str) -> WindowSpec:
-    return W.partitionBy(keys).orderBy(F.col(time).asc_nulls_last())
+    # The key is never NULL; the default order is the one tables are sorted by on write.
+    return W.partitionBy(keys).orderBy(F.col(time).asc())
 
 
 def rows_back(keys: str | list[str], time: str, preceding: int) -> WindowSpec:

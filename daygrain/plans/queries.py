@@ -283,6 +283,10 @@ QUERIES: dict[str, Query] = {
     "dry_spell_blocks": _on_obs(models.dry_spell, block_days=TEST_BLOCK_DAYS),
     "trend_deviation_blocks": _on_obs(analytics.trend_deviation, block_days=TEST_BLOCK_DAYS),
     "sigma_flags_blocks": _on_obs(analytics.sigma_flags, block_days=TEST_BLOCK_DAYS),
+    "temp_ranks_blocks": _on_obs(analytics.temp_ranks, block_days=TEST_BLOCK_DAYS),
+    "temp_distribution_blocks": _on_obs(
+        dashboard.temp_distribution, block_days=TEST_BLOCK_DAYS
+    ),
     "rain_streaks_blocks": _on_obs(analytics.rain_streaks, block_days=TEST_BLOCK_DAYS),
     # ... and with one window per series in place of the broadcast
     "temp_anomaly_many_series": _on_obs(models.temp_anomaly, max_broadcast_rows=0),
@@ -290,13 +294,13 @@ QUERIES: dict[str, Query] = {
     # analytics
     "trend_deviation": _windowed_obs(analytics.trend_deviation),
     "sigma_flags": _on_obs(analytics.sigma_flags),
-    "temp_ranks": _on_obs(analytics.temp_ranks),
+    "temp_ranks": _windowed_obs(analytics.temp_ranks),
     "rain_streaks": _windowed_obs(analytics.rain_streaks),
     "rain_streaks_top10": _windowed_obs(analytics.longest_rain_streaks),
     "compare_series": _on_obs(analytics.compare_series, names=COMPARED),
     "weather_descriptions": _on_obs(analytics.weather_descriptions),
     "trend_deviation_ship": _windowed_ship(analytics.trend_deviation),
-    "temp_ranks_ship": lambda spark, d: analytics.temp_ranks(daily_ship(spark, d)),
+    "temp_ranks_ship": _windowed_ship(analytics.temp_ranks),
     "rain_streaks_ship": _windowed_ship(analytics.rain_streaks),
     # ingest, tables
     "flatten_payloads": flatten_payloads,

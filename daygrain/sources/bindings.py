@@ -27,7 +27,9 @@ def daily_obs(spark: SparkSession, data_dir: str) -> DataFrame:
     )
     measured = F.when(F.col("event_type") != "error", F.col("value"))
     bought = F.when(F.col("event_type") == "purchase", F.col("value"))
-    only_signup = (F.col("n") == 1) & (F.col("first_type") == "signup")
+    # Only numbers are aggregated: text in an aggregation buffer would force a sort.
+    signup = F.when(F.col("event_type") == "signup", F.lit(1))
+    only_signup = (F.col("n") == 1) & (F.col("n_signup") == 1)
     daily = events.groupBy("user_id", "date").agg(
         F.max(measured).alias("temp_max"),
         F.min(measured).alias("temp_min"),
@@ -37,9 +39,9 @@ def daily_obs(spark: SparkSession, data_dir: str) -> DataFrame:
         F.min("k").alias("k_min"),
         F.max("ts").alias("load_ts"),
         F.count(F.lit(1)).alias("n"),
-        F.min("event_type").alias("first_type"),
+        F.count(signup).alias("n_signup"),
     )
-    rain = F.when(~F.coalesce(only_signup, F.lit(False)), round_half_up(F.coalesce("bought", F.lit(0.0)), 2))
+    rain = F.when(~only_signup, round_half_up(F.coalesce("bought", F.lit(0.0)), 2))
     return daily.select(
         F.concat(F.lit("S_"), F.col("user_id").cast("string")).alias("city"),
         (25 + F.col("user_id") % 25).cast("double").alias("latitude"),

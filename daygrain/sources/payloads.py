@@ -25,6 +25,13 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAYLOAD).option("mode", "FAILFAST").json(path)
 
 
+def stream_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """New files of a landing folder, each with the fetch it came from."""
+    reader = spark.readStream.schema(PAYLOAD).option("mode", "FAILFAST")
+    fetch = F.struct("_metadata.file_modification_time", "_metadata.file_path")
+    return reader.json(path).select("*", fetch.alias("fetch"))
+
+
 def parse_payloads(df: DataFrame, column: str = "payload") -> DataFrame:
     """Parse payloads that arrive as a string column."""
     parsed = F.from_json(column, PAYLOAD, {"mode": "FAILFAST"})
@@ -60,9 +67,10 @@ def flatten_daily(payloads: DataFrame, strict: bool = True) -> DataFrame:
             F.lit("payload array shorter than time for "), F.coalesce("city", F.lit("?"))
         )
         zipped = F.when(short, F.raise_error(message)).otherwise(zipped)
-    rows = payloads.select("city", F.inline(zipped))
+    carried = [c for c in payloads.columns if c != "daily"]
+    rows = payloads.select(*carried, F.inline(zipped))
     return rows.select(
-        "city",
+        *carried,
         F.to_date("time").alias("date"),
         *[F.col(source).alias(target) for source, target in PAYLOAD_FIELDS.items()],
     )
@@ -86,6 +94,18 @@ def stage_batch(payloads: DataFrame, series: DataFrame, strict: bool = True) ->
     return conform(attach_series(flatten_daily(payloads, strict), series))
 
 
+def newest_fetch(rows: DataFrame) -> DataFrame:
+    """Where several fetches hold the same day, keep the values of the newest.
+
+    This is what loading the fetches one after the other would leave.
+    """
+    values = list(PAYLOAD_FIELDS.values())
+    newest = rows.groupBy("city", "date").agg(
+        F.max_by(F.struct(*values), "fetch").alias("values")
+    )
+    return newest.select("city", "date", "values.*")
+
+
 def pack_daily(df: DataFrame) -> DataFrame:
     """The inverse of :func:`flatten_daily`: one payload per series and month.
 

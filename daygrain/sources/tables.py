@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampNTZType
-from pyspark.sql.types import DateType
+from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType
 
 from daygrain import schemas
-from daygrain.operators.checks import require_unique
+from daygrain.operators.checks import CheckFailed
 from daygrain.operators.upsert import upsert
 
 #: Named tables and their schemas.
@@ -68,25 +68,40 @@ def current_version(spark: SparkSession, path: str) -> str | None:
     return f"{path}/{_VERSION}{done[-1]:08d}" if done else None
 
 
-def publish(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> str:
+def publish(
+    df: DataFrame, path: str, sort_by: Sequence[str] = (), rebalance: bool = False
+) -> str:
     """Write a full rebuild as a new version and return its folder.
 
     A version becomes the current one when its job commits, so readers see the
     old or the new table, never a part, and a failed build leaves the old one.
-    ``rebalance`` gives files of the advisory size and splits a hot partition;
-    rows are sorted within files only.
+    Rows are sorted within files only; after a window over the same columns that
+    sort is free. Adaptive execution already sizes the partitions of a plan that
+    shuffles; ``rebalance`` adds a shuffle for one that does not.
     """
     spark = df.sparkSession
     taken = _versions(spark, path)
     number = taken[-1][0] + 1 if taken else 1
     target = f"{path}/{_VERSION}{number:08d}"
-    out = df.hint("rebalance")
+    out = df.hint("rebalance") if rebalance else df
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     out.write.mode("errorifexists").parquet(target)
     return target
 
 
+def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete all but the newest ``keep`` committed versions; returns the folders."""
+    if keep < 1:
+        raise ValueError("keep must be at least 1")
+    fs, _, jvm = _filesystem(spark, path)
+    done = [number for number, committed in _versions(spark, path) if committed]
+    gone = [f"{path}/{_VERSION}{number:08d}" for number in done[:-keep]]
+    for folder in gone:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+    return gone
+
+
 def load(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Read the current version of a published table."""
     version = current_version(spark, path)
@@ -147,20 +162,38 @@ def upsert_observations(
     A batch that repeats a key is refused.
     """
     keys = list(schemas.KEYS)
-    require_unique(batch, keys)
-    if not path_exists(spark, path):
-        empty = spark.createDataFrame([], schemas.OBSERVATIONS)
-        _write_months(upsert(empty, batch, keys, load_ts, touch_on_update), path)
-        return
-    # The distinct months of a batch are bounded by the calendar, not by its rows.
-    months = [
-        r.month for r in batch.select(F.trunc("date", "month").alias("month")).distinct().collect()
-    ]
-    schema = StructType(schemas.OBSERVATIONS.fields + [_MONTH])
-    touched = (
-        spark.read.schema(schema).parquet(path).filter(F.col("month").isin(months)).drop("month")
+    # A batch is a few weeks of days. It is parsed once and spills to disk if it must.
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        months = _months_of(batch, keys)
+        if path_exists(spark, path):
+            schema = StructType(schemas.OBSERVATIONS.fields + [_MONTH])
+            stored = spark.read.schema(schema).parquet(path)
+            target = stored.filter(F.col("month").isin(months)).drop("month")
+        else:
+            target = spark.createDataFrame([], schemas.OBSERVATIONS)
+        _write_months(upsert(target, batch, keys, load_ts, touch_on_update), path)
+    finally:
+        batch.unpersist()
+
+
+def _months_of(batch: DataFrame, keys: list[str]) -> list:
+    """Months of a batch, in the same pass that refuses repeated keys.
+
+    The set is bounded by the calendar, not by the rows of the batch.
+    """
+    seen = (
+        batch.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(
+            F.collect_set(F.trunc("date", "month")).alias("months"),
+            F.max_by(F.concat_ws(", ", *keys), F.when(F.col("n") > 1, F.col("n"))).alias("twice"),
+        )
+        .first()
     )
-    _write_months(upsert(touched, batch, keys, load_ts, touch_on_update), path)
+    if seen.twice is not None:
+        raise CheckFailed(f"duplicate key in batch: {seen.twice}")
+    return seen.months
 
 
 # --------------------------------------------------------------------------
