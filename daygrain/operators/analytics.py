@@ -15,7 +15,7 @@ from daygrain.functions import (
     round_half_up,
     sigma_flag,
 )
-from daygrain.operators.joins import BROADCAST_ROWS, attach_series_stats
+from daygrain.operators.joins import attach_series_stats
 from daygrain.operators.series import (
     before,
     block_number,
@@ -58,7 +58,7 @@ def sigma_flags(
     value: str = "temp_max",
     k: float = 2.0,
     block_days: int | None = None,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Flag days more than ``k`` sample standard deviations from the series mean.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.functions import round_half_up
-from daygrain.operators.joins import BROADCAST_ROWS, attach_series_stats
+from daygrain.operators.joins import attach_series_stats
 
 
 def between_days(df: DataFrame, start: str, end: str, time: str = "date") -> DataFrame:
@@ -89,17 +89,22 @@ def rain_temp_points(rolling_precip: DataFrame) -> DataFrame:
 
 
 def rain_temp_relation(points: DataFrame, series: str = "city") -> DataFrame:
-    """Correlation and slope of temperature over rolling rain, per series."""
+    """Correlation and slope of temperature over rolling rain, per series.
+
+    Both are NULL where they are undefined: a series without any variation, for
+    instance without rain. (The built-in ``corr`` divides by zero there.)
+    """
     y, x = F.col("temp_max"), F.col("precip_7day_rolling_sum")
+    spread = F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x))
     return points.groupBy(series).agg(
         F.count(F.lit(1)).alias("n_points"),
-        round_half_up(F.corr(y, x), 4).alias("correlation"),
+        round_half_up(F.try_divide(F.regr_sxy(y, x), spread), 4).alias("correlation"),
         round_half_up(F.regr_slope(y, x), 4).alias("slope"),
     )
 
 
 def _fenced(
-    df: DataFrame, series: str, value: str, time: str, block_days, max_broadcast_rows: int
+    df: DataFrame, series: str, value: str, time: str, block_days, max_broadcast_rows
 ) -> DataFrame:
     quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
     stats = {"_q": quartiles, "_low": F.min(value), "_high": F.max(value)}
@@ -117,7 +122,7 @@ def temp_distribution(
     time: str = "date",
     value: str = "temp_max",
     block_days: int | None = None,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Box plot of each series: five numbers, fences and number of outliers.
 
@@ -147,7 +152,7 @@ def temp_outliers(
     time: str = "date",
     value: str = "temp_max",
     block_days: int | None = None,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """The single days that lie outside the box-plot fences of their series."""
     fenced = _fenced(df, series, value, time, block_days, max_broadcast_rows)

@@ -59,9 +59,9 @@ def _usable(model: DataFrame, min_obs: int, on_error: str) -> DataFrame:
 
 
 def _with_line(model: DataFrame) -> DataFrame:
-    slope = F.col("sxy") / F.col("sxx")
-    residual = F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")
-    variance = F.greatest(residual, F.lit(0.0)) / (F.col("n") - 2)
+    slope = F.try_divide("sxy", "sxx")
+    residual = F.col("syy") - F.col("sxy") * slope
+    variance = F.try_divide(F.greatest(residual, F.lit(0.0)), F.col("n") - 2)
     return model.withColumn("slope", slope).withColumn("variance", variance)
 
 

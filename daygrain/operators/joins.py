@@ -28,14 +28,16 @@ def attach_series_stats(
     stats: Mapping[str, Column],
     time: str = "date",
     block_days: int | None = None,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Give every row the aggregates of its own series.
 
     Three plans, equal results:
 
-    * few series (counted): aggregate, broadcast, and do not move the rows;
-    * many series: one window over each series, that is one shuffle on the key;
+    * by default one window over each series: one scan, one shuffle on the key;
+    * ``max_broadcast_rows`` set: count the series, and where they fit, aggregate and
+      broadcast, so that the rows do not move at all. This reads the input again,
+      which pays off on a stored table rather than on a derived one;
     * ``block_days`` set: aggregate, then join on (series, calendar block), which
       splits a long series over several tasks.
     """
@@ -49,7 +51,9 @@ def attach_series_stats(
             .join(df.groupBy(series).agg(*columns), series)
         )
         return blocked.join(per_block, [series, "_block"]).drop("_block")
-    if df.select(series).distinct().limit(max_broadcast_rows + 1).count() <= max_broadcast_rows:
-        return df.join(F.broadcast(df.groupBy(series).agg(*columns)), series)
+    if max_broadcast_rows is not None:
+        known = df.select(series).distinct().limit(max_broadcast_rows + 1).count()
+        if known <= max_broadcast_rows:
+            return df.join(F.broadcast(df.groupBy(series).agg(*columns)), series)
     w = whole(series)
     return df.select("*", *[expr.over(w).alias(name) for name, expr in stats.items()])

@@ -1,8 +1,7 @@
 """The four model tables: rolling averages, anomalies, rolling rain, dry spells.
 
-Each takes and returns a DataFrame and is lazy, except that `temp_anomaly` counts
-the series once to pick its join. No global sort: order is asked for where rows are
-shown, and files are sorted when written.
+Each takes and returns a DataFrame and is lazy. No global sort: order is asked for
+where rows are shown, and files are sorted when written.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from daygrain.functions import (
     period_label,
     round_half_up,
 )
-from daygrain.operators.joins import BROADCAST_ROWS, attach_series_stats
+from daygrain.operators.joins import attach_series_stats
 from daygrain.operators.series import (
     before,
     block_number,
@@ -75,7 +74,7 @@ def temp_anomaly(
     time: str = "date",
     band: float = 2.0,
     block_days: int | None = None,
-    max_broadcast_rows: int = BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Difference of each day from its series' average.
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from daygrain.operators.checks import CheckFailed, require_passed, run_checks
 from daygrain.operators.forecast import evaluate, final_series, fit_trend, predict, training_set
 from daygrain.operators.history import snapshot_scd2
+from daygrain.operators.joins import BROADCAST_ROWS
 from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, temp_anomaly
 from daygrain.operators.series import choose_block_days
 from daygrain.schemas import FORECAST, HISTORY
@@ -58,10 +59,14 @@ def train_and_predict(
     publish(final_series(raw, forecast), table_path(root, FINAL_TABLE), sort_by=BY_DAY)
 
 
-def model_tables(raw: DataFrame, block_days: int | None = None) -> dict[str, DataFrame]:
+def model_tables(
+    raw: DataFrame, block_days: int | None = None, max_broadcast_rows: int | None = None
+) -> dict[str, DataFrame]:
     return {
         "moving_avg": moving_avg(raw, block_days=block_days),
-        "temp_anomaly": temp_anomaly(raw, block_days=block_days),
+        "temp_anomaly": temp_anomaly(
+            raw, block_days=block_days, max_broadcast_rows=max_broadcast_rows
+        ),
         "rolling_precip": rolling_precip(raw, block_days=block_days),
         "dry_spell": dry_spell(raw, block_days=block_days),
     }
@@ -80,20 +85,18 @@ def build_models(
     results.
     """
     raw = source(spark, RAW, root)
-    for name, table in model_tables(raw, choose_block_days(raw)).items():
+    # The stored table is cheap to ask: both questions read a single column.
+    built = model_tables(raw, choose_block_days(raw), BROADCAST_ROWS)
+    for name, table in built.items():
         publish(table, table_path(root, f"dbt.{name}"), sort_by=BY_DAY)
 
-    built = {name: source(spark, f"dbt.{name}", root) for name in model_names()}
+    built = {name: source(spark, f"dbt.{name}", root) for name in built}
     known = read_series(spark, series_path).select("city")
     results = require_passed(run_checks({**built, "city_weather": raw}, series_list=known))
     snapshot(spark, root, run_ts, strategy)
     return results
 
 
-def model_names() -> tuple[str, ...]:
-    return ("moving_avg", "temp_anomaly", "rolling_precip", "dry_spell")
-
-
 def snapshot(spark: SparkSession, root: str, run_ts: str, strategy: str = "timestamp") -> None:
     path = table_path(root, HISTORY_TABLE)
     past = load(spark, path, HISTORY) if current_version(spark, path) else None

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daygrain.functions import round_half_up
 from daygrain.operators import analytics, checks, dashboard, forecast, history, models
-from daygrain.operators.series import choose_block_days
+from daygrain.operators.joins import BROADCAST_ROWS
 from daygrain.operators.upsert import upsert
 from daygrain.plans.daily import model_tables
 from daygrain.schemas import KEYS, METRICS, MOVING_AVG, OBSERVATIONS, STAGE
@@ -28,38 +28,16 @@ TEST_BLOCK_DAYS = 5
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _obs_block_days(spark: SparkSession, d: str) -> int | None:
-    events = spark.read.parquet(f"{d}/events.parquet")
-    return choose_block_days(events.select(F.col("ts").cast("date").alias("date")))
-
-
-def _ship_block_days(spark: SparkSession, d: str) -> int | None:
-    lines = spark.read.parquet(f"{d}/lineitem.parquet")
-    return choose_block_days(lines.select(F.col("l_shipdate").cast("date").alias("date")))
-
-
 def _on_obs(operator, **kwargs) -> Query:
     return lambda spark, d: operator(daily_obs(spark, d), **kwargs)
 
 
-def _windowed_obs(operator, **kwargs) -> Query:
-    return lambda spark, d: operator(
-        daily_obs(spark, d), block_days=_obs_block_days(spark, d), **kwargs
-    )
-
-
-def _windowed_ship(operator, **kwargs) -> Query:
-    return lambda spark, d: operator(
-        daily_ship(spark, d), block_days=_ship_block_days(spark, d), **kwargs
-    )
+def _on_ship(operator, **kwargs) -> Query:
+    return lambda spark, d: operator(daily_ship(spark, d), **kwargs)
 
 
 def _on_model(model, operator, **kwargs) -> Query:
-    def run(spark: SparkSession, d: str) -> DataFrame:
-        table = model(daily_obs(spark, d), block_days=_obs_block_days(spark, d))
-        return operator(table, **kwargs)
-
-    return run
+    return lambda spark, d: operator(model(daily_obs(spark, d)), **kwargs)
 
 
 # --------------------------------------------------------------------------
@@ -119,7 +97,7 @@ def upsert_touch(spark: SparkSession, d: str) -> DataFrame:
 
 def publish_reload(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "publish_reload")
-    table = models.moving_avg(daily_obs(spark, d), block_days=_obs_block_days(spark, d))
+    table = models.moving_avg(daily_obs(spark, d))
     tables.publish(table, path, sort_by=KEYS)
     return tables.load(spark, path, MOVING_AVG)
 
@@ -157,7 +135,7 @@ def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
 def check_results(spark: SparkSession, d: str) -> DataFrame:
     """The standard checks on model tables with faults put in, so some fail."""
     obs = daily_obs(spark, d)
-    built = model_tables(obs, _obs_block_days(spark, d))
+    built = model_tables(obs)
     faulty_day = F.col("date") == F.lit("2024-01-03").cast("date")
     built["temp_anomaly"] = built["temp_anomaly"].withColumn(
         "anomaly_category",
@@ -257,7 +235,7 @@ def heatmap_matrix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rain_temp_corr(spark: SparkSession, d: str) -> DataFrame:
-    table = models.rolling_precip(daily_obs(spark, d), block_days=_obs_block_days(spark, d))
+    table = models.rolling_precip(daily_obs(spark, d))
     return dashboard.rain_temp_relation(dashboard.rain_temp_points(table))
 
 
@@ -267,15 +245,15 @@ def monthly_pivot_wide(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     # models
-    "moving_avg": _windowed_obs(models.moving_avg),
+    "moving_avg": _on_obs(models.moving_avg),
     "temp_anomaly": _on_obs(models.temp_anomaly),
-    "rolling_precip": _windowed_obs(models.rolling_precip),
-    "dry_spell": _windowed_obs(models.dry_spell),
-    "dry_spell_documented": _windowed_obs(models.dry_spell, anchor="documented"),
-    "moving_avg_ship": _windowed_ship(models.moving_avg),
-    "temp_anomaly_ship": lambda spark, d: models.temp_anomaly(daily_ship(spark, d)),
-    "rolling_precip_ship": _windowed_ship(models.rolling_precip),
-    "dry_spell_ship": _windowed_ship(models.dry_spell),
+    "rolling_precip": _on_obs(models.rolling_precip),
+    "dry_spell": _on_obs(models.dry_spell),
+    "dry_spell_documented": _on_obs(models.dry_spell, anchor="documented"),
+    "moving_avg_ship": _on_ship(models.moving_avg),
+    "temp_anomaly_ship": _on_ship(models.temp_anomaly),
+    "rolling_precip_ship": _on_ship(models.rolling_precip),
+    "dry_spell_ship": _on_ship(models.dry_spell),
     # the same in calendar blocks
     "moving_avg_blocks": _on_obs(models.moving_avg, block_days=TEST_BLOCK_DAYS),
     "temp_anomaly_blocks": _on_obs(models.temp_anomaly, block_days=TEST_BLOCK_DAYS),
@@ -288,20 +266,20 @@ QUERIES: dict[str, Query] = {
         dashboard.temp_distribution, block_days=TEST_BLOCK_DAYS
     ),
     "rain_streaks_blocks": _on_obs(analytics.rain_streaks, block_days=TEST_BLOCK_DAYS),
-    # ... and with one window per series in place of the broadcast
-    "temp_anomaly_many_series": _on_obs(models.temp_anomaly, max_broadcast_rows=0),
-    "sigma_flags_many_series": _on_obs(analytics.sigma_flags, max_broadcast_rows=0),
+    # ... and with the averages of a counted number of series broadcast
+    "temp_anomaly_few_series": _on_obs(models.temp_anomaly, max_broadcast_rows=BROADCAST_ROWS),
+    "sigma_flags_few_series": _on_obs(analytics.sigma_flags, max_broadcast_rows=BROADCAST_ROWS),
     # analytics
-    "trend_deviation": _windowed_obs(analytics.trend_deviation),
+    "trend_deviation": _on_obs(analytics.trend_deviation),
     "sigma_flags": _on_obs(analytics.sigma_flags),
-    "temp_ranks": _windowed_obs(analytics.temp_ranks),
-    "rain_streaks": _windowed_obs(analytics.rain_streaks),
-    "rain_streaks_top10": _windowed_obs(analytics.longest_rain_streaks),
+    "temp_ranks": _on_obs(analytics.temp_ranks),
+    "rain_streaks": _on_obs(analytics.rain_streaks),
+    "rain_streaks_top10": _on_obs(analytics.longest_rain_streaks),
     "compare_series": _on_obs(analytics.compare_series, names=COMPARED),
     "weather_descriptions": _on_obs(analytics.weather_descriptions),
-    "trend_deviation_ship": _windowed_ship(analytics.trend_deviation),
-    "temp_ranks_ship": _windowed_ship(analytics.temp_ranks),
-    "rain_streaks_ship": _windowed_ship(analytics.rain_streaks),
+    "trend_deviation_ship": _on_ship(analytics.trend_deviation),
+    "temp_ranks_ship": _on_ship(analytics.temp_ranks),
+    "rain_streaks_ship": _on_ship(analytics.rain_streaks),
     # ingest, tables
     "flatten_payloads": flatten_payloads,
     "series_lookup": series_lookup,
@@ -346,8 +324,8 @@ QUERIES: dict[str, Query] = {
     "rain_temp_corr": rain_temp_corr,
     "temp_distribution": _on_obs(dashboard.temp_distribution),
     "temp_outliers": _on_obs(dashboard.temp_outliers),
-    "temp_distribution_ship": lambda spark, d: dashboard.temp_distribution(daily_ship(spark, d)),
+    "temp_distribution_ship": _on_ship(dashboard.temp_distribution),
     "monthly_averages": _on_model(models.rolling_precip, dashboard.monthly_averages),
-    "monthly_averages_ship": lambda spark, d: dashboard.monthly_averages(daily_ship(spark, d)),
+    "monthly_averages_ship": _on_ship(dashboard.monthly_averages),
     "monthly_pivot": monthly_pivot_wide,
 }

@@ -157,6 +157,24 @@ METRICS = _struct(
     ("metric_value", DoubleType(), True),
 )
 
+#: The columns of the event and shipment tables that observations derive from.
+EVENTS = _struct(
+    ("ts", TimestampNTZType(), True),
+    ("user_id", LongType(), True),
+    ("event_type", StringType(), True),
+    ("value", DoubleType(), True),
+    ("props", StringType(), True),
+)
+
+LINEITEM = _struct(
+    ("l_suppkey", LongType(), True),
+    ("l_linenumber", IntegerType(), True),
+    ("l_quantity", DoubleType(), True),
+    ("l_extendedprice", DoubleType(), True),
+    ("l_returnflag", StringType(), True),
+    ("l_shipdate", TimestampNTZType(), True),
+)
+
 #: Type-2 history of the fact table; a NULL ``valid_to`` marks the open row.
 HISTORY = StructType(
     [StructField("row_key", StringType(), True)]

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.functions import round_half_up
-from daygrain.schemas import OBSERVATIONS
+from daygrain.schemas import EVENTS, LINEITEM, OBSERVATIONS
 
 
 def daily_obs(spark: SparkSession, data_dir: str) -> DataFrame:
     """Observations per user and day from ``events``."""
-    events = spark.read.parquet(f"{data_dir}/events.parquet").select(
+    events = spark.read.schema(EVENTS).parquet(f"{data_dir}/events.parquet").select(
         "user_id",
         "event_type",
         "value",
@@ -59,7 +59,7 @@ def daily_obs(spark: SparkSession, data_dir: str) -> DataFrame:
 
 def daily_ship(spark: SparkSession, data_dir: str) -> DataFrame:
     """Observations per supplier and ship day from ``lineitem``: long series."""
-    lines = spark.read.parquet(f"{data_dir}/lineitem.parquet").select(
+    lines = spark.read.schema(LINEITEM).parquet(f"{data_dir}/lineitem.parquet").select(
         "l_suppkey",
         F.col("l_shipdate").cast("date").alias("date"),
         "l_shipdate",

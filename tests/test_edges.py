@@ -20,6 +20,18 @@ from daygrain.operators.analytics import (
     temp_ranks,
     trend_deviation,
 )
+from daygrain.operators.dashboard import (
+    anomaly_heatmap,
+    between_days,
+    heatmap_matrix,
+    latest_month,
+    monthly_averages,
+    monthly_pivot,
+    rain_temp_points,
+    rain_temp_relation,
+    temp_distribution,
+    temp_outliers,
+)
 from daygrain.operators.forecast import evaluate, fit_trend, predict, uncertainty
 from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, temp_anomaly
 
@@ -221,6 +233,47 @@ def test_display_order_of_missing_values(observations):
     assert values == [None, 2.0, 1.0]
 
 
+def test_relation_without_variation_is_undefined(observations):
+    rows = rain(0.0, 0.0, 0.0, temp_max=1.0) + rain(5.0, temp_max=1.0, city="B")
+    rows += [{"city": "C", "day": d, "precipitation_mm": float(d), "temp_max": -float(d)} for d in (1, 2)]
+    relation = rain_temp_relation(rain_temp_points(rolling_precip(observations(*rows))))
+    found = {r.city: (r.n_points, r.correlation, r.slope) for r in relation.collect()}
+    assert found == {"A": (3, None, None), "B": (1, None, None), "C": (2, -1.0, -0.5)}
+
+
+def test_box_plot_and_outliers(observations):
+    df = observations(*temps(*map(float, range(1, 9)), 100.0))
+    (box,) = temp_distribution(df).collect()
+    assert (box.min_value, box.q1, box.median, box.q3, box.max_value) == (1.0, 3.0, 5.0, 7.0, 100.0)
+    assert (box.lower_fence, box.upper_fence, box.n_outliers) == (-3.0, 13.0, 1)
+    assert [r.temp_max for r in temp_outliers(df).collect()] == [100.0]
+
+
+def test_monthly_tables(observations):
+    rows = [
+        {"city": c, "day": d, "temp_max": float(d), "precipitation_mm": 1.0}
+        for c in "AB"
+        for d in (30, 31, 32, 34)
+    ]
+    df = observations(*rows, {"city": "C", "day": 1})
+    long = {(r.city, r.month.month): r.avg_temp_max for r in monthly_averages(df).collect()}
+    assert long == {("A", 3): 30.5, ("A", 4): 33.0, ("B", 3): 30.5, ("B", 4): 33.0, ("C", 3): None}
+    wide = monthly_pivot(df, ["2026-03", "2026-04", "2026-05"]).orderBy("city").collect()
+    assert wide[0]["2026-04_avg_temp"] == 33.0 and wide[0]["2026-05_avg_mm"] is None
+    assert wide[2]["2026-03_avg_temp"] is None
+
+
+def test_date_range_and_latest_month(observations):
+    df = observations(*temps(*map(float, range(1, 35))))
+    assert between_days(df, "2026-03-02", "2026-03-04").count() == 3
+    assert column(latest_month(df), "temp_max") == [32.0, 33.0, 34.0]
+    cells = anomaly_heatmap(temp_anomaly(df), "2026-03-01", "2026-03-02")
+    # Averages come from all days, not from the range shown.
+    assert column(cells, "temp_max_anomaly") == [-16.5, -15.5]
+    matrix = heatmap_matrix(cells, ["A", "B"], "temp_max_anomaly").orderBy("date").collect()
+    assert [(r.A, r.B) for r in matrix] == [(-16.5, None), (-15.5, None)]
+
+
 # --------------------------------------------------------------------------
 # Forecast
 # --------------------------------------------------------------------------

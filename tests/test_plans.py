@@ -78,7 +78,7 @@ def test_ranks_shuffle_once(raw):
 
 @pytest.mark.parametrize("operator", [temp_anomaly, sigma_flags], ids=lambda f: f.__name__)
 def test_few_series_do_not_move_the_rows(raw, operator):
-    text = plan(operator(raw))
+    text = plan(operator(raw, max_broadcast_rows=1000))
     assert "BroadcastHashJoin" in text
     # The only shuffle is that of the pre-aggregated averages.
     assert text.count("Exchange hashpartitioning") == 1 and "partial_avg" in text
@@ -86,8 +86,8 @@ def test_few_series_do_not_move_the_rows(raw, operator):
 
 @pytest.mark.parametrize("operator", [temp_anomaly, sigma_flags], ids=lambda f: f.__name__)
 def test_many_series_take_one_shuffle_and_no_broadcast(raw, operator):
-    df = operator(raw, max_broadcast_rows=0)
-    assert shuffles(df) == 1 and "Broadcast" not in plan(df)
+    for df in (operator(raw), operator(raw, max_broadcast_rows=0)):
+        assert shuffles(df) == 1 and "Broadcast" not in plan(df)
 
 
 def test_blocks_split_the_series(raw):

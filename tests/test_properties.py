@@ -69,8 +69,9 @@ def test_blocks_change_nothing(uneven, name):
 
 
 @pytest.mark.parametrize("operator", [temp_anomaly, sigma_flags, temp_distribution])
-def test_many_series_change_nothing(uneven, operator):
-    assert contents(operator(uneven, max_broadcast_rows=0)) == contents(operator(uneven))
+def test_broadcast_changes_nothing(uneven, operator):
+    for limit in (0, 3, 4, 100):
+        assert contents(operator(uneven, max_broadcast_rows=limit)) == contents(operator(uneven))
 
 
 def test_windows_are_bounded(uneven):
