@@ -8,23 +8,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from daygrain.operators.checks import CheckFailed, require_passed, run_checks
+from daygrain.operators.checks import require_passed, run_checks
 from daygrain.operators.forecast import evaluate, final_series, fit_trend, predict, training_set
-from daygrain.operators.history import snapshot_scd2
 from daygrain.operators.joins import BROADCAST_ROWS
 from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, temp_anomaly
 from daygrain.operators.series import choose_block_days
-from daygrain.schemas import FORECAST, HISTORY
+from daygrain.schemas import FORECAST
 from daygrain.sources.payloads import read_payloads, read_series, stage_batch
 from daygrain.sources.tables import (
     append_run,
     create_view,
-    current_version,
     load,
     publish,
     source,
     table_path,
     upsert_observations,
+    write_snapshot,
 )
 
 RAW = "raw.city_weather"
@@ -93,14 +92,8 @@ def build_models(
     built = {name: source(spark, f"dbt.{name}", root) for name in built}
     known = read_series(spark, series_path).select("city")
     results = require_passed(run_checks({**built, "city_weather": raw}, series_list=known))
-    snapshot(spark, root, run_ts, strategy)
+    write_snapshot(spark, table_path(root, HISTORY_TABLE), raw, run_ts, strategy)
     return results
 
 
-def snapshot(spark: SparkSession, root: str, run_ts: str, strategy: str = "timestamp") -> None:
-    path = table_path(root, HISTORY_TABLE)
-    past = load(spark, path, HISTORY) if current_version(spark, path) else None
-    publish(snapshot_scd2(past, source(spark, RAW, root), run_ts, strategy), path, sort_by=BY_DAY)
-
-
-__all__ = ["CheckFailed", "build_models", "ingest", "model_tables", "snapshot", "train_and_predict"]
+__all__ = ["build_models", "ingest", "model_tables", "train_and_predict"]

@@ -224,6 +224,14 @@ def _snapshots(strategy: str) -> Query:
     return run
 
 
+def snapshot_stored(spark: SparkSession, d: str) -> DataFrame:
+    """Both runs on a stored history, where the second rewrites what changed."""
+    path = scratch_path(spark, "history")
+    for state, run_ts in zip(_states(spark, d), (FIRST_RUN, SECOND_RUN)):
+        tables.write_snapshot(spark, path, state, run_ts, "check")
+    return tables.read_history(spark, path)
+
+
 # --------------------------------------------------------------------------
 # Dashboard
 # --------------------------------------------------------------------------
@@ -309,6 +317,7 @@ QUERIES: dict[str, Query] = {
     # history
     "snapshot_timestamp": _snapshots("timestamp"),
     "snapshot_check": _snapshots("check"),
+    "snapshot_stored": snapshot_stored,
     # dashboard
     "climate_profile": _on_model(models.moving_avg, dashboard.climate_profile),
     "rolling_trend": _on_model(models.moving_avg, dashboard.rolling_trend),

@@ -11,6 +11,7 @@ from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZTyp
 
 from daygrain import schemas
 from daygrain.operators.checks import CheckFailed
+from daygrain.operators.history import snapshot_scd2, touched_months
 from daygrain.operators.upsert import upsert
 
 #: Named tables and their schemas.
@@ -120,12 +121,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
+def _read_months(
+    spark: SparkSession, path: str, schema: StructType, months: Sequence | None = None
+) -> DataFrame:
+    df = spark.read.schema(StructType(schema.fields + [_MONTH])).parquet(path)
+    return df if months is None else df.filter(F.col("month").isin(list(months)))
+
+
 def read_observations(
     spark: SparkSession, path: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Read the fact table; a date range also prunes the month partitions."""
-    schema = StructType(schemas.OBSERVATIONS.fields + [_MONTH])
-    df = spark.read.schema(schema).parquet(path)
+    df = _read_months(spark, path, schemas.OBSERVATIONS)
     if start is not None:
         first = F.to_date(F.lit(start))
         df = df.filter((F.col("month") >= F.trunc(first, "month")) & (F.col("date") >= first))
@@ -154,11 +161,12 @@ def upsert_observations(
     load_ts: str,
     touch_on_update: bool = False,
 ) -> None:
-    """Merge a staged batch into the fact table, all or nothing.
+    """Merge a staged batch into the fact table.
 
     Only the month partitions the batch touches are read and rewritten. New
-    files are staged and moved into place when the job commits; a job that fails
-    leaves the table as it was, and running a batch again gives the same rows.
+    files are staged and moved into place when the job commits, so a job that
+    fails leaves the table as it was. (The move is per partition: should the
+    driver die during it, running the same batch again completes the load.)
     A batch that repeats a key is refused.
     """
     keys = list(schemas.KEYS)
@@ -167,9 +175,7 @@ def upsert_observations(
     try:
         months = _months_of(batch, keys)
         if path_exists(spark, path):
-            schema = StructType(schemas.OBSERVATIONS.fields + [_MONTH])
-            stored = spark.read.schema(schema).parquet(path)
-            target = stored.filter(F.col("month").isin(months)).drop("month")
+            target = _read_months(spark, path, schemas.OBSERVATIONS, months).drop("month")
         else:
             target = spark.createDataFrame([], schemas.OBSERVATIONS)
         _write_months(upsert(target, batch, keys, load_ts, touch_on_update), path)
@@ -196,6 +202,42 @@ def _months_of(batch: DataFrame, keys: list[str]) -> list:
     return seen.months
 
 
+# --------------------------------------------------------------------------
+# History: partitioned by month, rewritten where it changes
+# --------------------------------------------------------------------------
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    return _read_months(spark, path, schemas.HISTORY).drop("month")
+
+
+def write_snapshot(
+    spark: SparkSession,
+    path: str,
+    current: DataFrame,
+    run_ts: str,
+    strategy: str = "timestamp",
+    **options,
+) -> list:
+    """Record one snapshot run in a stored history; returns the months written.
+
+    A first pass compares keys and finds the months that change, a set bounded by
+    the calendar. Only these are read in full and rewritten, so a daily run over a
+    long history writes its last months and whatever was corrected.
+    """
+    if not path_exists(spark, path):
+        _write_months(snapshot_scd2(None, current, run_ts, strategy, **options), path)
+        return []
+    history = _read_months(spark, path, schemas.HISTORY)
+    changes = touched_months(history, current, run_ts, strategy=strategy, **options)
+    months = sorted(r.month for r in changes.collect())
+    if months:
+        past = _read_months(spark, path, schemas.HISTORY, months).drop("month")
+        now = current.filter(F.trunc("date", "month").isin(months))
+        _write_months(snapshot_scd2(past, now, run_ts, strategy, **options), path)
+    return months
+
+
 # --------------------------------------------------------------------------
 # Logs, views, schemas
 # --------------------------------------------------------------------------
@@ -227,6 +269,8 @@ def source(spark: SparkSession, name: str, root: str) -> DataFrame:
     path = table_path(root, name)
     if name == "raw.city_weather":
         return read_observations(spark, path)
+    if name == "dbt.city_weather_snapshot":
+        return read_history(spark, path)
     if name == "analytics.city_weather_model_metrics":
         return spark.read.schema(CATALOG[name]).parquet(path)
     return load(spark, path, CATALOG[name])

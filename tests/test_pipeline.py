@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from compare import rows_of
 from daygrain.operators.checks import CheckFailed, TableChecks, check_accepted, check_not_null, run_checks
+from daygrain.operators.history import snapshot_scd2
 from daygrain.plans.daily import build_models, ingest, train_and_predict
 from daygrain.schemas import FINAL, METRICS, MOVING_AVG
 from daygrain.sources.tables import (
@@ -21,11 +22,14 @@ from daygrain.sources.tables import (
     describe_table,
     drop_old_versions,
     load,
+    path_exists,
     publish,
+    read_history,
     read_observations,
     source,
     table_path,
     upsert_observations,
+    write_snapshot,
 )
 from daygrain.streaming.landing import ingest_landed
 
@@ -117,7 +121,7 @@ def test_failing_check_stops_before_the_snapshot(spark, site):
     ingest(spark, f"{root}/landing", f"{root}/all.json", root, "2026-03-21 02:30:00")
     with pytest.raises(CheckFailed, match="accepted_values"):
         build_models(spark, root, series, "2026-03-21 04:30:00")
-    assert current_version(spark, table_path(root, "dbt.city_weather_snapshot")) is None
+    assert not path_exists(spark, table_path(root, "dbt.city_weather_snapshot"))
 
 
 def test_only_touched_months_are_rewritten(spark, site):
@@ -182,6 +186,21 @@ def test_failed_publish_leaves_the_old_version(spark, tmp_path):
     assert current_version(spark, path) == third
 
 
+def test_stored_history_rewrites_only_changed_months(spark, tmp_path, observations):
+    path = str(tmp_path / "history")
+    days = [{"day": d, "temp_max": float(d)} for d in (1, 40, 70)]  # March, April, May
+    corrected = [{**days[0], "temp_max": 9.0}, *days[1:]]
+    states = [days, days, corrected, corrected[:2], corrected]
+    months, expected = [], None
+    for run, state in enumerate(states, start=1):
+        run_ts = f"2026-06-{run:02d} 00:00:00"
+        written = write_snapshot(spark, path, observations(*state), run_ts, "check")
+        months.append([m.month for m in written])
+        expected = snapshot_scd2(expected, observations(*state), run_ts, "check")
+        assert contents(read_history(spark, path)) == contents(expected)
+    assert months == [[], [], [3], [5], [5]]
+
+
 def test_nothing_published_yet(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         load(spark, str(tmp_path / "none"), MOVING_AVG)
