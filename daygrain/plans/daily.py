@@ -14,6 +14,7 @@ from daygrain.operators.joins import BROADCAST_ROWS
 from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, temp_anomaly
 from daygrain.operators.series import choose_block_days
 from daygrain.schemas import FORECAST
+from daygrain.sources import bucketed
 from daygrain.sources.payloads import read_payloads, read_series, stage_batch
 from daygrain.sources.tables import (
     append_run,
@@ -36,18 +37,41 @@ BY_DAY = ("city", "date")
 
 
 def ingest(
-    spark: SparkSession, landing: str, series_path: str, root: str, load_ts: str
+    spark: SparkSession,
+    landing: str,
+    series_path: str,
+    root: str,
+    load_ts: str,
+    bucketed_table: str | None = None,
 ) -> None:
-    """Payload files of all series into the fact table, in one distributed job."""
+    """Payload files of all series into the fact table, in one distributed job.
+
+    ``bucketed_table`` names a registered fact table (:mod:`daygrain.sources.bucketed`)
+    to use in place of the one under ``root``; so in all three stages.
+    """
     batch = stage_batch(read_payloads(spark, landing), read_series(spark, series_path))
-    upsert_observations(spark, table_path(root, RAW), batch, load_ts)
+    if bucketed_table:
+        bucketed.upsert_bucketed(spark, bucketed_table, batch, load_ts)
+    else:
+        upsert_observations(spark, table_path(root, RAW), batch, load_ts)
+
+
+def _observations(spark: SparkSession, root: str, bucketed_table: str | None) -> DataFrame:
+    if bucketed_table:
+        return bucketed.read(spark, bucketed_table)
+    return source(spark, RAW, root)
 
 
 def train_and_predict(
-    spark: SparkSession, root: str, run_ts: str, periods: int = 7, level: float = 0.95
+    spark: SparkSession,
+    root: str,
+    run_ts: str,
+    periods: int = 7,
+    level: float = 0.95,
+    bucketed_table: str | None = None,
 ) -> None:
     """Fit every series, log its metrics, publish the forecast and the final table."""
-    raw = source(spark, RAW, root)
+    raw = _observations(spark, root, bucketed_table)
     training = training_set(raw)
     create_view(training, TRAIN_VIEW)
     append_run(evaluate(training), table_path(root, METRICS_TABLE), run_ts)
@@ -77,13 +101,14 @@ def build_models(
     series_path: str,
     run_ts: str,
     strategy: str = "timestamp",
+    bucketed_table: str | None = None,
 ) -> DataFrame:
     """Rebuild the model tables, check them, then record history.
 
     A failing check raises before the history is written. Returns the check
     results.
     """
-    raw = source(spark, RAW, root)
+    raw = _observations(spark, root, bucketed_table)
     # The stored table is cheap to ask: both questions read a single column.
     built = model_tables(raw, choose_block_days(raw), BROADCAST_ROWS)
     for name, table in built.items():

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from daygrain.operators.upsert import upsert
 from daygrain.plans.daily import model_tables
 from daygrain.schemas import KEYS, METRICS, MOVING_AVG, OBSERVATIONS, STAGE
 from daygrain.session import scratch_path
-from daygrain.sources import payloads, tables
+from daygrain.sources import bucketed, payloads, tables
 from daygrain.sources.bindings import daily_obs, daily_ship
 
 LOAD_TS = "2024-02-01 00:00:00"
@@ -89,6 +90,20 @@ def upsert_twice(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_observations(spark, path)
 
 
+def _bucketed(spark: SparkSession, d: str) -> DataFrame:
+    """The fact table after two upserts into a table bucketed by series."""
+    target, batch = _upsert_sides(spark, d)
+    name = f"observations_{uuid.uuid4().hex}"
+    bucketed.register(spark, name, scratch_path(spark, "bucketed"), buckets=8)
+    bucketed.upsert_bucketed(spark, name, payloads.conform(target, STAGE), FIRST_RUN)
+    bucketed.upsert_bucketed(spark, name, batch, LOAD_TS)
+    return bucketed.read(spark, name)
+
+
+def moving_avg_bucketed(spark: SparkSession, d: str) -> DataFrame:
+    return models.moving_avg(_bucketed(spark, d))
+
+
 def upsert_touch(spark: SparkSession, d: str) -> DataFrame:
     target, batch = _upsert_sides(spark, d)
     checks.require_unique(batch, KEYS)
@@ -293,6 +308,8 @@ QUERIES: dict[str, Query] = {
     "series_lookup": series_lookup,
     "upsert_observations": upsert_observations,
     "upsert_touch": upsert_touch,
+    "upsert_bucketed": _bucketed,
+    "moving_avg_bucketed": moving_avg_bucketed,
     "upsert_twice": upsert_twice,
     "publish_reload": publish_reload,
     "append_metrics": _metrics_log,

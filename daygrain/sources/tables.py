@@ -173,7 +173,7 @@ def upsert_observations(
     # A batch is a few weeks of days. It is parsed once and spills to disk if it must.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        months = _months_of(batch, keys)
+        months = months_of(batch, keys)
         if path_exists(spark, path):
             target = _read_months(spark, path, schemas.OBSERVATIONS, months).drop("month")
         else:
@@ -183,7 +183,7 @@ def upsert_observations(
         batch.unpersist()
 
 
-def _months_of(batch: DataFrame, keys: list[str]) -> list:
+def months_of(batch: DataFrame, keys: list[str]) -> list:
     """Months of a batch, in the same pass that refuses repeated keys.
 
     The set is bounded by the calendar, not by the rows of the batch.

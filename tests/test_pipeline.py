@@ -14,6 +14,7 @@ from daygrain.operators.checks import CheckFailed, TableChecks, check_accepted,
 from daygrain.operators.history import snapshot_scd2
 from daygrain.plans.daily import build_models, ingest, train_and_predict
 from daygrain.schemas import FINAL, METRICS, MOVING_AVG
+from daygrain.sources import bucketed
 from daygrain.sources.tables import (
     append_run,
     create_database,
@@ -112,6 +113,38 @@ def test_three_stages(spark, site):
     assert source(spark, "dbt.city_weather_snapshot", root).count() == 240
 
 
+def test_three_stages_on_a_bucketed_table(spark, site):
+    root, series = site
+    name = "weather_bucketed"
+    bucketed.register(spark, name, f"{root}/bucketed", buckets=4)
+    try:
+        land(f"{root}/one", "a", [payload(c["city"], "2026-01-20", 40) for c in CITIES])
+        land(f"{root}/two", "b", [payload(c["city"], "2026-02-10", 40, shift=1.0) for c in CITIES])
+        for landing, day in (("one", 1), ("two", 22)):
+            load_ts = f"2026-03-{day:02d} 02:30:00"
+            ingest(spark, f"{root}/{landing}", series, root, load_ts, bucketed_table=name)
+            ingest(spark, f"{root}/{landing}", series, f"{root}/plain", load_ts)
+        table = bucketed.read(spark, name)
+        assert contents(table) == contents(source(spark, RAW, f"{root}/plain"))
+        assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+        # One file per bucket and month at most.
+        for month in os.listdir(f"{root}/bucketed"):
+            if month.startswith("month="):
+                files = [f for f in os.listdir(f"{root}/bucketed/{month}") if f.endswith(".parquet")]
+                assert 0 < len(files) <= 4
+
+        train_and_predict(spark, root, "2026-03-22 03:30:00", bucketed_table=name)
+        assert build_models(spark, root, series, "2026-03-22 04:30:00", bucketed_table=name).count() == 30
+
+        # The catalog entry is only a name for the files.
+        before = contents(table)
+        spark.sql(f"DROP TABLE {name}")
+        bucketed.register(spark, name, f"{root}/bucketed", buckets=4)
+        assert contents(bucketed.read(spark, name)) == before
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_failing_check_stops_before_the_snapshot(spark, site):
     root, series = site
     stranger = {"city": "Oslo", "lat": 59.9, "lon": 10.7}

@@ -21,6 +21,7 @@ from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, tem
 from daygrain.operators.series import choose_block_days
 from daygrain.operators.upsert import upsert
 from daygrain.schemas import KEYS, OBSERVATIONS, STAGE
+from daygrain.sources import bucketed
 from daygrain.sources.bindings import daily_obs
 from daygrain.sources.payloads import conform
 from daygrain.sources.tables import read_observations, upsert_observations
@@ -141,6 +142,26 @@ def test_holdout_is_cut_before_the_shuffle(raw):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_bucketed_table_needs_no_shuffle_by_series(spark, data_dir, tmp_path):
+    name = "plans_bucketed"
+    bucketed.register(spark, name, str(tmp_path / "t"), buckets=8)
+    try:
+        batch = conform(daily_obs(spark, data_dir), STAGE)
+        bucketed.upsert_bucketed(spark, name, batch, "2024-02-01 00:00:00")
+        table = bucketed.read(spark, name)
+        for operator in (moving_avg, rolling_precip, dry_spell, temp_anomaly, temp_ranks, fit_trend):
+            assert shuffles(operator(table)) == 0, operator.__name__
+        setting = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+        with bucketed._settings(spark, setting):
+            merged = upsert(table, batch.repartition(8, "city"), KEYS, "2024-02-02 00:00:00")
+            text = plan(merged)
+        # Only the batch is spread; the stored months are merged where they lie.
+        stored = text[text.index("FullOuter") : text.index("Bucketed: true")]
+        assert "Exchange" not in stored
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def test_merge_and_history_join_on_the_whole_key(raw):
     merged = plan(upsert(raw, conform(raw, STAGE), KEYS, "2024-02-01 00:00:00"))
     assert "SortMergeJoin [city, date], [city, date], FullOuter" in merged
