@@ -102,17 +102,18 @@ def build_models(
     run_ts: str,
     strategy: str = "timestamp",
     bucketed_table: str | None = None,
+    by_month: bool = False,
 ) -> DataFrame:
     """Rebuild the model tables, check them, then record history.
 
-    A failing check raises before the history is written. Returns the check
-    results.
+    A failing check raises before the history is written. ``by_month`` stores the
+    model tables by month. Returns the check results.
     """
     raw = _observations(spark, root, bucketed_table)
     # The stored table is cheap to ask: both questions read a single column.
     built = model_tables(raw, choose_block_days(raw), BROADCAST_ROWS)
     for name, table in built.items():
-        publish(table, table_path(root, f"dbt.{name}"), sort_by=BY_DAY)
+        publish(table, table_path(root, f"dbt.{name}"), sort_by=BY_DAY, by_month=by_month)
 
     built = {name: source(spark, f"dbt.{name}", root) for name in built}
     known = read_series(spark, series_path).select("city")

@@ -70,23 +70,28 @@ def current_version(spark: SparkSession, path: str) -> str | None:
 
 
 def publish(
-    df: DataFrame, path: str, sort_by: Sequence[str] = (), rebalance: bool = False
+    df: DataFrame, path: str, sort_by: Sequence[str] = (), by_month: bool = False
 ) -> str:
     """Write a full rebuild as a new version and return its folder.
 
     A version becomes the current one when its job commits, so readers see the
     old or the new table, never a part, and a failed build leaves the old one.
     Rows are sorted within files only; after a window over the same columns that
-    sort is free. Adaptive execution already sizes the partitions of a plan that
-    shuffles; ``rebalance`` adds a shuffle for one that does not.
+    sort is free, and adaptive execution has sized the partitions.
+
+    ``by_month`` spends one more shuffle to store the rows by month, for tables that
+    are mostly read by date range. A month that dominates is split over tasks.
     """
     spark = df.sparkSession
     taken = _versions(spark, path)
     number = taken[-1][0] + 1 if taken else 1
     target = f"{path}/{_VERSION}{number:08d}"
-    out = df.hint("rebalance") if rebalance else df
-    if sort_by:
-        out = out.sortWithinPartitions(*sort_by)
+    if by_month:
+        monthly = df.withColumn("month", F.trunc("date", "month")).hint("rebalance", "month")
+        monthly = monthly.sortWithinPartitions("month", *sort_by)
+        monthly.write.mode("errorifexists").partitionBy("month").parquet(target)
+        return target
+    out = df.sortWithinPartitions(*sort_by) if sort_by else df
     out.write.mode("errorifexists").parquet(target)
     return target
 
@@ -103,12 +108,25 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str
     return gone
 
 
-def load(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read the current version of a published table."""
+def load(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    start: str | None = None,
+    end: str | None = None,
+) -> DataFrame:
+    """Read the current version of a published table, or a date range of it."""
     version = current_version(spark, path)
     if version is None:
         raise FileNotFoundError(f"no committed version under {path}")
-    return spark.read.schema(schema).parquet(version)
+    if _is_by_month(spark, version):
+        return _between(_read_months(spark, version, schema), start, end).drop("month")
+    return _between(spark.read.schema(schema).parquet(version), start, end)
+
+
+def _is_by_month(spark: SparkSession, folder: str) -> bool:
+    fs, location, _ = _filesystem(spark, folder)
+    return any(s.getPath().getName().startswith("month=") for s in fs.listStatus(location))
 
 
 # --------------------------------------------------------------------------
@@ -132,14 +150,23 @@ def read_observations(
     spark: SparkSession, path: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Read the fact table; a date range also prunes the month partitions."""
-    df = _read_months(spark, path, schemas.OBSERVATIONS)
+    return _between(_read_months(spark, path, schemas.OBSERVATIONS), start, end).drop("month")
+
+
+def _between(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """Rows of a date range; where rows are stored by month, only its months."""
+    by_month = "month" in df.columns
     if start is not None:
         first = F.to_date(F.lit(start))
-        df = df.filter((F.col("month") >= F.trunc(first, "month")) & (F.col("date") >= first))
+        df = df.filter(F.col("date") >= first)
+        if by_month:
+            df = df.filter(F.col("month") >= F.trunc(first, "month"))
     if end is not None:
         last = F.to_date(F.lit(end))
-        df = df.filter((F.col("month") <= last) & (F.col("date") <= last))
-    return df.drop("month")
+        df = df.filter(F.col("date") <= last)
+        if by_month:
+            df = df.filter(F.col("month") <= last)
+    return df
 
 
 def _write_months(df: DataFrame, path: str) -> None:
@@ -221,9 +248,9 @@ def write_snapshot(
 ) -> list:
     """Record one snapshot run in a stored history; returns the months written.
 
-    A first pass compares keys and finds the months that change, a set bounded by
-    the calendar. Only these are read in full and rewritten, so a daily run over a
-    long history writes its last months and whatever was corrected.
+    A first pass compares both tables month by month and finds those that differ, a
+    set bounded by the calendar. Only these are joined row by row and rewritten, so a
+    daily run over a long history writes its last months and whatever was corrected.
     """
     if not path_exists(spark, path):
         _write_months(snapshot_scd2(None, current, run_ts, strategy, **options), path)

@@ -214,11 +214,31 @@ def test_failed_publish_leaves_the_old_version(spark, tmp_path):
     assert current_version(spark, path) == second != first
     assert load(spark, path, df.schema).count() == 3
     assert load(spark, path, df.schema).columns == ["id", "x"]
-    third = publish(df, path, rebalance=True)
+    third = publish(df, path)
     assert drop_old_versions(spark, path, keep=1) == [first, second]
     assert current_version(spark, path) == third
 
 
+def test_publish_by_month_prunes_date_ranges(spark, tmp_path, observations):
+    path = str(tmp_path / "t")
+    df = observations(*[{"day": d, "temp_max": float(d)} for d in range(1, 70)])
+    version = publish(df, path, sort_by=("city", "date"), by_month=True)
+    assert sorted(m for m in os.listdir(version) if "=" in m) == [
+        "month=2026-03-01",
+        "month=2026-04-01",
+        "month=2026-05-01",
+    ]
+    assert contents(load(spark, path, df.schema)) == contents(df)
+    part = load(spark, path, df.schema, "2026-04-02", "2026-04-30")
+    assert part.count() == 29 and part.columns == df.columns
+    text = part._jdf.queryExecution().executedPlan().toString()
+    assert "month" in text.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(part.inputFiles()) >= 1
+    # A table stored otherwise gives the same rows, without pruning.
+    publish(df, path)
+    assert contents(load(spark, path, df.schema, "2026-04-02", "2026-04-30")) == contents(part)
+
+
 def test_stored_history_rewrites_only_changed_months(spark, tmp_path, observations):
     path = str(tmp_path / "history")
     days = [{"day": d, "temp_max": float(d)} for d in (1, 40, 70)]  # March, April, May

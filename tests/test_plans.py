@@ -16,7 +16,7 @@ from daygrain.operators.analytics import (
 )
 from daygrain.operators.dashboard import climate_profile, latest_month_avg, monthly_averages
 from daygrain.operators.forecast import evaluate, fit_trend, predict, training_set, uncertainty
-from daygrain.operators.history import snapshot_scd2
+from daygrain.operators.history import snapshot_scd2, touched_months
 from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, temp_anomaly
 from daygrain.operators.series import choose_block_days
 from daygrain.operators.upsert import upsert
@@ -170,6 +170,15 @@ def test_merge_and_history_join_on_the_whole_key(raw):
     assert "FullOuter" in second and "CartesianProduct" not in second
 
 
+def test_history_comparison_shuffles_no_rows(raw):
+    first = snapshot_scd2(None, raw, "2024-02-01 00:00:00", "check")
+    text = plan(touched_months(first, raw, "2024-02-02 00:00:00", strategy="check"))
+    # Each side is grouped by one expression, the month, after a partial aggregation.
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text)
+    assert keys == ["_groupingexpression, 8"] * 2
+    assert text.count("partial_bit_xor") == 4
+
+
 def test_aggregates_of_a_model_skip_its_windows(raw):
     assert "Window" not in plan(climate_profile(moving_avg(raw)))
     assert "Window" not in plan(monthly_averages(rolling_precip(raw)))

@@ -17,7 +17,7 @@ from daygrain.operators.analytics import (
 )
 from daygrain.operators.checks import CheckFailed, check_unique
 from daygrain.operators.dashboard import temp_distribution
-from daygrain.operators.history import open_rows, snapshot_scd2
+from daygrain.operators.history import open_rows, snapshot_scd2, touched_months
 from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, temp_anomaly
 from daygrain.operators.upsert import upsert
 from daygrain.schemas import KEYS, OBSERVATIONS, STAGE
@@ -183,6 +183,26 @@ def test_timestamp_history_with_a_moving_column(observations):
     assert spans(second) == [(1, 1.0, ts(5), ts(6)), (1, 2.0, ts(6), None)]
 
 
+def test_months_differ_when_a_value_moves_between_columns(observations):
+    """NULLs do not enter a hash by themselves, so their place has to."""
+    before = observations({"day": 1, "temp_max": 5.0}, {"day": 40})
+    after = observations({"day": 1, "temp_min": 5.0}, {"day": 40})
+    history = snapshot_scd2(None, before, "2026-06-01 00:00:00", "check")
+
+    def months(current, strategy="check", base=history):
+        run = touched_months(base, current, "2026-06-02 00:00:00", strategy=strategy)
+        return sorted(r.month.month for r in run.collect())
+
+    assert months(after) == [3]
+    assert months(before) == []
+    assert months(before.filter("date < '2026-04-01'")) == [4]
+    assert months(observations()) == [3, 4]
+    by_time = snapshot_scd2(None, before, "2026-06-01 00:00:00")
+    assert months(after, "timestamp", by_time) == []
+    more = before.unionByName(observations({"day": 41}))
+    assert months(more, "timestamp", by_time) == [4]
+
+
 def test_hard_deletes_can_be_left_open(observations):
     first = snapshot_scd2(None, observations({"day": 1, "temp_max": 1.0}), "2026-03-10 00:00:00")
     second = snapshot_scd2(
