@@ -49,22 +49,19 @@ def moving_avg(
     ).filter(complete)
     rows, keys = with_preceding_rows(rows, series, time, window - 1, block_days)
     frame = rows_back(keys, time, window - 1)
-    averages = [
-        round_half_up(F.avg(c).over(frame), 2).alias(f"{c}_{window}day_avg") for c in TEMPERATURES
-    ]
-    return (
-        rows.select(
-            series,
-            time,
-            *TEMPERATURES,
-            "precipitation_mm",
-            "wind_speed_max_kmh",
-            *averages,
-            F.count(F.lit(1)).over(frame).alias("rolling_window_days"),
-            "_copy",
-        )
-        .filter(~F.col("_copy"))
-        .drop("_copy")
+    averaged = rows.select(
+        "*",
+        *[F.avg(c).over(frame).alias(f"_avg_{c}") for c in TEMPERATURES],
+        F.count(F.lit(1)).over(frame).alias("rolling_window_days"),
+    ).filter(~F.col("_copy"))
+    return averaged.select(
+        series,
+        time,
+        *TEMPERATURES,
+        "precipitation_mm",
+        "wind_speed_max_kmh",
+        *[round_half_up(f"_avg_{c}", 2).alias(f"{c}_{window}day_avg") for c in TEMPERATURES],
+        "rolling_window_days",
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -216,6 +217,20 @@ def test_scalar_functions(spark):
     assert tuple(row) == ("Miami", "Miami_2026-03-04", 1.01, -1.01)
 
 
+def test_rounding_equals_the_decimal(spark):
+    """On averages of two-place values, where ties are common, and on awkward ones."""
+    rng = random.Random(3)
+    values = [sum(rng.randint(-9999, 9999) / 100 for _ in range(n)) / n for n in range(1, 31) for _ in range(60)]
+    values += [0.0, -0.0, -0.001, 0.005, -0.005, 1.005, 2.675, -2.675, 999999999.995, 1e9, 5e11, -7.5e10, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for digits in (1, 2, 3, 4):
+        by_decimal = F.round(F.col("x").cast("decimal(18,6)"), digits).cast("double")
+        rows = df.select("x", round_half_up("x", digits).alias("ours"), by_decimal.alias("d")).collect()
+        assert [(r.x, repr(r.ours)) for r in rows] == [(r.x, repr(r.d)) for r in rows]
+    with pytest.raises(Exception, match="(?i)out of range|overflow|cannot be represented"):
+        spark.createDataFrame([(1e13,)], "x double").select(round_half_up("x", 2)).collect()
+
+
 def test_last_days_and_recent_loads(observations):
     loads = [datetime.datetime(2026, 3, 5, h) for h in (3, 1, 2)]
     rows = [{**r, "load_ts": t} for r, t in zip(temps(1.0, 2.0, 3.0), loads)]
