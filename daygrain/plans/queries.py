@@ -13,7 +13,7 @@ from daygrain.operators import analytics, checks, dashboard, forecast, history,
 from daygrain.operators.joins import BROADCAST_ROWS
 from daygrain.operators.upsert import upsert
 from daygrain.plans.daily import model_tables
-from daygrain.schemas import KEYS, METRICS, MOVING_AVG, OBSERVATIONS, STAGE
+from daygrain.schemas import KEYS, METRICS, MOVING_AVG, STAGE
 from daygrain.session import scratch_path
 from daygrain.sources import bucketed, payloads, tables
 from daygrain.sources.bindings import daily_obs, daily_ship
