@@ -23,6 +23,7 @@ file is read once by the driver and travels with the tasks.
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import re
 from collections.abc import Iterator
@@ -40,9 +41,9 @@ from daygrain.llm.common import table, text_or_empty
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Encoded pieces that a task remembers.
-MEMORY = 400_000
+MEMORY = 250_000
 #: Characters of text whose new words make one corpus.
-CORPUS_CHARS = 16_000_000
+CORPUS_CHARS = 4_000_000
 
 #: What may follow letters in a piece without joining them in a match.
 COMMON_ENDS = (",", ".")
@@ -92,8 +93,8 @@ def replay(words: list[bytes], merges: Merges) -> list[bytes]:
     token = merges.byte_token[np.frombuffer(b"".join(words), np.uint8)]
     size, none = len(token), merges.NONE
     ends = np.cumsum(lengths)
-    home = np.repeat(np.arange(len(words)), lengths)
-    follows, precedes = np.arange(1, size + 1), np.arange(-1, size - 1)
+    home = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
+    follows, precedes = np.arange(1, size + 1, dtype=np.int32), np.arange(-1, size - 1, dtype=np.int32)
     follows[ends[lengths > 0] - 1] = -1
     precedes[(ends - lengths)[lengths > 0]] = -1
     alive, pair = np.ones(size, bool), np.full(size, none, np.int32)
@@ -116,7 +117,7 @@ def replay(words: list[bytes], merges: Merges) -> list[bytes]:
                 index[rank] = [places[a:b]]
                 heapq.heappush(waiting, rank)
 
-    inner = np.flatnonzero(follows >= 0)
+    inner = np.flatnonzero(follows >= 0).astype(np.int32)
     pair[inner] = merges.rank(token[inner], token[inner + 1])
     note(inner)
     while waiting:
@@ -292,15 +293,31 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], text: str = "text
     return docs.withColumn(ids, encoder(ranks)(text_or_empty(F.col(text))))
 
 
+def digester(ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN):
+    """A column function from text to the digests of its ids and of the bytes decoded from them.
+
+    Ids and decoded bytes stay in the task, a corpus at a time.
+    """
+    merges = Merges(ranks)
+
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own, back = Encoder(ranks, merges, pattern), Decoder(ranks)
+        for texts in batches:
+            rows = [
+                (len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(back.decode(ids)).hexdigest())
+                for some in corpora(texts.tolist())
+                for ids in own.encode(some)
+            ]
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return digest
+
+
 def encoded_digests(docs: DataFrame, ranks: dict[bytes, int], id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_tokens, ids_sha256 and decoded_sha256, decoded from the ids."""
-    encoded = encode_documents(docs.select(F.col(id).alias("id"), F.col(text).alias("text")), ranks).drop("text")
-    return encoded.withColumn("decoded", decoder(ranks)(F.col("ids"))).select(
-        "id",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    found = docs.select(F.col(id).alias("id"), digester(ranks)(text_or_empty(F.col(text))).alias("found"))
+    return found.select("id", "found.*")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
