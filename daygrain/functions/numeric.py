@@ -17,7 +17,7 @@ def round_half_up(x: Column | str, digits: int) -> Column:
     engine, as ``round(cast(x as decimal(18, 6)), digits)`` does. Counting in
     millionths as a long gives the same without a decimal object per value, which
     was most of the cost of a rolling average. From 1e9 up, where a double no longer
-    holds six places, the decimal is used; from 1e12 up that raises.
+    holds six places, the double itself is rounded; NaN and infinities stay as they are.
 
     ``x`` is evaluated more than once: give a column, not a window expression.
     """
@@ -27,7 +27,7 @@ def round_half_up(x: Column | str, digits: int) -> Column:
     millionths = F.floor(size * 1e6 + 0.5) + step // 2
     kept = millionths - millionths % step
     near = F.when(x < 0, -kept).otherwise(kept) / F.lit(1e6)
-    far = F.round(x.cast("decimal(18,6)"), digits).cast("double")
+    far = F.round(x.cast("double"), digits)
     return F.when(size < 1e9, near).otherwise(far)
 
 

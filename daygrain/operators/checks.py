@@ -79,6 +79,28 @@ def _check_one(name: str, df: DataFrame, checks: TableChecks, series_list) -> Da
         for c, values in checks.accepted.items()
         if values is not SERIES_LIST
     ]
+    parts = []
+    if tests:
+        parts.append(_one_pass(name, df, tests))
+    for column, values in checks.accepted.items():
+        if values is SERIES_LIST:
+            bad = check_accepted(df, column, series_list)
+            parts.append(
+                bad.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures")).select(
+                    F.lit(name).alias("table_name"),
+                    F.lit(column).alias("column_name"),
+                    F.lit("accepted_values").alias("check_name"),
+                    "failures",
+                )
+            )
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def _one_pass(name: str, df: DataFrame, tests: list) -> DataFrame:
+    """The tests that are sums over the table's rows."""
     sums = df.agg(
         *[F.coalesce(F.sum(flag(t)), F.lit(0)).alias(f"t{i}") for i, (_, _, t) in enumerate(tests)]
     )
@@ -91,19 +113,7 @@ def _check_one(name: str, df: DataFrame, checks: TableChecks, series_list) -> Da
         )
         for i, (column, kind, _) in enumerate(tests)
     ]
-    result = sums.select(F.inline(F.array(*entries)))
-    for column, values in checks.accepted.items():
-        if values is SERIES_LIST:
-            bad = check_accepted(df, column, series_list)
-            result = result.unionByName(
-                bad.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures")).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(column).alias("column_name"),
-                    F.lit("accepted_values").alias("check_name"),
-                    "failures",
-                )
-            )
-    return result
+    return sums.select(F.inline(F.array(*entries)))
 
 
 def run_checks(

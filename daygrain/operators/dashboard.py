@@ -60,12 +60,16 @@ def latest_month_avg(moving_avg: DataFrame) -> DataFrame:
 def anomaly_heatmap(
     temp_anomaly: DataFrame, start: str | None = None, end: str | None = None
 ) -> DataFrame:
-    """Anomaly cells (date, series), optionally for a date range.
+    """Anomaly cells (date, series), optionally for a date range, which may be open at either end.
 
     The range is applied to the finished model: averages cover all days.
     """
     if start is not None and end is not None:
         temp_anomaly = between_days(temp_anomaly, start, end)
+    elif start is not None:
+        temp_anomaly = temp_anomaly.filter(F.col("date") >= F.lit(start).cast("date"))
+    elif end is not None:
+        temp_anomaly = temp_anomaly.filter(F.col("date") <= F.lit(end).cast("date"))
     return temp_anomaly.select("date", "city", "temp_max_anomaly")
 
 

@@ -193,8 +193,9 @@ def upsert_observations(
     Only the month partitions the batch touches are read and rewritten. New
     files are staged and moved into place when the job commits, so a job that
     fails leaves the table as it was. (The move is per partition: should the
-    driver die during it, running the same batch again completes the load.)
-    A batch that repeats a key is refused.
+    driver die between removing a month and moving the new one in, that month's
+    other rows are lost.)
+    A batch that repeats a key or holds a NULL in one is refused.
     """
     keys = list(schemas.KEYS)
     # A batch is a few weeks of days. It is parsed once and spills to disk if it must.
@@ -219,11 +220,14 @@ def months_of(batch: DataFrame, keys: list[str]) -> list:
         batch.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"))
         .agg(
+            F.count_if(F.greatest(*[F.col(k).isNull() for k in keys])).alias("unkeyed"),
             F.collect_set(F.trunc("date", "month")).alias("months"),
             F.max_by(F.concat_ws(", ", *keys), F.when(F.col("n") > 1, F.col("n"))).alias("twice"),
         )
         .first()
     )
+    if seen.unkeyed:
+        raise CheckFailed(f"NULL key in batch: {seen.unkeyed} groups of {', '.join(keys)}")
     if seen.twice is not None:
         raise CheckFailed(f"duplicate key in batch: {seen.twice}")
     return seen.months

@@ -35,10 +35,10 @@ from daygrain.sources.tables import (
 from daygrain.streaming.landing import ingest_landed
 
 CITIES = [
-    {"city": "Newport Beach", "lat": 33.6189, "lon": -117.929},
-    {"city": "Boston", "lat": 42.3584, "lon": -71.0598},
-    {"city": "Seattle", "lat": 47.6062, "lon": -112.3321},
-    {"city": "Miami", "lat": 25.7743, "lon": -80.1937},
+    {"city": "Saltmarsh Point", "lat": 31.25, "lon": -110.5},
+    {"city": "Northmere", "lat": 44.75, "lon": -69.25},
+    {"city": "Fernhaven", "lat": 48.5, "lon": -121.75},
+    {"city": "Palmreach", "lat": 26.125, "lon": -81.5},
 ]
 RAW = "raw.city_weather"
 
@@ -85,7 +85,7 @@ def test_three_stages(spark, site):
     ingest(spark, f"{root}/landing", series, root, "2026-03-21 02:30:00")
     raw = source(spark, RAW, root)
     assert raw.count() == 240
-    assert raw.filter("city = 'Boston'").select("latitude").distinct().first()[0] == 42.3584
+    assert raw.filter("city = 'Northmere'").select("latitude").distinct().first()[0] == 44.75
     before = contents(raw)
 
     # The same payloads again change nothing, load times included.
@@ -160,10 +160,10 @@ def test_failing_check_stops_before_the_snapshot(spark, site):
 def test_only_touched_months_are_rewritten(spark, site):
     root, series = site
     table = table_path(root, RAW)
-    land(f"{root}/one", "a", [payload("Boston", "2026-01-01", 59)])
+    land(f"{root}/one", "a", [payload("Northmere", "2026-01-01", 59)])
     ingest(spark, f"{root}/one", series, root, "2026-03-01 00:00:00")
     january = sorted(os.listdir(f"{table}/month=2026-01-01"))
-    land(f"{root}/two", "b", [payload("Boston", "2026-02-10", 30, shift=1.0)])
+    land(f"{root}/two", "b", [payload("Northmere", "2026-02-10", 30, shift=1.0)])
     ingest(spark, f"{root}/two", series, root, "2026-03-12 00:00:00")
     assert sorted(os.listdir(f"{table}/month=2026-01-01")) == january
     rows = read_observations(spark, table).orderBy("date").collect()
@@ -175,10 +175,10 @@ def test_only_touched_months_are_rewritten(spark, site):
 
 def test_failed_merge_leaves_the_table(spark, site):
     root, series = site
-    land(f"{root}/one", "a", [payload("Boston", "2026-01-01", 10)])
+    land(f"{root}/one", "a", [payload("Northmere", "2026-01-01", 10)])
     ingest(spark, f"{root}/one", series, root, "2026-03-01 00:00:00")
     before = contents(source(spark, RAW, root))
-    broken = payload("Boston", "2026-01-01", 10, shift=5.0)
+    broken = payload("Northmere", "2026-01-01", 10, shift=5.0)
     broken["daily"]["weathercode"].pop()
     land(f"{root}/two", "b", [broken])
     with pytest.raises(Exception, match="shorter than time"):
@@ -312,14 +312,14 @@ def test_landed_files_are_taken_once_and_the_newest_fetch_wins(spark, site):
         return {r.date.day: (r.temp_max, r.load_ts.day) for r in read_observations(spark, table).collect()}
 
     # Two fetches of overlapping days land before the first run.
-    land(f"{root}/landing", "a", [payload("Boston", "2026-03-01", 3)])
-    land(f"{root}/landing", "b", [payload("Boston", "2026-03-02", 3, shift=100.0)])
-    os.utime(f"{root}/landing/a-Boston.json", (1_000_000, 1_000_000))
-    os.utime(f"{root}/landing/b-Boston.json", (2_000_000, 2_000_000))
+    land(f"{root}/landing", "a", [payload("Northmere", "2026-03-01", 3)])
+    land(f"{root}/landing", "b", [payload("Northmere", "2026-03-02", 3, shift=100.0)])
+    os.utime(f"{root}/landing/a-Northmere.json", (1_000_000, 1_000_000))
+    os.utime(f"{root}/landing/b-Northmere.json", (2_000_000, 2_000_000))
     first = run("2026-03-05 00:00:00")
     assert {d: v[0] for d, v in first.items()} == {1: 15.0, 2: 115.0, 3: 121.0, 4: 120.0}
     assert run("2026-03-06 00:00:00") == first
 
-    land(f"{root}/landing", "c", [payload("Boston", "2026-03-04", 2)])
+    land(f"{root}/landing", "c", [payload("Northmere", "2026-03-04", 2)])
     third = run("2026-03-07 00:00:00")
     assert third[4] == (15.0, 5) and third[5] == (21.0, 7)

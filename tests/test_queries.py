@@ -6,9 +6,11 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import connect, differences
+from daygrain.plans.oracle import ORACLE as OWN_ORACLE
+from daygrain.plans.queries import QUERIES as OWN_QUERIES
 
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = {name: driver.queries()[name] for name in OWN_QUERIES}
+ORACLE = {name: driver.oracle_sql()[name] for name in OWN_ORACLE}
 
 
 @pytest.fixture(scope="module")
