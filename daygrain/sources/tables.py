@@ -1,20 +1,22 @@
-"""Parquet tables: atomic full rebuilds, partition-wise upserts, appended logs."""
+"""Parquet tables: atomic full rebuilds, month-wise upserts, logs of runs."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import StructType, TimestampNTZType
 
 from daygrain import schemas
 from daygrain.operators.checks import CheckFailed
 from daygrain.operators.history import snapshot_scd2, touched_months
 from daygrain.operators.upsert import upsert
+from daygrain.sources import months as monthly
 
-#: Named tables and their schemas.
+# Named tables and their schemas.
 CATALOG = {
     "raw.city_weather": schemas.OBSERVATIONS,
     "dbt.moving_avg": schemas.MOVING_AVG,
@@ -29,7 +31,8 @@ CATALOG = {
 }
 
 _VERSION = "version-"
-_MONTH = StructField("month", DateType(), True)
+#: Key under which a manifest names the current version of a rebuilt table.
+_CURRENT = "current"
 
 
 def table_path(root: str, name: str) -> str:
@@ -43,30 +46,10 @@ def table_path(root: str, name: str) -> str:
 # --------------------------------------------------------------------------
 
 
-def _filesystem(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location, jvm
-
-
-def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
-    """(number, committed) of each version; only finished jobs leave _SUCCESS."""
-    fs, location, jvm = _filesystem(spark, path)
-    if not fs.exists(location):
-        return []
-    found = []
-    for status in fs.listStatus(location):
-        name = status.getPath().getName()
-        if name.startswith(_VERSION):
-            done = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
-            found.append((int(name.removeprefix(_VERSION)), done))
-    return sorted(found)
-
-
 def current_version(spark: SparkSession, path: str) -> str | None:
-    """Folder of the newest committed version, or None."""
-    done = [number for number, committed in _versions(spark, path) if committed]
-    return f"{path}/{_VERSION}{done[-1]:08d}" if done else None
+    """Folder of the version the newest manifest names, or None."""
+    entries = monthly.manifest(spark, path)[1]
+    return f"{path}/{entries[_CURRENT]}" if entries else None
 
 
 def publish(
@@ -74,8 +57,9 @@ def publish(
 ) -> str:
     """Write a full rebuild as a new version and return its folder.
 
-    A version becomes the current one when its job commits, so readers see the
-    old or the new table, never a part, and a failed build leaves the old one.
+    A version becomes the current one when a manifest that names it is renamed into
+    place, so readers see the old or the new table, never a part, and a failed build
+    leaves the old one.
     Rows are sorted within files only; after a window over the same columns that
     sort is free, and adaptive execution has sized the partitions.
 
@@ -83,28 +67,32 @@ def publish(
     are mostly read by date range. A month that dominates is split over tasks.
     """
     spark = df.sparkSession
-    taken = _versions(spark, path)
-    number = taken[-1][0] + 1 if taken else 1
-    target = f"{path}/{_VERSION}{number:08d}"
+    number = monthly.manifest(spark, path)[0] + 1
+    version = f"{_VERSION}{number:08d}-{uuid.uuid4().hex[:8]}"
+    target = f"{path}/{version}"
     if by_month:
-        monthly = df.withColumn("month", F.trunc("date", "month")).hint("rebalance", "month")
-        monthly = monthly.sortWithinPartitions("month", *sort_by)
-        monthly.write.mode("errorifexists").partitionBy("month").parquet(target)
-        return target
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("errorifexists").parquet(target)
+        by = df.withColumn("month", F.trunc("date", "month")).hint("rebalance", "month")
+        by.sortWithinPartitions("month", *sort_by).write.partitionBy("month").parquet(target)
+    else:
+        out = df.sortWithinPartitions(*sort_by) if sort_by else df
+        out.write.parquet(target)
+    monthly.switch(spark, path, number, {_CURRENT: version})
     return target
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Delete all but the newest ``keep`` committed versions; returns the folders."""
+    """Delete all but the newest ``keep`` versions, and those of builds that were cut off.
+
+    Returns the deleted folders. For the table's writer, between its builds.
+    """
     if keep < 1:
         raise ValueError("keep must be at least 1")
-    fs, _, jvm = _filesystem(spark, path)
-    done = [number for number, committed in _versions(spark, path) if committed]
-    gone = [f"{path}/{_VERSION}{number:08d}" for number in done[:-keep]]
+    kept = set(monthly.kept_entries(spark, path, keep).values())
+    found = [name for name in monthly.children(spark, path) if name.startswith(_VERSION)]
+    gone = [f"{path}/{name}" for name in found if name not in kept]
     for folder in gone:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+        monthly.delete(spark, folder)
+    monthly.drop_manifests(spark, path, keep)
     return gone
 
 
@@ -119,38 +107,28 @@ def load(
     version = current_version(spark, path)
     if version is None:
         raise FileNotFoundError(f"no committed version under {path}")
-    if _is_by_month(spark, version):
-        return _between(_read_months(spark, version, schema), start, end).drop("month")
+    if any(name.startswith("month=") for name in monthly.children(spark, version)):
+        stored = StructType(schema.fields + [monthly.MONTH])
+        rows = spark.read.schema(stored).parquet(version)
+        return _between(rows, start, end).drop("month")
     return _between(spark.read.schema(schema).parquet(version), start, end)
 
 
-def _is_by_month(spark: SparkSession, folder: str) -> bool:
-    fs, location, _ = _filesystem(spark, folder)
-    return any(s.getPath().getName().startswith("month=") for s in fs.listStatus(location))
-
-
 # --------------------------------------------------------------------------
-# The fact table: partitioned by month, upserted in place
+# The fact table: stored by month, touched months replaced in one commit
 # --------------------------------------------------------------------------
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, location, _ = _filesystem(spark, path)
-    return fs.exists(location)
-
-
-def _read_months(
-    spark: SparkSession, path: str, schema: StructType, months: Sequence | None = None
-) -> DataFrame:
-    df = spark.read.schema(StructType(schema.fields + [_MONTH])).parquet(path)
-    return df if months is None else df.filter(F.col("month").isin(list(months)))
+    """Whether a table stored by month has had a commit."""
+    return monthly.exists(spark, path)
 
 
 def read_observations(
     spark: SparkSession, path: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Read the fact table; a date range also prunes the month partitions."""
-    return _between(_read_months(spark, path, schemas.OBSERVATIONS), start, end).drop("month")
+    return _between(monthly.read(spark, path, schemas.OBSERVATIONS), start, end).drop("month")
 
 
 def _between(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
@@ -169,18 +147,6 @@ def _between(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
     return df
 
 
-def _write_months(df: DataFrame, path: str) -> None:
-    (
-        df.withColumn("month", F.trunc("date", "month"))
-        .hint("rebalance", "month")
-        .sortWithinPartitions("month", "city", "date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(path)
-    )
-
-
 def upsert_observations(
     spark: SparkSession,
     path: str,
@@ -190,11 +156,9 @@ def upsert_observations(
 ) -> None:
     """Merge a staged batch into the fact table.
 
-    Only the month partitions the batch touches are read and rewritten. New
-    files are staged and moved into place when the job commits, so a job that
-    fails leaves the table as it was. (The move is per partition: should the
-    driver die between removing a month and moving the new one in, that month's
-    other rows are lost.)
+    Only the months the batch touches are read and written again, as new files that
+    one manifest brings in (:mod:`daygrain.sources.months`): a job that fails, at any
+    step, leaves the table as it was, and can be run again.
     A batch that repeats a key or holds a NULL in one is refused.
     """
     keys = list(schemas.KEYS)
@@ -202,11 +166,8 @@ def upsert_observations(
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         months = months_of(batch, keys)
-        if path_exists(spark, path):
-            target = _read_months(spark, path, schemas.OBSERVATIONS, months).drop("month")
-        else:
-            target = spark.createDataFrame([], schemas.OBSERVATIONS)
-        _write_months(upsert(target, batch, keys, load_ts, touch_on_update), path)
+        target = monthly.read(spark, path, schemas.OBSERVATIONS, months).drop("month")
+        monthly.write(upsert(target, batch, keys, load_ts, touch_on_update), path)
     finally:
         batch.unpersist()
 
@@ -239,7 +200,7 @@ def months_of(batch: DataFrame, keys: list[str]) -> list:
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return _read_months(spark, path, schemas.HISTORY).drop("month")
+    return monthly.read(spark, path, schemas.HISTORY).drop("month")
 
 
 def write_snapshot(
@@ -257,15 +218,15 @@ def write_snapshot(
     daily run over a long history writes its last months and whatever was corrected.
     """
     if not path_exists(spark, path):
-        _write_months(snapshot_scd2(None, current, run_ts, strategy, **options), path)
+        monthly.write(snapshot_scd2(None, current, run_ts, strategy, **options), path)
         return []
-    history = _read_months(spark, path, schemas.HISTORY)
+    history = monthly.read(spark, path, schemas.HISTORY)
     changes = touched_months(history, current, run_ts, strategy=strategy, **options)
     months = sorted(r.month for r in changes.collect())
     if months:
-        past = _read_months(spark, path, schemas.HISTORY, months).drop("month")
+        past = monthly.read(spark, path, schemas.HISTORY, months).drop("month")
         now = current.filter(F.trunc("date", "month").isin(months))
-        _write_months(snapshot_scd2(past, now, run_ts, strategy, **options), path)
+        monthly.write(snapshot_scd2(past, now, run_ts, strategy, **options), path)
     return months
 
 

@@ -14,7 +14,7 @@ from daygrain.operators.checks import CheckFailed, TableChecks, check_accepted,
 from daygrain.operators.history import snapshot_scd2
 from daygrain.plans.daily import build_models, ingest, train_and_predict
 from daygrain.schemas import FINAL, METRICS, MOVING_AVG
-from daygrain.sources import bucketed
+from daygrain.sources import bucketed, months
 from daygrain.sources.tables import (
     append_run,
     create_database,
@@ -128,21 +128,23 @@ def test_three_stages_on_a_bucketed_table(spark, site):
         assert contents(table) == contents(source(spark, RAW, f"{root}/plain"))
         assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
         # One file per bucket and month at most.
-        for month in os.listdir(f"{root}/bucketed"):
-            if month.startswith("month="):
-                files = [f for f in os.listdir(f"{root}/bucketed/{month}") if f.endswith(".parquet")]
-                assert 0 < len(files) <= 4
+        held = months.manifest(spark, f"{root}/bucketed")[1]
+        assert set(held) == {"month=2026-01-01", "month=2026-02-01", "month=2026-03-01"}
+        for month, batch in held.items():
+            files = os.listdir(f"{root}/bucketed/{batch}/{month}")
+            assert 0 < len([f for f in files if f.endswith(".parquet")]) <= 4
 
         train_and_predict(spark, root, "2026-03-22 03:30:00", bucketed_table=name)
         assert build_models(spark, root, series, "2026-03-22 04:30:00", bucketed_table=name).count() == 30
 
         # The catalog entry is only a name for the files.
         before = contents(table)
-        spark.sql(f"DROP TABLE {name}")
+        bucketed.drop(spark, name)
         bucketed.register(spark, name, f"{root}/bucketed", buckets=4)
         assert contents(bucketed.read(spark, name)) == before
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        bucketed.drop(spark, name)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(name)]
 
 
 def test_failing_check_stops_before_the_snapshot(spark, site):
@@ -162,10 +164,10 @@ def test_only_touched_months_are_rewritten(spark, site):
     table = table_path(root, RAW)
     land(f"{root}/one", "a", [payload("Northmere", "2026-01-01", 59)])
     ingest(spark, f"{root}/one", series, root, "2026-03-01 00:00:00")
-    january = sorted(os.listdir(f"{table}/month=2026-01-01"))
+    january = months.manifest(spark, table)[1]["month=2026-01-01"]
     land(f"{root}/two", "b", [payload("Northmere", "2026-02-10", 30, shift=1.0)])
     ingest(spark, f"{root}/two", series, root, "2026-03-12 00:00:00")
-    assert sorted(os.listdir(f"{table}/month=2026-01-01")) == january
+    assert months.manifest(spark, table)[1]["month=2026-01-01"] == january
     rows = read_observations(spark, table).orderBy("date").collect()
     assert len(rows) == 59 + 11  # January and February, then 1 to 11 March
     changed = [r for r in rows if r.date >= datetime.date(2026, 2, 10)]
@@ -202,6 +204,80 @@ def test_error_while_writing_leaves_the_table(spark, site, observations):
     assert contents(read_observations(spark, table)) == before
 
 
+class Stop(Exception):
+    """Stands for a driver that dies."""
+
+
+@pytest.mark.parametrize("step", ["commit", "switch", "tidy"])
+@pytest.mark.parametrize("kind", ["fact", "bucketed", "history"])
+def test_commit_cut_off_at_any_step(spark, tmp_path, observations, monkeypatch, step, kind):
+    from daygrain.schemas import STAGE
+    from daygrain.sources.payloads import conform
+
+    first = [{"day": d, "temp_max": float(d)} for d in range(1, 60)]
+    second = [{"day": d, "temp_max": 100.0 + d} for d in range(20, 40)]  # March and April
+    whole = [r for r in first if not 20 <= r["day"] < 40] + second
+    name = f"cut_{step}"
+
+    def run(path, rows, day):
+        moment = f"2026-06-{day:02d} 00:00:00"
+        if kind == "history":
+            write_snapshot(spark, path, observations(*(whole if day > 1 else first)), moment, "check")
+        elif kind == "fact":
+            upsert_observations(spark, path, conform(observations(*rows), STAGE), moment)
+        else:
+            bucketed.upsert_bucketed(spark, name, conform(observations(*rows), STAGE), moment)
+
+    def stored(path):
+        if kind == "bucketed":
+            return contents(bucketed.read(spark, name))
+        return contents(read_history(spark, path) if kind == "history" else read_observations(spark, path))
+
+    def start(path):
+        if kind == "bucketed":
+            bucketed.drop(spark, name)
+            bucketed.register(spark, name, path, buckets=2)
+        run(path, first, 1)
+
+    try:
+        plain = str(tmp_path / "plain")
+        start(plain)
+        run(plain, second, 2)
+        expected = stored(plain)
+
+        path = str(tmp_path / "cut")
+        start(path)
+        before = stored(path)
+
+        def stop(*_, **__):
+            raise Stop
+
+        with monkeypatch.context() as cut:
+            cut.setattr(months, step, stop)
+            with pytest.raises(Stop):
+                run(path, second, 2)
+        # Until the manifest is in place readers have the old table, from then on the new one.
+        assert stored(path) == (expected if step == "tidy" else before)
+        run(path, second, 2)
+        assert stored(path) == expected
+        held = {batch for batch in os.listdir(path) if batch.startswith("batch=")}
+        kept = months.kept_entries(spark, path, months.KEPT_COMMITS)
+        # A history that is already up to date makes no commit, so nothing is tidied.
+        assert held == set(kept.values()) or (kind, step) == ("history", "tidy")
+    finally:
+        if kind == "bucketed":
+            bucketed.drop(spark, name)
+
+
+def test_a_second_writer_is_refused(spark, tmp_path, observations):
+    path = str(tmp_path / "t")
+    months.write(observations({"day": 1}), path)
+    batch = months.write_batch(observations({"day": 2}), path, ("city",))
+    months.write(observations({"day": 3}), path)
+    with pytest.raises(RuntimeError, match="another writer"):
+        months.switch(spark, path, 2, {"month=2026-03-01": batch})
+
+
 def test_failed_publish_leaves_the_old_version(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.range(10).withColumn("x", F.col("id") * 2)
@@ -215,7 +291,9 @@ def test_failed_publish_leaves_the_old_version(spark, tmp_path):
     assert load(spark, path, df.schema).count() == 3
     assert load(spark, path, df.schema).columns == ["id", "x"]
     third = publish(df, path)
-    assert drop_old_versions(spark, path, keep=1) == [first, second]
+    gone = drop_old_versions(spark, path, keep=1)
+    assert {first, second} < set(gone)  # and the folder of the build that failed
+    assert sorted(os.listdir(path)) == ["_manifest", os.path.basename(third)]
     assert current_version(spark, path) == third
 
 
@@ -317,9 +395,9 @@ def test_landed_files_are_taken_once_and_the_newest_fetch_wins(spark, site):
     os.utime(f"{root}/landing/a-Northmere.json", (1_000_000, 1_000_000))
     os.utime(f"{root}/landing/b-Northmere.json", (2_000_000, 2_000_000))
     first = run("2026-03-05 00:00:00")
-    assert {d: v[0] for d, v in first.items()} == {1: 15.0, 2: 115.0, 3: 121.0, 4: 120.0}
+    assert {d: v[0] for d, v in first.items()} == {1: 15.0, 2: 115.0, 3: 117.0, 4: 119.0}
     assert run("2026-03-06 00:00:00") == first
 
     land(f"{root}/landing", "c", [payload("Northmere", "2026-03-04", 2)])
     third = run("2026-03-07 00:00:00")
-    assert third[4] == (15.0, 5) and third[5] == (21.0, 7)
+    assert third[4] == (15.0, 5) and third[5] == (17.0, 7)

@@ -159,7 +159,7 @@ def test_bucketed_table_needs_no_shuffle_by_series(spark, data_dir, tmp_path):
         stored = text[text.index("FullOuter") : text.index("Bucketed: true")]
         assert "Exchange" not in stored
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        bucketed.drop(spark, name)
 
 
 def test_merge_and_history_join_on_the_whole_key(raw):
