@@ -15,10 +15,12 @@ from daygrain.functions import (
     round_half_up,
     sigma_flag,
 )
+from daygrain.operators.bands import rows_below, value_bands, with_band
 from daygrain.operators.joins import attach_series_stats
 from daygrain.operators.series import (
     before,
     block_number,
+    meet,
     rows_back,
     running,
     with_preceding_rows,
@@ -90,11 +92,12 @@ def temp_ranks(
 
     Missing values sort last. The day breaks ties for the quartile only: equal
     values share a percent rank. With ``block_days`` a series is cut into bands
-    of values, see :func:`_ranks_in_bands`.
+    of values rather than days, see :func:`daygrain.operators.bands.value_bands`; that
+    runs one job at once.
     """
     rows = df.select(series, time, "temp_max", "temp_min")
     if block_days:
-        ranked = _ranks_in_bands(rows, series, time, value, block_days)
+        ranked = _ranks_in_bands(rows, series, time, value)
     else:
         by_value = W.partitionBy(series).orderBy(F.col(value).asc_nulls_last())
         by_value_and_day = by_value.orderBy(F.col(value).asc_nulls_last(), F.col(time).asc())
@@ -114,32 +117,14 @@ def temp_ranks(
     )
 
 
-def _ranks_in_bands(
-    rows: DataFrame, series: str, time: str, value: str, block_days: int, bands: int = 64
-) -> DataFrame:
-    """Rank within bands of equal width and add the rows in the bands below.
-
-    A band depends only on the least and greatest value of its series, so it comes
-    out the same however often it is computed, and equal values share a band.
-    """
-    limits = {"_low": F.min(value), "_high": F.max(value), "_n": F.count(F.lit(1))}
-    rows = attach_series_stats(rows, series, limits, time, block_days)
-    position = F.floor((F.col(value) - F.col("_low")) / (F.col("_high") - F.col("_low")) * bands)
-    band = (
-        F.when(F.col(value).isNull(), F.lit(bands + 1))
-        .when(F.col("_high") > F.col("_low"), position)
-        .otherwise(F.lit(0))
-    )
-    rows = rows.withColumn("_band", band.cast("int"))
-    below = rows.groupBy(series, "_band").agg(F.count(F.lit(1)).alias("n_band"))
-    below = below.select(
-        series,
-        "_band",
-        F.coalesce(F.sum("n_band").over(before(series, "_band")), F.lit(0)).alias("_below"),
-    )
+def _ranks_in_bands(rows: DataFrame, series: str, time: str, value: str) -> DataFrame:
+    """Rank within bands of values and add the rows in the bands below."""
+    cuts = value_bands(rows, series, value)
+    rows = with_band(rows, cuts, series, value)
+    below = rows_below(rows.groupBy(series, "_band").agg(F.count(F.lit(1)).alias("n")), series)
     in_band = W.partitionBy(series, "_band").orderBy(F.col(value).asc_nulls_last())
     in_band_by_day = in_band.orderBy(F.col(value).asc_nulls_last(), F.col(time).asc())
-    rows = rows.join(below, [series, "_band"]).select(
+    rows = meet(rows, below, [series, "_band"]).select(
         *[c for c in rows.columns if c != "_band"],
         (F.col("_below") + F.rank().over(in_band) - 1).alias("_smaller"),
         (F.col("_below") + F.row_number().over(in_band_by_day) - 1).alias("_index"),
@@ -179,7 +164,7 @@ def rain_streaks(
             *keys,
             F.coalesce(F.sum("n_dry").over(before(series, "_block")), F.lit(0)).alias("_offset"),
         )
-        rows = rows.join(carry, keys)
+        rows = meet(rows, carry, keys)
         offset = F.col("_offset")
     run = (F.sum("_dry").over(running(keys, time)) + offset).alias("_run")
     return (

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.functions import round_half_up
-from daygrain.operators.joins import attach_series_stats
+from daygrain.operators.bands import rows_below, value_bands, with_band
+from daygrain.operators.series import meet, running, whole
 
 
 def between_days(df: DataFrame, start: str, end: str, time: str = "date") -> DataFrame:
@@ -73,11 +74,21 @@ def anomaly_heatmap(
     return temp_anomaly.select("date", "city", "temp_max_anomaly")
 
 
-def heatmap_matrix(cells: DataFrame, names: Sequence[str], value: str) -> DataFrame:
-    """One row per day and one column per named series."""
-    return cells.filter(F.col("city").isin(*names)).groupBy("date").pivot(
-        "city", list(names)
-    ).agg(F.max(value))
+def heatmap_matrix(
+    cells: DataFrame, value: str = "temp_max_anomaly", tile_digits: int = 1
+) -> DataFrame:
+    """All series of a day side by side: (date, tile, cells), cells a map of series to value.
+
+    A column per series does not scale, and a day of all series has no bound either, so
+    a day is cut into ``16 ** tile_digits`` tiles by a digest of the series.
+    """
+    tile = F.substring(F.md5(F.col("city").cast("binary")), 1, tile_digits)
+    entries = F.array_sort(F.collect_list(F.struct("city", value)))
+    return (
+        cells.filter(F.col("city").isNotNull())
+        .groupBy("date", tile.alias("tile"))
+        .agg(F.map_from_entries(entries).alias("cells"))
+    )
 
 
 def avg_rainy_days(rolling_precip: DataFrame, series: str = "city") -> DataFrame:
@@ -107,46 +118,74 @@ def rain_temp_relation(points: DataFrame, series: str = "city") -> DataFrame:
     )
 
 
-def _fenced(
-    df: DataFrame, series: str, value: str, time: str, block_days, max_broadcast_rows
-) -> DataFrame:
-    quartiles = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    stats = {"_q": quartiles, "_low": F.min(value), "_high": F.max(value)}
-    rows = df.select(series, time, value).filter(F.col(value).isNotNull())
-    rows = attach_series_stats(rows, series, stats, time, block_days, max_broadcast_rows)
-    reach = 1.5 * (F.col("_q")[2] - F.col("_q")[0])
-    return rows.withColumn("_floor", F.col("_q")[0] - reach).withColumn(
-        "_ceiling", F.col("_q")[2] + reach
+def _box(
+    df: DataFrame, series: str, value: str, block_days: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """(values, box): rows per distinct value, and exact quartiles and fences per series.
+
+    Equal values are counted before they move. A running count over the distinct values
+    tells where each quartile lies; with ``block_days`` it runs within bands of values.
+    """
+    kept = df.select(series, value).filter(F.col(value).isNotNull())
+    values = kept.groupBy(series, value).agg(F.count(F.lit(1)).alias("n"))
+    if block_days:
+        cuts = value_bands(kept, series, value)
+        banded = with_band(values, cuts, series, value)
+        below = rows_below(banded.groupBy(series, "_band").agg(F.sum("n").alias("n")), series)
+        counted = meet(banded, below, [series, "_band"]).withColumn(
+            "_up_to", F.col("_below") + F.sum("n").over(running([series, "_band"], value))
+        )
+    else:
+        counted = values.select(
+            "*",
+            F.sum("n").over(running(series, value)).alias("_up_to"),
+            F.sum("n").over(whole(series)).alias("_n"),
+        )
+    ends = {"min_value": F.min(value), "max_value": F.max(value)}
+    for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        place = (F.col("_n") - 1) * F.lit(share)
+        for side, at in (("low", F.floor(place)), ("high", F.ceil(place))):
+            ends[f"_{name}_{side}"] = F.min(F.when(F.col("_up_to") > at, F.col(value)))
+    box = counted.groupBy(series).agg(
+        F.first("_n").alias("_n"), *[expr.alias(name) for name, expr in ends.items()]
+    )
+    for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+        low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
+        place = (F.col("_n") - 1) * F.lit(share)
+        between = (F.ceil(place) - place) * low + (place - F.floor(place)) * high
+        box = box.withColumn(name, F.when(low == high, low).otherwise(between))
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    return values, box.select(
+        series,
+        *("min_value", "q1", "median", "q3", "max_value"),
+        (F.col("q1") - reach).alias("lower_fence"),
+        (F.col("q3") + reach).alias("upper_fence"),
     )
 
 
+def _outside(value: str) -> Column:
+    return (F.col(value) < F.col("lower_fence")) | (F.col(value) > F.col("upper_fence"))
+
+
 def temp_distribution(
     df: DataFrame,
     series: str = "city",
-    time: str = "date",
     value: str = "temp_max",
     block_days: int | None = None,
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Box plot of each series: five numbers, fences and number of outliers.
 
     Exact quartiles. An outlier lies more than 1.5 interquartile ranges outside.
     """
-    outside = (F.col(value) < F.col("_floor")) | (F.col(value) > F.col("_ceiling"))
-    fenced = _fenced(df, series, value, time, block_days, max_broadcast_rows)
-    box = fenced.groupBy(series).agg(
-        F.max("_low").alias("min_value"),
-        F.max(F.col("_q")[0]).alias("q1"),
-        F.max(F.col("_q")[1]).alias("median"),
-        F.max(F.col("_q")[2]).alias("q3"),
-        F.max("_high").alias("max_value"),
-        F.max("_floor").alias("lower_fence"),
-        F.max("_ceiling").alias("upper_fence"),
-        F.count(F.when(outside, F.lit(1))).alias("n_outliers"),
+    values, box = _box(df, series, value, block_days)
+    outliers = F.coalesce(F.sum(F.when(_outside(value), F.col("n"))), F.lit(0))
+    stats = [c for c in box.columns if c != series]
+    counted = meet(values, box, [series]).groupBy(series).agg(
+        *[F.first(c).alias(c) for c in stats], outliers.alias("n_outliers")
     )
     rounded = ("q1", "median", "q3", "lower_fence", "upper_fence")
-    return box.select(
-        *[round_half_up(c, 4).alias(c) if c in rounded else F.col(c) for c in box.columns]
+    return counted.select(
+        *[round_half_up(c, 4).alias(c) if c in rounded else F.col(c) for c in counted.columns]
     )
 
 
@@ -156,12 +195,11 @@ def temp_outliers(
     time: str = "date",
     value: str = "temp_max",
     block_days: int | None = None,
-    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """The single days that lie outside the box-plot fences of their series."""
-    fenced = _fenced(df, series, value, time, block_days, max_broadcast_rows)
-    outside = (F.col(value) < F.col("_floor")) | (F.col(value) > F.col("_ceiling"))
-    return fenced.filter(outside).select(series, time, value)
+    fences = _box(df, series, value, block_days)[1].select(series, "lower_fence", "upper_fence")
+    rows = df.select(series, time, value).filter(F.col(value).isNotNull())
+    return meet(rows, fences, [series]).filter(_outside(value)).select(series, time, value)
 
 
 def monthly_averages(df: DataFrame, series: str = "city", time: str = "date") -> DataFrame:
@@ -173,18 +211,34 @@ def monthly_averages(df: DataFrame, series: str = "city", time: str = "date") ->
 
 
 def monthly_pivot(
-    df: DataFrame, months: Sequence[str], series: str = "city", time: str = "date"
+    df: DataFrame, months: Sequence[str] | None = None, series: str = "city", time: str = "date"
 ) -> DataFrame:
-    """One row per series and two columns per listed month (``YYYY-MM``).
+    """One row per series and two columns per month (``YYYY-MM``).
 
-    The months are given, so no extra job has to find them.
+    Unless months are given, one job finds those of the table, a list bounded by the
+    calendar. Rows without a day belong to no month.
     """
-    return (
-        df.withColumn("month", F.date_format(time, "yyyy-MM"))
-        .groupBy(series)
-        .pivot("month", list(months))
-        .agg(
-            round_half_up(F.avg("precipitation_mm"), 2).alias("avg_mm"),
-            round_half_up(F.avg("temp_max"), 2).alias("avg_temp"),
-        )
+    dated = df.withColumn("month", F.date_format(time, "yyyy-MM"))
+    if months is None:
+        found = dated.select("month").filter(F.col("month").isNotNull()).distinct()
+        months = sorted(r.month for r in found.collect())
+    return dated.groupBy(series).pivot("month", list(months)).agg(*_month_values())
+
+
+def yearly_pivot(df: DataFrame, series: str = "city", time: str = "date") -> DataFrame:
+    """One row per series and year and two columns per month (``m01`` to ``m12``).
+
+    Covers the whole table with the same columns however many years there are.
+    """
+    months = [f"m{m:02d}" for m in range(1, 13)]
+    dated = df.withColumn("year", F.year(time).cast("bigint")).withColumn(
+        "month", F.concat(F.lit("m"), F.date_format(time, "MM"))
     )
+    return dated.groupBy(series, "year").pivot("month", months).agg(*_month_values())
+
+
+def _month_values() -> list[Column]:
+    return [
+        round_half_up(F.avg("precipitation_mm"), 2).alias("avg_mm"),
+        round_half_up(F.avg("temp_max"), 2).alias("avg_temp"),
+    ]

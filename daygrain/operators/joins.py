@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daygrain.operators.series import block_number, whole
+from daygrain.operators.series import block_number, meet, whole
 
 #: Broadcast limit in rows. A row here is a key and a few doubles, so the limit
 #: stands for roughly 20 MB in each executor.
@@ -32,7 +32,9 @@ def attach_series_stats(
 ) -> DataFrame:
     """Give every row the aggregates of its own series.
 
-    Three plans, equal results:
+    Rows without a series form one of their own. Three plans with equal rows; a window
+    and an aggregate may add doubles in another order, so that the last bits of an
+    average can differ between them:
 
     * by default one window over each series: one scan, one shuffle on the key;
     * ``max_broadcast_rows`` set: count the series, and where they fit, aggregate and
@@ -42,18 +44,14 @@ def attach_series_stats(
       splits a long series over several tasks.
     """
     columns = [expr.alias(name) for name, expr in stats.items()]
-    df = df.filter(F.col(series).isNotNull())
     if block_days:
         blocked = df.withColumn("_block", block_number(time, block_days))
-        per_block = (
-            blocked.select(series, "_block")
-            .distinct()
-            .join(df.groupBy(series).agg(*columns), series)
-        )
-        return blocked.join(per_block, [series, "_block"]).drop("_block")
+        known = blocked.select(series, "_block").distinct()
+        per_block = meet(known, df.groupBy(series).agg(*columns), [series])
+        return meet(blocked, per_block, [series, "_block"]).drop("_block")
     if max_broadcast_rows is not None:
         known = df.select(series).distinct().limit(max_broadcast_rows + 1).count()
         if known <= max_broadcast_rows:
-            return df.join(F.broadcast(df.groupBy(series).agg(*columns)), series)
+            return meet(df, F.broadcast(df.groupBy(series).agg(*columns)), [series])
     w = whole(series)
     return df.select("*", *[expr.over(w).alias(name) for name, expr in stats.items()])

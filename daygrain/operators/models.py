@@ -20,6 +20,7 @@ from daygrain.operators.joins import attach_series_stats
 from daygrain.operators.series import (
     before,
     block_number,
+    meet,
     ordered,
     rows_back,
     running,
@@ -76,9 +77,12 @@ def temp_anomaly(
     """Difference of each day from its series' average.
 
     The average is rounded first and then subtracted; the category tests the
-    unrounded difference. Only a missing maximum drops a row.
+    unrounded difference. A missing maximum drops a row, and so does a missing series,
+    which meets no average.
     """
-    rows = df.select(series, time, *TEMPERATURES).filter(F.col("temp_max").isNotNull())
+    rows = df.select(series, time, *TEMPERATURES).filter(
+        F.col("temp_max").isNotNull() & F.col(series).isNotNull()
+    )
     averages = {f"avg_{c}": F.avg(c) for c in TEMPERATURES}
     rows = attach_series_stats(rows, series, averages, time, block_days, max_broadcast_rows)
     rows = rows.select(
@@ -170,7 +174,7 @@ def dry_spell(
 
     carried, longest_before = F.lit(0), F.lit(0)
     if block_days:
-        rows = rows.join(_dry_spell_carry(rows, series, opening_day), keys)
+        rows = meet(rows, _dry_spell_carry(rows, series, opening_day), keys)
         carried, longest_before = F.col("_carried"), F.col("_longest_before")
 
     days = F.coalesce("_days", F.col("_row") + carried).cast("bigint")

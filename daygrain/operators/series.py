@@ -19,9 +19,12 @@ from pyspark.sql import functions as F
 #: Above this many calendar days per series, `choose_block_days` cuts series up.
 MAX_SERIES_DAYS = 200_000
 
+#: Rows without a day come first in their series.
+_BEFORE_ALL_DAYS = -(2**31)
+
 
 def ordered(keys: str | list[str], time: str) -> WindowSpec:
-    # The key is never NULL; the default order is the one tables are sorted by on write.
+    # The default order, NULL days first, is the one tables are sorted by on write.
     return W.partitionBy(keys).orderBy(F.col(time).asc())
 
 
@@ -46,6 +49,17 @@ def block_number(time: str, days: int) -> Column:
     return F.floor(F.unix_date(F.col(time)) / F.lit(days)).cast("int")
 
 
+def meet(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL meets NULL, as it does in a window or a group."""
+    named = right.select(
+        *[F.col(k).alias(f"_right_{k}") for k in keys], *[c for c in right.columns if c not in keys]
+    )
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_right_{k}"))
+    return left.join(named, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def choose_block_days(
     df: DataFrame, time: str = "date", max_days: int = MAX_SERIES_DAYS
 ) -> int | None:
@@ -72,11 +86,15 @@ def with_preceding_rows(
     if not block_days:
         return df.withColumn("_copy", F.lit(False)), [series]
 
-    blocked = df.withColumn("_block", block_number(time, block_days))
-    # Last dates of each block. A block has at most block_days rows, so the list is bounded.
-    tails = blocked.groupBy(series, "_block").agg(
-        F.slice(F.sort_array(F.collect_list(time), asc=False), 1, preceding).alias("tail")
+    blocked = df.withColumn("_block", block_number(time, block_days)).withColumn(
+        "_day", F.coalesce(F.unix_date(F.col(time)), F.lit(_BEFORE_ALL_DAYS))
     )
+    # Last days of each block: a rank limit that Spark applies before the shuffle as well.
+    newest = W.partitionBy(series, "_block").orderBy(F.desc("_day"))
+    last_rows = blocked.select(
+        series, "_block", "_day", F.row_number().over(newest).alias("_age")
+    ).filter(F.col("_age") <= preceding)
+    tails = last_rows.groupBy(series, "_block").agg(F.collect_list("_day").alias("tail"))
     by_block = ordered(series, "_block")
     earlier = by_block.rowsBetween(-preceding, -1)
     later = by_block.rowsBetween(1, preceding)
@@ -90,13 +108,13 @@ def with_preceding_rows(
         "_block",
         F.collect_list(F.struct("_block", "since")).over(later).alias("feeds"),
     )
-    feeding = F.filter("feeds", lambda f: f["since"] <= F.col(time))
+    feeding = F.filter("feeds", lambda f: f["since"] <= F.col("_day"))
     targets = F.concat(F.array("_block"), F.transform(feeding, lambda f: f["_block"]))
     home = F.col("_block").alias("_home")
     rows = (
-        blocked.join(feeds, [series, "_block"])
+        meet(blocked, feeds, [series, "_block"])
         .select(*df.columns, home, F.explode(targets).alias("_block"))
-        .withColumn("_copy", F.col("_block") != F.col("_home"))
+        .withColumn("_copy", ~F.col("_block").eqNullSafe(F.col("_home")))
         .drop("_home")
     )
     return rows, [series, "_block"]

@@ -15,10 +15,11 @@ from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, tem
 from daygrain.operators.series import choose_block_days
 from daygrain.schemas import FORECAST
 from daygrain.sources import bucketed
-from daygrain.sources.payloads import read_payloads, read_series, stage_batch
+from daygrain.sources.payloads import read_payloads, read_series, require_payloads, stage_batch
 from daygrain.sources.tables import (
     append_run,
     create_view,
+    drop_old_versions,
     load,
     publish,
     source,
@@ -43,13 +44,21 @@ def ingest(
     root: str,
     load_ts: str,
     bucketed_table: str | None = None,
+    require_all: bool = True,
+    json_lines: bool = False,
 ) -> None:
     """Payload files of all series into the fact table, in one distributed job.
 
+    A listed series without a payload stops the load before anything is written, unless
+    ``require_all`` is off; payloads of unlisted series are left out. ``json_lines``: see
+    :func:`daygrain.sources.payloads.read_series`.
     ``bucketed_table`` names a registered fact table (:mod:`daygrain.sources.bucketed`)
     to use in place of the one under ``root``; so in all three stages.
     """
-    batch = stage_batch(read_payloads(spark, landing), read_series(spark, series_path))
+    payloads, series = read_payloads(spark, landing), read_series(spark, series_path, json_lines)
+    if require_all:
+        require_payloads(payloads, series)
+    batch = stage_batch(payloads, series)
     if bucketed_table:
         bucketed.upsert_bucketed(spark, bucketed_table, batch, load_ts)
     else:
@@ -74,12 +83,18 @@ def train_and_predict(
     raw = _observations(spark, root, bucketed_table)
     training = training_set(raw)
     create_view(training, TRAIN_VIEW)
-    append_run(evaluate(training), table_path(root, METRICS_TABLE), run_ts)
-
     forecast_path = table_path(root, FORECAST_TABLE)
-    publish(predict(fit_trend(training), periods, level), forecast_path)
+    _rebuild(predict(fit_trend(training), periods, level), forecast_path)
     forecast = load(spark, forecast_path, FORECAST)
-    publish(final_series(raw, forecast), table_path(root, FINAL_TABLE), sort_by=BY_DAY)
+    _rebuild(final_series(raw, forecast), table_path(root, FINAL_TABLE), sort_by=BY_DAY)
+    # Last, so that a run that fails before it logs nothing.
+    append_run(evaluate(training), table_path(root, METRICS_TABLE), run_ts)
+
+
+def _rebuild(df: DataFrame, path: str, **how) -> None:
+    """Publish a new version; it and the one before stay, older and cut-off ones go."""
+    publish(df, path, **how)
+    drop_old_versions(df.sparkSession, path, keep=2)
 
 
 def model_tables(
@@ -103,6 +118,7 @@ def build_models(
     strategy: str = "timestamp",
     bucketed_table: str | None = None,
     by_month: bool = False,
+    json_lines: bool = False,
 ) -> DataFrame:
     """Rebuild the model tables, check them, then record history.
 
@@ -113,10 +129,10 @@ def build_models(
     # The stored table is cheap to ask: both questions read a single column.
     built = model_tables(raw, choose_block_days(raw), BROADCAST_ROWS)
     for name, table in built.items():
-        publish(table, table_path(root, f"dbt.{name}"), sort_by=BY_DAY, by_month=by_month)
+        _rebuild(table, table_path(root, f"dbt.{name}"), sort_by=BY_DAY, by_month=by_month)
 
     built = {name: source(spark, f"dbt.{name}", root) for name in built}
-    known = read_series(spark, series_path).select("city")
+    known = read_series(spark, series_path, json_lines).select("city")
     results = require_passed(run_checks({**built, "city_weather": raw}, series_list=known))
     write_snapshot(spark, table_path(root, HISTORY_TABLE), raw, run_ts, strategy)
     return results

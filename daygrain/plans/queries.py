@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
 from collections.abc import Callable
 
@@ -12,17 +13,17 @@ from daygrain.functions import round_half_up
 from daygrain.operators import analytics, checks, dashboard, forecast, history, models
 from daygrain.operators.joins import BROADCAST_ROWS
 from daygrain.operators.upsert import upsert
-from daygrain.plans.daily import model_tables
+from daygrain.plans.daily import build_models, ingest, model_tables, train_and_predict
 from daygrain.schemas import KEYS, METRICS, MOVING_AVG, STAGE
-from daygrain.session import scratch_path
+from daygrain.session import scratch_path, written
 from daygrain.sources import bucketed, payloads, tables
 from daygrain.sources.bindings import daily_obs, daily_ship
 
+# Run times and series names, repeated as literals in the SQL.
 LOAD_TS = "2024-02-01 00:00:00"
 FIRST_RUN = "2024-01-21 00:00:00"
 SECOND_RUN = "2024-02-01 00:00:00"
 COMPARED = ("S_0", "S_1", "S_2", "S_3")
-SHIP_MONTHS = tuple(f"1998-{m:02d}" for m in range(1, 13))
 #: Short blocks, so that the block-wise plans have many blocks to carry over.
 TEST_BLOCK_DAYS = 5
 
@@ -90,18 +91,21 @@ def upsert_twice(spark: SparkSession, d: str) -> DataFrame:
     return tables.read_observations(spark, path)
 
 
-def _bucketed(spark: SparkSession, d: str) -> DataFrame:
-    """The fact table after two upserts into a table bucketed by series."""
-    target, batch = _upsert_sides(spark, d)
-    name = f"observations_{uuid.uuid4().hex}"
-    bucketed.register(spark, name, scratch_path(spark, "bucketed"), buckets=8)
-    bucketed.upsert_bucketed(spark, name, payloads.conform(target, STAGE), FIRST_RUN)
-    bucketed.upsert_bucketed(spark, name, batch, LOAD_TS)
-    return bucketed.read(spark, name)
+def _on_bucketed(operator) -> Query:
+    """An operator on the fact table after two upserts into a table bucketed by series."""
 
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        target, batch = _upsert_sides(spark, d)
+        name = f"observations_{uuid.uuid4().hex}"
+        bucketed.register(spark, name, scratch_path(spark, "bucketed"), buckets=8)
+        try:
+            bucketed.upsert_bucketed(spark, name, payloads.conform(target, STAGE), FIRST_RUN)
+            bucketed.upsert_bucketed(spark, name, batch, LOAD_TS)
+            return written(operator(bucketed.read(spark, name)), "from-bucketed")
+        finally:
+            bucketed.drop(spark, name)
 
-def moving_avg_bucketed(spark: SparkSession, d: str) -> DataFrame:
-    return models.moving_avg(_bucketed(spark, d))
+    return run
 
 
 def upsert_touch(spark: SparkSession, d: str) -> DataFrame:
@@ -163,6 +167,65 @@ def check_results(spark: SparkSession, d: str) -> DataFrame:
     return checks.run_checks({**built, "city_weather": obs}, series_list=known)
 
 
+def stop_on_failure(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the faulty tables stop the pipeline, and whether sound ones do."""
+    obs = daily_obs(spark, d)
+    outcomes = []
+    for name, results in (
+        ("faulty", check_results(spark, d)),
+        ("sound", checks.run_checks({"city_weather": obs})),
+    ):
+        try:
+            passed = checks.require_passed(results).count()
+            outcomes.append((name, False, passed))
+        except checks.CheckFailed as failure:
+            outcomes.append((name, True, int(str(failure).split()[0])))
+    return spark.createDataFrame(outcomes, "tables string, stopped boolean, n_checks bigint")
+
+
+# --------------------------------------------------------------------------
+# Stages
+# --------------------------------------------------------------------------
+
+
+def unlisted_series(spark: SparkSession, d: str) -> DataFrame:
+    """A batch of all series against a list that lacks those of one latitude."""
+    obs = daily_obs(spark, d)
+    listed = payloads.series_of(obs).filter(F.col("lat") != 25)
+    return payloads.stage_batch(payloads.read_payloads(spark, _landed(spark, d)), listed)
+
+
+def load_time_default(spark: SparkSession, d: str) -> DataFrame:
+    """New rows get the load time of their run, earlier ones keep theirs."""
+    target, batch = _upsert_sides(spark, d)
+    start = F.lit(datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+    merged = upsert(target, batch, KEYS)
+    return merged.select("city", "date", (F.col("load_ts") >= start).alias("loaded_now"))
+
+
+def _after_stages(result, build: bool = False) -> Query:
+    """A result read back from the stored tables after the stages ran on landed payloads."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        root = scratch_path(spark, "stages")
+        payloads.write_payloads(payloads.pack_daily(daily_obs(spark, d)), f"{root}/landing")
+        known = payloads.series_of(daily_obs(spark, d))
+        known.select(F.col("city"), "lat", "lon").write.json(f"{root}/series")
+        ingest(spark, f"{root}/landing", f"{root}/series", root, LOAD_TS, json_lines=True)
+        train_and_predict(spark, root, SECOND_RUN)
+        if build:
+            build_models(spark, root, f"{root}/series", SECOND_RUN, json_lines=True)
+        return result(spark, root)
+
+    return run
+
+
+def stage_final(spark: SparkSession, d: str) -> DataFrame:
+    """The stored final table, whose forecast part was read back rather than predicted again."""
+    final = _after_stages(lambda s, root: tables.source(s, "analytics.city_weather_final", root))
+    return _rounded(final(spark, d), *_FORECAST_COLUMNS)
+
+
 # --------------------------------------------------------------------------
 # Forecast
 # --------------------------------------------------------------------------
@@ -254,7 +317,15 @@ def snapshot_stored(spark: SparkSession, d: str) -> DataFrame:
 
 def heatmap_matrix(spark: SparkSession, d: str) -> DataFrame:
     cells = dashboard.anomaly_heatmap(models.temp_anomaly(daily_obs(spark, d)))
-    return dashboard.heatmap_matrix(cells, COMPARED, "temp_max_anomaly")
+    matrix = dashboard.heatmap_matrix(cells)
+    values = F.transform(F.map_values("cells"), lambda v: F.format_string("%.2f", v))
+    return matrix.select(
+        "date",
+        "tile",
+        F.size("cells").cast("bigint").alias("n_series"),
+        F.array_join(F.map_keys("cells"), ",").alias("series"),
+        F.array_join(values, ",").alias("anomalies"),
+    )
 
 
 def rain_temp_corr(spark: SparkSession, d: str) -> DataFrame:
@@ -262,10 +333,6 @@ def rain_temp_corr(spark: SparkSession, d: str) -> DataFrame:
     return dashboard.rain_temp_relation(dashboard.rain_temp_points(table))
 
 
-def monthly_pivot_wide(spark: SparkSession, d: str) -> DataFrame:
-    return dashboard.monthly_pivot(daily_ship(spark, d), SHIP_MONTHS)
-
-
 QUERIES: dict[str, Query] = {
     # models
     "moving_avg": _on_obs(models.moving_avg),
@@ -308,8 +375,16 @@ QUERIES: dict[str, Query] = {
     "series_lookup": series_lookup,
     "upsert_observations": upsert_observations,
     "upsert_touch": upsert_touch,
-    "upsert_bucketed": _bucketed,
-    "moving_avg_bucketed": moving_avg_bucketed,
+    "upsert_bucketed": _on_bucketed(lambda table: table),
+    "moving_avg_bucketed": _on_bucketed(models.moving_avg),
+    "unlisted_series": unlisted_series,
+    "load_time_default": load_time_default,
+    "stage_source_scan": _after_stages(lambda spark, root: tables.source(spark, "raw.city_weather", root)),
+    "stage_final_series": stage_final,
+    "stage_train_view": _after_stages(lambda spark, root: spark.table("city_weather_train_view")),
+    "stage_dashboard_dataset": _after_stages(
+        lambda spark, root: tables.source(spark, "dbt.rolling_precip", root), build=True
+    ),
     "upsert_twice": upsert_twice,
     "publish_reload": publish_reload,
     "append_metrics": _metrics_log,
@@ -322,6 +397,7 @@ QUERIES: dict[str, Query] = {
     "loaded_since": _on_obs(analytics.loaded_since, moment="2024-01-25"),
     "last_days_of_series": _on_obs(analytics.last_days, name="S_7"),
     "check_results": check_results,
+    "stop_on_failure": stop_on_failure,
     # forecast
     "training_set": _on_obs(forecast.training_set),
     "forecast_7d": forecast_7d,
@@ -350,8 +426,9 @@ QUERIES: dict[str, Query] = {
     "rain_temp_corr": rain_temp_corr,
     "temp_distribution": _on_obs(dashboard.temp_distribution),
     "temp_outliers": _on_obs(dashboard.temp_outliers),
+    "temp_outliers_blocks": _on_obs(dashboard.temp_outliers, block_days=TEST_BLOCK_DAYS),
     "temp_distribution_ship": _on_ship(dashboard.temp_distribution),
     "monthly_averages": _on_model(models.rolling_precip, dashboard.monthly_averages),
     "monthly_averages_ship": _on_ship(dashboard.monthly_averages),
-    "monthly_pivot": monthly_pivot_wide,
+    "monthly_pivot": _on_ship(dashboard.yearly_pivot),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -41,11 +41,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by ``spark.checkpoint.dir``.
 
     Only a session without that setting (a local test) gets a folder of its own,
-    because executors on other machines could not read it.
+    because executors on other machines could not read it. The path's folder is
+    deleted when the driver ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="daygrain-")
-    return f"{base.rstrip('/')}/daygrain/{label}-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/daygrain/{uuid.uuid4().hex}")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
+    return f"{base.rstrip('/')}/daygrain/{folder.getName()}/{label}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the scratch folder and read back: computed once, and the same ever after."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

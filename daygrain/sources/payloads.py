@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from daygrain.operators.checks import CheckFailed
 from daygrain.operators.joins import broadcast_if_small
 from daygrain.schemas import PAYLOAD, SERIES, STAGE
 
@@ -77,11 +78,11 @@ def flatten_daily(payloads: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def attach_series(rows: DataFrame, series: DataFrame) -> DataFrame:
-    """Add latitude and longitude; rows of an unlisted series keep NULLs."""
+    """Add latitude and longitude; an unlisted series is left out, as it has no coordinates."""
     dimension = series.select(
         "city", F.col("lat").alias("latitude"), F.col("lon").alias("longitude")
     )
-    return rows.join(broadcast_if_small(dimension), "city", "left")
+    return rows.join(broadcast_if_small(dimension), "city")
 
 
 def conform(df: DataFrame, schema: StructType = STAGE) -> DataFrame:
@@ -94,6 +95,18 @@ def stage_batch(payloads: DataFrame, series: DataFrame, strict: bool = True) ->
     return conform(attach_series(flatten_daily(payloads, strict), series))
 
 
+def require_payloads(payloads: DataFrame, series: DataFrame) -> None:
+    """Raise unless every listed series has a payload with at least one day.
+
+    One anti join of the series list; the message names up to ten that are missing.
+    """
+    present = payloads.filter(F.size("daily.time") > 0).select("city").distinct()
+    missing = series.select("city").distinct().join(present, "city", "left_anti").limit(11).collect()
+    if missing:
+        names = ", ".join(sorted(str(r.city) for r in missing[:10]))
+        raise CheckFailed(f"no payload for listed series: {names}{' and others' if len(missing) > 10 else ''}")
+
+
 def newest_fetch(rows: DataFrame) -> DataFrame:
     """Where several fetches hold the same day, keep the values of the newest.
 

@@ -29,6 +29,7 @@ from daygrain.operators.dashboard import (
     latest_month,
     monthly_averages,
     monthly_pivot,
+    yearly_pivot,
     rain_temp_points,
     rain_temp_relation,
     temp_distribution,
@@ -275,6 +276,10 @@ def test_monthly_tables(observations):
     df = observations(*rows, {"city": "C", "day": 1})
     long = {(r.city, r.month.month): r.avg_temp_max for r in monthly_averages(df).collect()}
     assert long == {("A", 3): 30.5, ("A", 4): 33.0, ("B", 3): 30.5, ("B", 4): 33.0, ("C", 3): None}
+    found = monthly_pivot(df)
+    assert found.columns == ["city", *(f"2026-0{m}_{v}" for m in (3, 4) for v in ("avg_mm", "avg_temp"))]
+    by_year = {r.city: (r.year, r.m03_avg_temp, r.m04_avg_temp, r.m05_avg_mm) for r in yearly_pivot(df).collect()}
+    assert by_year == {"A": (2026, 30.5, 33.0, None), "B": (2026, 30.5, 33.0, None), "C": (2026, None, None, None)}
     wide = monthly_pivot(df, ["2026-03", "2026-04", "2026-05"]).orderBy("city").collect()
     assert wide[0]["2026-04_avg_temp"] == 33.0 and wide[0]["2026-05_avg_mm"] is None
     assert wide[2]["2026-03_avg_temp"] is None
@@ -287,8 +292,8 @@ def test_date_range_and_latest_month(observations):
     cells = anomaly_heatmap(temp_anomaly(df), "2026-03-01", "2026-03-02")
     # Averages come from all days, not from the range shown.
     assert column(cells, "temp_max_anomaly") == [-16.5, -15.5]
-    matrix = heatmap_matrix(cells, ["A", "B"], "temp_max_anomaly").orderBy("date").collect()
-    assert [(r.A, r.B) for r in matrix] == [(-16.5, None), (-15.5, None)]
+    matrix = heatmap_matrix(cells, tile_digits=0).orderBy("date").collect()
+    assert [r.cells for r in matrix] == [{"A": -16.5}, {"A": -15.5}]
 
 
 # --------------------------------------------------------------------------

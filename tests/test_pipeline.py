@@ -153,7 +153,7 @@ def test_failing_check_stops_before_the_snapshot(spark, site):
     land(f"{root}/landing", "a", [payload("Oslo", "2026-01-20", 12)])
     with open(f"{root}/all.json", "w") as f:
         json.dump([*CITIES, stranger], f)
-    ingest(spark, f"{root}/landing", f"{root}/all.json", root, "2026-03-21 02:30:00")
+    ingest(spark, f"{root}/landing", f"{root}/all.json", root, "2026-03-21 02:30:00", require_all=False)
     with pytest.raises(CheckFailed, match="accepted_values"):
         build_models(spark, root, series, "2026-03-21 04:30:00")
     assert not path_exists(spark, table_path(root, "dbt.city_weather_snapshot"))
@@ -163,10 +163,10 @@ def test_only_touched_months_are_rewritten(spark, site):
     root, series = site
     table = table_path(root, RAW)
     land(f"{root}/one", "a", [payload("Northmere", "2026-01-01", 59)])
-    ingest(spark, f"{root}/one", series, root, "2026-03-01 00:00:00")
+    ingest(spark, f"{root}/one", series, root, "2026-03-01 00:00:00", require_all=False)
     january = months.manifest(spark, table)[1]["month=2026-01-01"]
     land(f"{root}/two", "b", [payload("Northmere", "2026-02-10", 30, shift=1.0)])
-    ingest(spark, f"{root}/two", series, root, "2026-03-12 00:00:00")
+    ingest(spark, f"{root}/two", series, root, "2026-03-12 00:00:00", require_all=False)
     assert months.manifest(spark, table)[1]["month=2026-01-01"] == january
     rows = read_observations(spark, table).orderBy("date").collect()
     assert len(rows) == 59 + 11  # January and February, then 1 to 11 March
@@ -178,16 +178,28 @@ def test_only_touched_months_are_rewritten(spark, site):
 def test_failed_merge_leaves_the_table(spark, site):
     root, series = site
     land(f"{root}/one", "a", [payload("Northmere", "2026-01-01", 10)])
-    ingest(spark, f"{root}/one", series, root, "2026-03-01 00:00:00")
+    ingest(spark, f"{root}/one", series, root, "2026-03-01 00:00:00", require_all=False)
     before = contents(source(spark, RAW, root))
     broken = payload("Northmere", "2026-01-01", 10, shift=5.0)
     broken["daily"]["weathercode"].pop()
     land(f"{root}/two", "b", [broken])
     with pytest.raises(Exception, match="shorter than time"):
-        ingest(spark, f"{root}/two", series, root, "2026-03-02 00:00:00")
+        ingest(spark, f"{root}/two", series, root, "2026-03-02 00:00:00", require_all=False)
     assert contents(source(spark, RAW, root)) == before
 
 
+def test_a_listed_series_without_payload_stops_the_load(spark, site):
+    root, series = site
+    land(f"{root}/landing", "a", [payload(c["city"], "2026-01-20", 3) for c in CITIES[:3]])
+    land(f"{root}/landing", "b", [payload("Elsewhere", "2026-01-20", 3), payload("Palmreach", "2026-01-20", 0)])
+    with pytest.raises(CheckFailed, match="no payload for listed series: Palmreach"):
+        ingest(spark, f"{root}/landing", series, root, "2026-03-01 00:00:00")
+    assert not path_exists(spark, table_path(root, RAW))
+    ingest(spark, f"{root}/landing", series, root, "2026-03-01 00:00:00", require_all=False)
+    cities = {r.city for r in source(spark, RAW, root).select("city").distinct().collect()}
+    assert cities == {c["city"] for c in CITIES[:3]}  # nothing of an unlisted series
+
+
 def test_error_while_writing_leaves_the_table(spark, site, observations):
     root, _ = site
     table = f"{root}/t"

@@ -7,6 +7,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from compare import rows_of
 from daygrain.operators.analytics import (
@@ -15,6 +16,7 @@ from daygrain.operators.analytics import (
     temp_ranks,
     trend_deviation,
 )
+from daygrain.operators.bands import value_bands, with_band
 from daygrain.operators.checks import CheckFailed, check_unique
 from daygrain.operators.dashboard import temp_distribution
 from daygrain.operators.history import open_rows, snapshot_scd2, touched_months
@@ -46,6 +48,28 @@ def uneven(spark):
     return spark.createDataFrame(rows, OBSERVATIONS).cache()
 
 
+@pytest.fixture(scope="module")
+def rough(spark, uneven):
+    """The same with keys that are missing, and values that are no ordinary numbers."""
+    rows = []
+    for city, day, temp in (
+        ("hot", None, 3.0),
+        ("lone", None, 1.0),
+        (None, datetime.date(2024, 1, 5), 2.0),
+        (None, datetime.date(2024, 3, 6), 4.0),
+        (None, None, 5.0),
+        ("odd", datetime.date(2024, 1, 1), float("nan")),
+        ("odd", datetime.date(2024, 1, 9), float("inf")),
+        ("odd", datetime.date(2024, 1, 20), float("-inf")),
+        ("big", datetime.date(2024, 1, 1), 1e13),
+        ("big", datetime.date(2024, 1, 9), -1e13),
+        ("big", datetime.date(2024, 2, 9), 2e12),
+    ):
+        rows.append((city, 1.0, 2.0, day, temp, temp, temp, temp, 3.0, 1, None))
+    nullable = StructType([StructField(f.name, f.dataType, True) for f in OBSERVATIONS.fields])
+    return uneven.union(spark.createDataFrame(rows, nullable)).cache()
+
+
 WINDOWED = {
     "moving_avg": moving_avg,
     "temp_anomaly": temp_anomaly,
@@ -61,17 +85,30 @@ WINDOWED = {
 
 
 @pytest.mark.parametrize("name", WINDOWED)
-def test_blocks_change_nothing(uneven, name):
+def test_blocks_change_nothing(rough, name):
     operator = WINDOWED[name]
-    plain = contents(operator(uneven))
+    plain = contents(operator(rough))
     for days in (1, 7, 100):
-        assert contents(operator(uneven, block_days=days)) == plain, days
+        assert contents(operator(rough, block_days=days)) == plain, days
 
 
-@pytest.mark.parametrize("operator", [temp_anomaly, sigma_flags, temp_distribution])
-def test_broadcast_changes_nothing(uneven, operator):
+@pytest.mark.parametrize("operator", [temp_anomaly, sigma_flags])
+def test_broadcast_changes_nothing(rough, operator):
     for limit in (0, 3, 4, 100):
-        assert contents(operator(uneven, max_broadcast_rows=limit)) == contents(operator(uneven))
+        assert contents(operator(rough, max_broadcast_rows=limit)) == contents(operator(rough))
+
+
+@pytest.mark.parametrize("name", ["trend_deviation", "sigma_flags", "temp_ranks"])
+def test_missing_keys_lose_no_rows(rough, name):
+    for days in (None, 7):
+        assert WINDOWED[name](rough, block_days=days).count() == rough.count()
+
+
+def test_bands_are_even_beside_an_outlier(spark):
+    values = spark.range(5000).selectExpr("'A' AS city", "cast(id AS double) AS v")
+    values = values.union(spark.sql("SELECT 'A', 1e12D"))
+    sizes = [r["count"] for r in with_band(values, value_bands(values, "city", "v"), "city", "v").groupBy("_band").count().collect()]
+    assert len(sizes) >= 60 and max(sizes) <= 2 * 5001 / 64
 
 
 def test_windows_are_bounded(uneven):
