@@ -12,7 +12,9 @@ neither a crowded cell nor many replicas make a task grow. A block returns link
 counts and a spanning forest of its links, never the links themselves. Equal
 vectors are collapsed first and counted by their number.
 
-The number of pivots follows the number of vectors. In high dimensions vectors
+The number of pivots follows the number of vectors up to ``PIVOTS``, which bounds
+what the driver and every task hold; beyond it cells grow, and their blocks become
+more, not larger. In high dimensions vectors
 without structure lie close to most planes, replicas then approach half of all
 vectors per cell and the join approaches a blockwise comparison of all pairs;
 that is the price of an exact answer, and clustered data cost less.
@@ -37,8 +39,10 @@ from daygrain.llm.graph import Forest, components
 
 COSINE = 0.95
 BLOCK = 4096
+#: Most pivots.
+PIVOTS = 2048
 #: Rounding allowance of the replication test, far above the error of double arithmetic.
-SLACK = 1e-9
+SLACK = 1e-6
 
 
 def unit_rows(vectors, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -85,22 +89,26 @@ def block_links(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
 
 def cells(distinct: DataFrame, pivots: np.ndarray, cosine: float) -> DataFrame:
     """``distinct`` with each vector's cell; replicas in other cells have home = false."""
-    eps = np.sqrt(2 - 2 * cosine) + SLACK
-    apart = np.sqrt(np.maximum(((pivots[:, None] - pivots[None]) ** 2).sum(2), 1e-300))
+    eps = np.sqrt(2 - 2 * cosine)
+    apart = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))
 
     @F.pandas_udf("array<int>")
     def of_vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         """The home cell, then the lower cells that may hold a partner."""
         for vectors in batches:
-            width = max([pivots.shape[1], *map(len, vectors)])
-            rows, _ = unit_rows(vectors, width)
-            wide = np.zeros((len(pivots), width))
-            wide[:, : pivots.shape[1]] = pivots
-            square = ((wide**2).sum(1)[None] - 2 * rows @ wide.T) + 1
-            home = square.argmin(1)
-            gap = (square - square[np.arange(len(rows)), home][:, None]) / (2 * apart[home])
-            reach = (gap <= eps) & (np.arange(len(pivots))[None] < home[:, None])
-            yield pd.Series([np.append(h, np.flatnonzero(r)).astype(np.int32) for h, r in zip(home, reach)])
+            found = []
+            for at in range(0, len(vectors), 1024):
+                some = vectors.iloc[at : at + 1024]
+                width = max([pivots.shape[1], *map(len, some)])
+                wide = np.zeros((len(pivots), width))
+                wide[:, : pivots.shape[1]] = pivots
+                square = 2 - 2 * unit_rows(some, width)[0] @ wide.T
+                home = square.argmin(1)
+                beyond = square - square[np.arange(len(some)), home][:, None]  # squared distances: home and other pivot
+                # Twice the distance to the plane between two pivots is ``beyond`` over their distance.
+                reach = (beyond <= 2 * eps * apart[home] + SLACK) & (np.arange(len(pivots))[None] < home[:, None])
+                found += [np.append(h, np.flatnonzero(r)).astype(np.int32) for h, r in zip(home, reach)]
+            yield pd.Series(found)
 
     placed = distinct.withColumn("cells", of_vectors("vector"))
     return placed.select("gid", "vector", "copies", F.posexplode("cells").alias("nth", "cell")).select(
@@ -108,13 +116,13 @@ def cells(distinct: DataFrame, pivots: np.ndarray, cosine: float) -> DataFrame:
     )
 
 
-def links(distinct: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> DataFrame:
+def links(distinct: DataFrame, cosine: float = COSINE, block: int = BLOCK, most: int = PIVOTS) -> DataFrame:
     """(a, b, n): each linked vector's edge to the root of its tree in a block, and the links counted there.
 
     ``distinct`` is a written table of different vectors: gid, vector, copies.
     """
     n = distinct.count()
-    wanted = max(1, -(-n // block))
+    wanted = min(most, max(1, -(-n // block)))
     sample = distinct.select("vector", F.xxhash64("gid").alias("draw")).orderBy("draw").limit(wanted).collect()
     width = max([len(r["vector"]) for r in sample], default=1)
     pivots = unit_rows([r["vector"] for r in sample], width)[0] if sample else np.zeros((1, width))
@@ -142,7 +150,8 @@ def links(distinct: DataFrame, cosine: float = COSINE, block: int = BLOCK) -> Da
 
 
 def near_duplicates(
-    vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, block: int = BLOCK
+    vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, block: int = BLOCK,
+    most: int = PIVOTS,
 ) -> DataFrame:
     """One row per row of ``vectors``: id, n_links and component, the smallest id that links reach."""
     v = F.col(vector)
@@ -158,7 +167,7 @@ def near_duplicates(
         .withColumn("gid", F.monotonically_increasing_id()),
         "distinct",
     )
-    found = stored(links(distinct.select("gid", "vector", "copies"), cosine, block), "links")
+    found = stored(links(distinct.select("gid", "vector", "copies"), cosine, block, most), "links")
     roots = components(found)
     counts = found.groupBy("a").agg(F.sum("n").alias("n"))
     placed = (
