@@ -30,8 +30,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from daygrain.llm.common import stored, table
+from daygrain.llm.common import stored, table, text_or_empty
 from daygrain.llm.graph import Forest, components
 
 SHINGLE = 3
@@ -62,15 +63,17 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) per row, the fingerprint as a signed long."""
+def fingerprints(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, keep: tuple[Column, ...] = ()
+) -> DataFrame:
+    """(id, fp) and ``keep`` per row, the fingerprint as a signed long."""
 
     @F.pandas_udf("long")
     def of_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col(id).alias("id"), of_texts(F.col(text)).alias("fp"))
+    return docs.select(F.col(id).alias("id"), of_texts(F.col(text)).alias("fp"), *keep)
 
 
 def _segments(fp: Column) -> Column:
@@ -155,31 +158,48 @@ def links(
     return pairs.union(inside).union(giants).filter("a <> b")
 
 
-def near_duplicates(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
+def grouped(
+    docs: DataFrame, id: str, text: str, shingle: int, max_bits: int, keep: tuple[Column, ...] = ()
 ) -> DataFrame:
-    """One row per row of ``docs``: id, fp and component, the smallest id that links reach."""
-    prints = stored(fingerprints(docs, id, text, shingle), "prints")
+    """One row per row of ``docs``: id, fp, ``keep``, component and root, a fingerprint that names the group."""
+    prints = stored(fingerprints(docs, id, text, shingle, keep), "prints")
     distinct = stored(prints.groupBy("fp").agg(F.min("id").alias("least")), "distinct")
     roots = components(links(distinct, max_bits))
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("root")
     )
     least = placed.groupBy("root").agg(F.min("least").alias("component"))
-    return prints.join(placed.join(least, "root").select("fp", "component"), "fp").select("id", "fp", "component")
+    return prints.join(placed.join(least, "root").select("fp", "component", "root"), "fp")
+
+
+def near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """One row per row of ``docs``: id, fp and component, the smallest id that links reach."""
+    return grouped(docs, id, text, shingle, max_bits).select("id", "fp", "component")
 
 
 def keep_one(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its group, with all their columns.
+    """One row of ``docs`` for each group, that with the smallest id, with all its columns.
 
-    A null id is its group's smallest only where the group has no other.
+    A null id stays only where the group has no other. Of rows that share that
+    id the one with the smallest digest of id and text stays, of equal ones any.
     """
-    kept = near_duplicates(docs, id, text, shingle, max_bits).filter(F.col("id").eqNullSafe(F.col("component")))
-    names = kept.select(F.col("id").alias("kept_id")).distinct()
+
+    def key(of_id: Column, of_text: Column) -> Column:
+        named = F.coalesce(F.concat(F.lit("="), of_id.cast("string")), F.lit(""))
+        return F.unhex(F.sha2(F.concat(named, F.lit("\0"), text_or_empty(of_text)).cast("binary"), 256))
+
+    found = grouped(docs, id, text, shingle, max_bits, (key(F.col(id), F.col(text)).alias("key"),))
+    kept = found.groupBy("root").agg(
+        F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", "key")).alias("best")
+    ).select("best.key")
     rows = docs.select(F.struct(*docs.columns).alias("doc"))
-    return rows.join(names, F.col(f"doc.{id}").eqNullSafe(F.col("kept_id")), "left_semi").select("doc.*")
+    rows = rows.withColumn("key", key(F.col(f"doc.{id}"), F.col(f"doc.{text}"))).join(kept, "key", "left_semi")
+    copies = Window.partitionBy("key").orderBy("key")  # the join's partitioning and sort
+    return rows.withColumn("copy", F.row_number().over(copies)).filter("copy = 1").select("doc.*")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

@@ -128,6 +128,16 @@ def test_simhash_keeps_one_of_each_group(edge_docs):
     assert {r["doc_id"] for r in left.collect()} == {r["component"] for r in rows}
 
 
+def test_simhash_keeps_one_where_ids_repeat_or_are_missing(spark):
+    one, two = "a b c d e f g", "h i j k l m n o"
+    rows = [(1, one), (1, one), (1, one.upper()), (2, one), (1, two), (0, two), (None, one), (None, "p q r s"),
+            (None, "p q r s"), (None, "t u v w"), (3, None), (4, ""), (None, " ")]
+    left = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(left) == 5
+    assert {(r["doc_id"], (r["text"] or "").lower()) for r in left} == {
+        (1, one), (0, two), (None, "p q r s"), (None, "t u v w"), (3, "")}
+
+
 def test_simhash_empty(no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
     assert simhash.keep_one(no_docs).count() == 0
@@ -163,12 +173,12 @@ def vector_truth(rows, ids, cosine=0.95):
     return [(id, n[k], c) for k, (id, c) in enumerate(zip(ids, smallest_reachable(ids, pairs)))]
 
 
-@pytest.mark.parametrize("block", [4096, 64, 16])
-def test_embeddings_match_brute_force(spark, block):
+@pytest.mark.parametrize("block, most", [(4096, 2048), (64, 2048), (16, 2048), (64, 3)])
+def test_embeddings_match_brute_force(spark, block, most):
     rows = vectors()
     ids = list(range(len(rows) - 2)) + [0, None]
     df = spark.createDataFrame([(i, v, 1, "x") for i, v in zip(ids, rows)], "vec_id long, embedding array<float>, label int, hash string")
-    got = [tuple(r) for r in embedding_dedup.near_duplicates(df.repartition(4), block=block).collect()]
+    got = [tuple(r) for r in embedding_dedup.near_duplicates(df.repartition(4), block=block, most=most).collect()]
     assert Counter(got) == Counter(vector_truth(rows, ids))
 
 
