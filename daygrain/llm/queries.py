@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from daygrain.llm import (
     bpe,
+    conversation_repair,
     embedding_dedup,
     exact_dedup,
     language_id,
     mixing,
+    secret_scan,
     sharding,
     simhash,
     substring_dedup,
     token_counts,
+    vector_codes,
     warc,
 )
 
@@ -26,8 +29,13 @@ QUERIES = {
     "op8_language_id": language_id.op8,
     "op9_sharding": sharding.op9,
     "op10_token_counts": token_counts.op10,
+    "op11_secret_scan": secret_scan.op11,
+    "op12_conversation_repair": conversation_repair.op12,
+    "op13_vector_codes": vector_codes.op13,
 }
 
 ORACLE = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op12_conversation_repair": conversation_repair.OP12_SQL,
+    "op13_vector_codes": vector_codes.OP13_SQL,
 }
