@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from daygrain.functions import flag
 from daygrain.functions import labels
+from daygrain.operators.joins import broadcast_if_small
 
 
 class CheckFailed(ValueError):
@@ -67,53 +68,69 @@ def coverage(df: DataFrame, series: str = "city", time: str = "date") -> DataFra
     )
 
 
-def _check_one(name: str, df: DataFrame, checks: TableChecks, series_list) -> DataFrame:
-    """All checks of one table as (table, column, check, failures) rows.
+class Checking:
+    """The checks of one table, as sums over its rows.
 
-    NULL tests and fixed label sets share one pass over the table. The series
-    test needs a join, and runs on the distinct series only.
+    Nothing here starts a scan of its own: the sums are taken where the rows pass, in one
+    aggregation (:meth:`results`) or while they are written (:meth:`watch`). A long list of
+    known series is joined to the rows, which marks those it holds.
     """
-    tests = [(c, "not_null", F.col(c).isNull()) for c in checks.not_null]
-    tests += [
-        (c, "accepted_values", F.col(c).isNotNull() & ~F.col(c).isin(*values))
-        for c, values in checks.accepted.items()
-        if values is not SERIES_LIST
-    ]
-    parts = []
-    if tests:
-        parts.append(_one_pass(name, df, tests))
-    for column, values in checks.accepted.items():
-        if values is SERIES_LIST:
-            bad = check_accepted(df, column, series_list)
-            parts.append(
-                bad.agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("failures")).select(
-                    F.lit(name).alias("table_name"),
-                    F.lit(column).alias("column_name"),
-                    F.lit("accepted_values").alias("check_name"),
-                    "failures",
-                )
+
+    def __init__(self, name: str, checks: TableChecks, series_list: DataFrame | Sequence[str]):
+        self.name, self.observation = name, None
+        listed = [c for c, values in checks.accepted.items() if values is SERIES_LIST]
+        self.known = series_list if isinstance(series_list, DataFrame) else None
+        self.marks = {c: f"_known_{c}" for c in listed} if self.known is not None else {}
+        self.tests = [(c, "not_null", F.col(c).isNull()) for c in checks.not_null]
+        for c, values in checks.accepted.items():
+            if c in self.marks:
+                accepted = F.col(self.marks[c]).isNotNull()
+            else:
+                accepted = F.col(c).isin(*(series_list if values is SERIES_LIST else values))
+            self.tests.append((c, "accepted_values", F.col(c).isNotNull() & ~accepted))
+
+    def marked(self, df: DataFrame) -> DataFrame:
+        for column, mark in self.marks.items():
+            known = self.known.select(F.col(self.known.columns[0]).alias(mark))
+            df = df.join(known, F.col(column) == F.col(mark), "left")
+        return df
+
+    def sums(self) -> list[Column]:
+        return [F.count(F.when(test, 1)).alias(f"t{i}") for i, (_, _, test) in enumerate(self.tests)]
+
+    def results(self, df: DataFrame) -> DataFrame:
+        """(table_name, column_name, check_name, failures), lazily, from one pass over the table."""
+        entries = [
+            F.struct(
+                F.lit(self.name).alias("table_name"),
+                F.lit(column).alias("column_name"),
+                F.lit(kind).alias("check_name"),
+                F.col(f"t{i}").alias("failures"),
             )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+            for i, (column, kind, _) in enumerate(self.tests)
+        ]
+        return self.marked(df).agg(*self.sums()).select(F.inline(F.array(*entries)))
 
+    def watch(self, df: DataFrame) -> DataFrame:
+        """The same rows, counted as they pass. Put last in a plan that is run once, such as a write."""
+        self.observation = Observation(f"checks of {self.name} {uuid.uuid4().hex}")
+        return self.marked(df).observe(self.observation, *self.sums()).drop(*self.marks.values())
 
-def _one_pass(name: str, df: DataFrame, tests: list) -> DataFrame:
-    """The tests that are sums over the table's rows."""
-    sums = df.agg(
-        *[F.coalesce(F.sum(flag(t)), F.lit(0)).alias(f"t{i}") for i, (_, _, t) in enumerate(tests)]
-    )
-    entries = [
-        F.struct(
-            F.lit(name).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            F.lit(kind).alias("check_name"),
-            F.col(f"t{i}").alias("failures"),
-        )
-        for i, (column, kind, _) in enumerate(tests)
-    ]
-    return sums.select(F.inline(F.array(*entries)))
+    def found(self) -> list[tuple]:
+        """What :meth:`watch` counted, as rows of the results."""
+        # A table that turns out empty may leave nothing to observe.
+        counted = self.observation.get
+        return [(self.name, column, kind, counted.get(f"t{i}", 0)) for i, (column, kind, _) in enumerate(self.tests)]
+
+
+RESULTS = "table_name string, column_name string, check_name string, failures bigint"
+
+
+def known_series(series_list: DataFrame | Sequence[str]) -> DataFrame | Sequence[str]:
+    """The distinct known series, to be broadcast if they are few."""
+    if not isinstance(series_list, DataFrame):
+        return series_list
+    return broadcast_if_small(series_list.select(series_list.columns[0]).distinct())
 
 
 def run_checks(
@@ -121,9 +138,10 @@ def run_checks(
     checks: Mapping[str, TableChecks] | None = None,
     series_list: DataFrame | Sequence[str] = (),
 ) -> DataFrame:
-    """Results of all checks: (table_name, column_name, check_name, failures)."""
+    """Results of all checks: (table_name, column_name, check_name, failures). Each table is read once."""
     checks = STANDARD_CHECKS if checks is None else checks
-    parts = [_check_one(name, df, checks[name], series_list) for name, df in tables.items()]
+    known = known_series(series_list)
+    parts = [Checking(name, checks[name], known).results(df) for name, df in tables.items()]
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

@@ -7,8 +7,6 @@ where it lies and only one row per series and task is shuffled.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
 from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
@@ -16,11 +14,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from daygrain.functions import clean_label, round_half_up
+from daygrain.operators import moments
 
 #: Label of the single series when no series column is given.
 SINGLE_SERIES = "all"
 
-_MOMENTS = ("n", "mean_x", "mean_y", "sxx", "syy", "sxy")
+_MOMENTS = moments.MOMENTS
+
+# Why a series has no line or no metrics.
+NO_VALUES = "no values"
+TOO_FEW = "too few rows"
+ONE_DAY = "one day"
+TOO_FEW_BEFORE = "too few before the holdout"
 
 
 def training_set(
@@ -181,7 +186,11 @@ def evaluate(
     held_out = tail.groupBy("series").agg(*_moments(target, time), scored_days.alias("points"))
 
     joined = total.alias("a").join(held_out.alias("h"), "series")
-    head = joined.select("series", *_without("a", "h"), "points")
+    return _scores(joined.select("series", *_without("a", "h"), "points"), level, min_obs)
+
+
+def _scores(head: DataFrame, level: float, min_obs: int) -> DataFrame:
+    """Metrics of the ``points`` under the line that the moments of the rows before them give."""
     model = _with_line(_usable(head, min_obs, "skip"))
     points = model.select(
         "series", *_MOMENTS, "slope", "variance", F.inline("points")
@@ -202,6 +211,54 @@ def evaluate(
     )
 
 
+def fit_moments(per_month: DataFrame, min_obs: int = 10, on_error: str = "skip") -> DataFrame:
+    """The model of :func:`fit_trend` from the moments of series and months, without a row of the table."""
+    return _with_line(_usable(moments.merged(per_month), min_obs, on_error))
+
+
+def _heads(per_month: DataFrame, holdout: int) -> DataFrame:
+    """Per series the moments of all values (struct a), of the holdout (struct h), and the holdout's points."""
+    if holdout > moments.POINTS:
+        raise ValueError(f"months keep {moments.POINTS} points, too few for a holdout of {holdout}")
+    whole = moments.merged(per_month).withColumn("points", F.slice("points", 1, holdout))
+    return whole.select(
+        "series", "n_rows", F.struct(*_MOMENTS).alias("a"), F.struct(*moments.of_points("points")).alias("h"), "points"
+    )
+
+
+def evaluate_moments(
+    per_month: DataFrame, holdout: int = 7, level: float = 0.95, min_obs: int = 10
+) -> DataFrame:
+    """The metrics of :func:`evaluate` from the moments of series and months."""
+    return _scores(_heads(per_month, holdout).select("series", *_without("a", "h"), "points"), level, min_obs)
+
+
+def fit_outcomes(per_month: DataFrame, holdout: int = 7, min_obs: int = 10) -> DataFrame:
+    """What becomes of every series: fitted or skipped, scored or skipped, and why.
+
+    Series without any value are listed too. ``n_rows`` counts rows, ``n`` values; ``sxx`` is
+    the spread of their days, 0 where all values are of one day.
+    """
+    heads = _heads(per_month, holdout)
+    before = heads.select("series", "n_rows", "a", F.struct(*_without("a", "h")).alias("head"))
+
+    def reason(part: str, few: str) -> Column:
+        n, spread = F.col(f"{part}.n"), F.col(f"{part}.sxx")
+        return F.when(n < min_obs, few).when(~F.coalesce(spread > 0, F.lit(False)), ONE_DAY)
+
+    fit_reason = F.when(F.col("a.n") == 0, NO_VALUES).otherwise(reason("a", TOO_FEW))
+    return before.select(
+        "series",
+        "n_rows",
+        F.col("a.n").alias("n"),
+        F.col("a.sxx").alias("sxx"),
+        fit_reason.isNull().alias("fitted"),
+        fit_reason.alias("fit_reason"),
+        (fit_reason.isNull() & reason("head", TOO_FEW_BEFORE).isNull()).alias("scored"),
+        F.coalesce(fit_reason, reason("head", TOO_FEW_BEFORE)).alias("score_reason"),
+    )
+
+
 def latest_run(metrics: DataFrame) -> DataFrame:
     """Metrics of the newest run only."""
     newest = metrics.agg(F.max("run_ts")).scalar()
@@ -255,7 +312,3 @@ def uncertainty(forecast: DataFrame) -> DataFrame:
         round_half_up("_width", 2).alias("confidence_band_width"),
         F.rank().over(widest).cast("bigint").alias("uncertainty_rank"),
     )
-
-
-def union_runs(runs: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, runs)

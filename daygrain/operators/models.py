@@ -36,10 +36,13 @@ def moving_avg(
     time: str = "date",
     window: int = 7,
     block_days: int | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Rolling averages of the three temperatures over ``window`` rows.
 
     Rows that lack any of the three are left out before the frames are built.
+    ``before`` holds the last ``window`` - 1 such rows of each series before those of
+    ``df`` (see :mod:`daygrain.operators.carry`); they fill frames and are not returned.
     """
     complete = F.lit(True)
     for c in TEMPERATURES:
@@ -49,6 +52,7 @@ def moving_avg(
         series, time, *TEMPERATURES, "precipitation_mm", "wind_speed_max_kmh"
     ).filter(complete)
     rows, keys = with_preceding_rows(rows, series, time, window - 1, block_days)
+    rows = _after(before, rows, block_days)
     frame = rows_back(keys, time, window - 1)
     averaged = rows.select(
         "*",
@@ -66,6 +70,15 @@ def moving_avg(
     )
 
 
+def _after(before: DataFrame | None, rows: DataFrame, block_days: int | None) -> DataFrame:
+    """Rows with those that only fill their frames."""
+    if before is None:
+        return rows
+    if block_days:
+        raise ValueError("rows before a table are for plans without blocks")
+    return rows.unionByName(before.withColumn("_copy", F.lit(True)), allowMissingColumns=True)
+
+
 def temp_anomaly(
     df: DataFrame,
     series: str = "city",
@@ -107,12 +120,17 @@ def rolling_precip(
     long: int = 30,
     wet_mm: float = 25.0,
     block_days: int | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
-    """Rolling rain totals over ``short`` and ``long`` rows, and a period label."""
+    """Rolling rain totals over ``short`` and ``long`` rows, and a period label.
+
+    ``before``: as in :func:`moving_avg`, the last ``long`` - 1 rows with an amount.
+    """
     rows = df.select(
         series, time, "precipitation_mm", "temp_max", "temp_min", "weather_code"
     ).filter(F.col("precipitation_mm").isNotNull())
     rows, keys = with_preceding_rows(rows, series, time, long - 1, block_days)
+    rows = _after(before, rows, block_days)
     near = rows_back(keys, time, short - 1)
     far = rows_back(keys, time, long - 1)
     rain_day = flag(F.col("precipitation_mm") > 0)
@@ -144,6 +162,7 @@ def dry_spell(
     time: str = "date",
     anchor: str = "coded",
     block_days: int | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Consecutive dry days up to each day, and the longest run so far.
 
@@ -153,10 +172,13 @@ def dry_spell(
 
     A run's length is the distance in rows from the last rain day, so position,
     last rain position and running maximum share one shuffle and one sort.
+
+    ``before`` holds, per series, the dry days that reach into ``df`` and the longest run
+    before it (dry_days, longest), counted with the same anchor.
     """
-    if anchor not in ("coded", "documented"):
-        raise ValueError(f"anchor must be 'coded' or 'documented', not {anchor!r}")
-    opening_day = 1 if anchor == "coded" else 0
+    opening_day = opening(anchor)
+    if before is not None and block_days:
+        raise ValueError("rows before a table are for plans without blocks")
 
     columns = [series, time, "precipitation_mm", "temp_max", "weather_code"]
     rows = df.select(*columns).filter(F.col("precipitation_mm").isNotNull())
@@ -176,6 +198,10 @@ def dry_spell(
     if block_days:
         rows = meet(rows, _dry_spell_carry(rows, series, opening_day), keys)
         carried, longest_before = F.col("_carried"), F.col("_longest_before")
+    elif before is not None:
+        state = before.select(series, F.col("dry_days").alias("_carried"), F.col("longest").alias("_longest_before"))
+        rows = meet(rows, state, [series], "left")
+        carried, longest_before = F.coalesce("_carried", F.lit(0)), F.coalesce("_longest_before", F.lit(0))
 
     days = F.coalesce("_days", F.col("_row") + carried).cast("bigint")
     rows = rows.withColumn("dry_spell_days", days)
@@ -189,6 +215,13 @@ def dry_spell(
     )
 
 
+def opening(anchor: str) -> int:
+    """The number of dry days that a rain day opens a run with."""
+    if anchor not in ("coded", "documented"):
+        raise ValueError(f"anchor must be 'coded' or 'documented', not {anchor!r}")
+    return 1 if anchor == "coded" else 0
+
+
 def _dry_spell_carry(rows: DataFrame, series: str, opening_day: int) -> DataFrame:
     """Dry days that reach into each block, and the longest run before it.
 

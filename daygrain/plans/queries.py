@@ -16,7 +16,7 @@ from daygrain.operators.upsert import upsert
 from daygrain.plans.daily import build_models, ingest, model_tables, train_and_predict
 from daygrain.schemas import KEYS, METRICS, MOVING_AVG, STAGE
 from daygrain.session import scratch_path, written
-from daygrain.sources import bucketed, payloads, tables
+from daygrain.sources import bucketed, payloads, release, tables
 from daygrain.sources.bindings import daily_obs, daily_ship
 
 # Run times and series names, repeated as literals in the SQL.
@@ -128,7 +128,7 @@ def _metrics_log(spark: SparkSession, d: str) -> DataFrame:
     early = training.filter(F.col("date") <= F.lit("2024-01-24").cast("date"))
     for data, run_ts in ((early, FIRST_RUN), (training, SECOND_RUN)):
         tables.append_run(forecast.evaluate(data), path, run_ts)
-    log = spark.read.schema(METRICS).parquet(path)
+    log = tables.read_log(spark, path, METRICS)
     return log.withColumn("metric_value", round_half_up("metric_value", 4))
 
 
@@ -222,7 +222,7 @@ def _after_stages(result, build: bool = False) -> Query:
 
 def stage_final(spark: SparkSession, d: str) -> DataFrame:
     """The stored final table, whose forecast part was read back rather than predicted again."""
-    final = _after_stages(lambda s, root: tables.source(s, "analytics.city_weather_final", root))
+    final = _after_stages(lambda s, root: release.source(s, "analytics.city_weather_final", root))
     return _rounded(final(spark, d), *_FORECAST_COLUMNS)
 
 
@@ -379,11 +379,11 @@ QUERIES: dict[str, Query] = {
     "moving_avg_bucketed": _on_bucketed(models.moving_avg),
     "unlisted_series": unlisted_series,
     "load_time_default": load_time_default,
-    "stage_source_scan": _after_stages(lambda spark, root: tables.source(spark, "raw.city_weather", root)),
+    "stage_source_scan": _after_stages(lambda spark, root: release.source(spark, "raw.city_weather", root)),
     "stage_final_series": stage_final,
     "stage_train_view": _after_stages(lambda spark, root: spark.table("city_weather_train_view")),
     "stage_dashboard_dataset": _after_stages(
-        lambda spark, root: tables.source(spark, "dbt.rolling_precip", root), build=True
+        lambda spark, root: release.source(spark, "dbt.rolling_precip", root), build=True
     ),
     "upsert_twice": upsert_twice,
     "publish_reload": publish_reload,

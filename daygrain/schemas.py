@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql.types import (
     ArrayType,
+    BooleanType,
     DateType,
     DoubleType,
     IntegerType,
@@ -157,6 +158,48 @@ METRICS = _struct(
     ("metric_value", DoubleType(), True),
 )
 
+#: What became of each series in a training run.
+OUTCOMES = _struct(
+    ("run_ts", TimestampNTZType(), True),
+    ("series", StringType(), True),
+    ("n_rows", LongType(), True),
+    ("n", LongType(), True),
+    ("sxx", DoubleType(), True),
+    ("fitted", BooleanType(), True),
+    ("fit_reason", StringType(), True),
+    ("scored", BooleanType(), True),
+    ("score_reason", StringType(), True),
+)
+
+#: Moments of (day, value) of a series in a month, and its newest points; see operators/moments.py.
+POINT = _struct(("x", DoubleType(), True), ("y", DoubleType(), True))
+MOMENTS = _struct(
+    ("series", StringType(), True),
+    ("n_rows", LongType(), True),
+    ("n", LongType(), True),
+    ("mean_x", DoubleType(), True),
+    ("mean_y", DoubleType(), True),
+    ("sxx", DoubleType(), True),
+    ("syy", DoubleType(), True),
+    ("sxy", DoubleType(), True),
+    ("last_day", DateType(), True),
+    ("points", ArrayType(POINT), True),
+)
+
+#: What the rolling models of the next month need to know of a series; see operators/carry.py.
+CARRY = _struct(
+    ("city", StringType(), True),
+    ("temps", ArrayType(_struct(
+        ("date", DateType(), True),
+        ("temp_max", DoubleType(), True),
+        ("temp_min", DoubleType(), True),
+        ("temp_mean", DoubleType(), True),
+    )), True),
+    ("rain", ArrayType(_struct(("date", DateType(), True), ("precipitation_mm", DoubleType(), True))), True),
+    ("dry_days", LongType(), True),
+    ("longest", LongType(), True),
+)
+
 #: The columns of the event and shipment tables that observations derive from.
 EVENTS = _struct(
     ("ts", TimestampNTZType(), True),

@@ -1,4 +1,4 @@
-"""Tables stored by month, where a commit is the creation of one small file.
+"""Tables stored by month (or logs by run), where a commit is the creation of one small file.
 
 Under a table's path lie
 
@@ -10,60 +10,45 @@ manifest into place that names, for every month of the table, the batch that hol
 it. Readers resolve the newest manifest once, so they see the table before or after
 a commit and never a mix. A commit cut off at any step leaves the table as it was,
 and repeating it gives what an undisturbed run gives. One writer at a time; a second
-one finds its manifest number taken and fails.
+one finds its manifest number taken and fails. Commits over several tables are in
+:mod:`daygrain.sources.release`.
+
+A log is stored the same way with ``run=...`` in place of months, so a run that is
+repeated replaces its own rows.
 """
 
 from __future__ import annotations
 
+import datetime
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
+from daygrain.sources import declared
+from daygrain.sources.files import children, delete, filesystem, read_text, write_text
+
 #: Commits whose files stay, so that readers of the one before last finish undisturbed.
 KEPT_COMMITS = 2
 
 MONTH = StructField("month", DateType(), True)
+RUN = StructField("run", StringType(), True)
 _BATCH = StructField("batch", StringType(), True)
 _MANIFESTS = "_manifest"
 _NO_MONTH = "month=__HIVE_DEFAULT_PARTITION__"
 
 
-def filesystem(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location, jvm
-
-
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder; none where there is no folder."""
-    fs, location, _ = filesystem(spark, path)
-    if not fs.exists(location):
-        return []
-    return sorted(status.getPath().getName() for status in fs.listStatus(location))
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    fs, location, _ = filesystem(spark, path)
-    fs.delete(location, True)
-
-
 def _numbers(spark: SparkSession, path: str) -> list[int]:
     names = children(spark, f"{path}/{_MANIFESTS}")
     return [int(name[:8]) for name in names if re.fullmatch(r"\d{8}\.json", name)]
 
 
-def _read_manifest(spark: SparkSession, path: str, number: int) -> dict[str, str]:
-    fs, location, jvm = filesystem(spark, f"{path}/{_MANIFESTS}/{number:08d}.json")
-    stream = fs.open(location)
-    try:
-        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
+def _read_manifest(spark: SparkSession, path: str, number: int) -> dict:
+    return json.loads(read_text(spark, f"{path}/{_MANIFESTS}/{number:08d}.json"))
 
 
 def manifest(spark: SparkSession, path: str) -> tuple[int, dict[str, str]]:
@@ -84,21 +69,41 @@ def new_batch(spark: SparkSession, path: str) -> str:
 def commit(spark: SparkSession, path: str, batch: str) -> int:
     """Make the months of a written batch those of the table; returns the commit's number."""
     number, entries = manifest(spark, path)
-    written = {name: batch for name in children(spark, f"{path}/{batch}") if name.startswith("month=")}
-    switch(spark, path, number + 1, {**entries, **written})
+    switch(spark, path, number + 1, {**entries, **written(spark, path, batch)})
     tidy(spark, path)
     return number + 1
 
 
-def switch(spark: SparkSession, path: str, number: int, entries: dict[str, str]) -> None:
+def written(spark: SparkSession, path: str, batch: str) -> dict[str, str]:
+    """The entries that a written batch adds to a manifest."""
+    return {name: batch for name in children(spark, f"{path}/{batch}") if _is_part(name)}
+
+
+def _is_part(name: str) -> bool:
+    return name.startswith(("month=", "run="))
+
+
+#: Before a part's name: the key under which a manifest keeps what the part was derived from.
+_FROM = "from "
+
+
+def derived_from(entries: dict[str, str], part: str) -> str | None:
+    """What a part was derived from, as its writer noted it."""
+    return entries.get(_FROM + part)
+
+
+def notes(sources: Mapping[str, str]) -> dict[str, str]:
+    """Manifest entries that say what parts were derived from."""
+    return {_FROM + part: source for part, source in sources.items()}
+
+
+def switch(spark: SparkSession, path: str, number: int, entries: dict) -> None:
     """Rename a manifest into place. This is the moment a commit happens."""
-    fs, target, jvm = filesystem(spark, f"{path}/{_MANIFESTS}/{number:08d}.json")
-    draft = jvm.org.apache.hadoop.fs.Path(f"{path}/{_MANIFESTS}/.draft-{uuid.uuid4().hex}")
-    out = fs.create(draft, False)
-    try:
-        out.write(bytearray(json.dumps(entries, sort_keys=True).encode()))
-    finally:
-        out.close()
+    folder = f"{path}/{_MANIFESTS}"
+    draft = f"{folder}/.draft-{uuid.uuid4().hex}"
+    write_text(spark, draft, json.dumps(entries, sort_keys=True))
+    fs, target, jvm = filesystem(spark, f"{folder}/{number:08d}.json")
+    draft = jvm.org.apache.hadoop.fs.Path(draft)
     if fs.exists(target) or not fs.rename(draft, target):
         fs.delete(draft, False)
         raise RuntimeError(f"another writer took commit {number} of {path}")
@@ -121,6 +126,11 @@ def drop_manifests(spark: SparkSession, path: str, keep: int) -> None:
         delete(spark, f"{path}/{_MANIFESTS}/{name}")
 
 
+def newest(spark: SparkSession, path: str, keep: int) -> list[dict]:
+    """The content of the newest ``keep`` manifests."""
+    return [_read_manifest(spark, path, n) for n in _numbers(spark, path)[-keep:]]
+
+
 def tidy(spark: SparkSession, path: str, keep: int = KEPT_COMMITS) -> None:
     """Remove manifests before the last ``keep`` and files that no kept manifest names.
 
@@ -128,48 +138,89 @@ def tidy(spark: SparkSession, path: str, keep: int = KEPT_COMMITS) -> None:
     """
     named = {(name, batch) for (_, name), batch in kept_entries(spark, path, keep).items()}
     drop_manifests(spark, path, keep)
+    drop_unnamed(spark, path, named)
+
+
+def drop_unnamed(spark: SparkSession, path: str, named: set[tuple[str, str]]) -> None:
+    """Remove the parts of batches that are not among ``named`` pairs of part and batch."""
     held = {batch for _, batch in named}
     for batch in children(spark, path):
         if batch.startswith("batch=") and batch not in held:
             delete(spark, f"{path}/{batch}")
         elif batch.startswith("batch="):
-            for month in children(spark, f"{path}/{batch}"):
-                if month.startswith("month=") and (month, batch) not in named:
-                    delete(spark, f"{path}/{batch}/{month}")
+            for part in children(spark, f"{path}/{batch}"):
+                if _is_part(part) and (part, batch) not in named:
+                    delete(spark, f"{path}/{batch}/{part}")
 
 
-def folder_name(month) -> str:
+def folder_name(month: datetime.date | None) -> str:
     return _NO_MONTH if month is None else f"month={month}"
 
 
+def in_months(day: Column, months: Sequence) -> Column:
+    """Whether a day lies in one of the months, where None is the month of rows without a day."""
+    known = [month for month in months if month is not None]
+    found = F.coalesce(F.trunc(day, "month").isin(known), F.lit(False)) if known else F.lit(False)
+    return found | day.isNull() if len(known) < len(months) else found
+
+
 def read(
-    spark: SparkSession, path: str, schema: StructType, months: Sequence | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    months: Sequence | None = None,
+    entries: dict[str, str] | None = None,
+    by: StructField = MONTH,
 ) -> DataFrame:
-    """The table at its newest commit, with its ``month``; or the given months of it."""
-    _, entries = manifest(spark, path)
+    """The table at its newest commit (or as ``entries`` say), with its ``month``; or the given months of it."""
+    if entries is None:
+        entries = manifest(spark, path)[1]
     wanted = None if months is None else {folder_name(month) for month in months}
     folders = [
         f"{path}/{batch}/{month}"
         for month, batch in sorted(entries.items())
-        if wanted is None or month in wanted
+        if _is_part(month) and (wanted is None or month in wanted)
     ]
     if not folders:
-        return spark.createDataFrame([], StructType(schema.fields + [MONTH]))
-    stored = StructType(schema.fields + [_BATCH, MONTH])
+        return spark.createDataFrame([], StructType(schema.fields + [by]))
+    stored = StructType(schema.fields + [_BATCH, by])
     reader = spark.read.schema(stored).option("basePath", path)
     return reader.parquet(*folders).drop("batch")
 
 
-def write_batch(df: DataFrame, path: str, sort_by: Sequence[str]) -> str:
-    """Write rows by month into a new batch folder, which nothing reads yet."""
+def months_in(entries: dict[str, str]) -> list[datetime.date | None]:
+    """The months of a table, in order; None, for rows without a day, comes first."""
+    found = [name.removeprefix("month=") for name in entries if name.startswith("month=")]
+    days = sorted(datetime.date.fromisoformat(text) for text in found if not text.startswith("__"))
+    return ([None] if _NO_MONTH in entries else []) + days
+
+
+def write_batch(
+    df: DataFrame,
+    path: str,
+    sort_by: Sequence[str],
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> str:
+    """Write rows by month into a new batch folder, which nothing reads yet.
+
+    ``watch``: see :func:`daygrain.sources.tables.write_version`.
+    """
+    batch = new_batch(df.sparkSession, path)
+    df = df if "month" in df.columns else df.withColumn("month", F.trunc("date", "month"))
+    rows = declared.conformed(df, path)
+    by = rows.hint("rebalance", "month").sortWithinPartitions("month", *sort_by)
+    watch(by).write.partitionBy("month").parquet(f"{path}/{batch}")
+    declared.require_sound(df.sparkSession, path, f"{path}/{batch}", rows.schema)
+    return batch
+
+
+def write_run(df: DataFrame, path: str, run: str) -> str:
+    """Write the rows of one run of a log into a new batch folder, which nothing reads yet."""
     batch = new_batch(df.sparkSession, path)
-    (
-        df.withColumn("month", F.trunc("date", "month"))
-        .hint("rebalance", "month")
-        .sortWithinPartitions("month", *sort_by)
-        .write.partitionBy("month")
-        .parquet(f"{path}/{batch}")
-    )
+    rows = declared.conformed(df, path)
+    # An empty run is a run as well: its folder replaces what an earlier attempt logged.
+    rows.write.parquet(f"{path}/{batch}/run={run}")
+    declared.require_sound(df.sparkSession, path, f"{path}/{batch}/run={run}", rows.schema)
     return batch
 
 

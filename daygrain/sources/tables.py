@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,9 @@ from daygrain import schemas
 from daygrain.operators.checks import CheckFailed
 from daygrain.operators.history import snapshot_scd2, touched_months
 from daygrain.operators.upsert import upsert
+from daygrain.sources import declared
 from daygrain.sources import months as monthly
+from daygrain.sources.files import children, delete
 
 # Named tables and their schemas.
 CATALOG = {
@@ -28,11 +31,28 @@ CATALOG = {
     "adhoc.city_weather_forecast": schemas.FORECAST,
     "analytics.city_weather_final": schemas.FINAL,
     "analytics.city_weather_model_metrics": schemas.METRICS,
+    "analytics.city_weather_fit_outcomes": schemas.OUTCOMES,
+    "adhoc.city_weather_moments": schemas.MOMENTS,
+    "adhoc.city_weather_carry": schemas.CARRY,
 }
 
-_VERSION = "version-"
+#: How tables that are not rebuilt as a whole are stored; all others are versions.
+BY_MONTH = ("raw.city_weather", "dbt.city_weather_snapshot", "adhoc.city_weather_moments", "adhoc.city_weather_carry")
+BY_RUN = ("analytics.city_weather_model_metrics", "analytics.city_weather_fit_outcomes")
+
+#: What the stages declare for the tables that rows are merged or logged into.
+DECLARED = {
+    "raw.city_weather": declared.Declaration(
+        schemas.OBSERVATIONS, key=schemas.KEYS, defaults={"load_ts": "current_timestamp()"}
+    ),
+    "analytics.city_weather_model_metrics": declared.Declaration(
+        schemas.METRICS, key=("run_ts", "series", "error_metric")
+    ),
+}
+
+VERSION = "version-"
 #: Key under which a manifest names the current version of a rebuilt table.
-_CURRENT = "current"
+CURRENT = "current"
 
 
 def table_path(root: str, name: str) -> str:
@@ -49,35 +69,57 @@ def table_path(root: str, name: str) -> str:
 def current_version(spark: SparkSession, path: str) -> str | None:
     """Folder of the version the newest manifest names, or None."""
     entries = monthly.manifest(spark, path)[1]
-    return f"{path}/{entries[_CURRENT]}" if entries else None
+    return f"{path}/{entries[CURRENT]}" if CURRENT in entries else None
 
 
-def publish(
-    df: DataFrame, path: str, sort_by: Sequence[str] = (), by_month: bool = False
+def write_version(
+    df: DataFrame,
+    path: str,
+    sort_by: Sequence[str] = (),
+    by_month: bool = False,
+    number: int | None = None,
+    watch: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> str:
-    """Write a full rebuild as a new version and return its folder.
+    """Write a full rebuild into a new version folder, which nothing reads yet; returns its name.
 
-    A version becomes the current one when a manifest that names it is renamed into
-    place, so readers see the old or the new table, never a part, and a failed build
-    leaves the old one.
     Rows are sorted within files only; after a window over the same columns that
     sort is free, and adaptive execution has sized the partitions.
 
     ``by_month`` spends one more shuffle to store the rows by month, for tables that
     are mostly read by date range. A month that dominates is split over tasks.
+
+    ``watch`` is put around the rows in the stage that writes them, such as
+    ``checks.Checking.watch``: what it counts, it counts once.
     """
     spark = df.sparkSession
-    number = monthly.manifest(spark, path)[0] + 1
-    version = f"{_VERSION}{number:08d}-{uuid.uuid4().hex[:8]}"
+    if number is None:
+        number = monthly.manifest(spark, path)[0] + 1
+    version = f"{VERSION}{number:08d}-{uuid.uuid4().hex[:8]}"
     target = f"{path}/{version}"
+    rows = declared.conformed(df, path)
     if by_month:
-        by = df.withColumn("month", F.trunc("date", "month")).hint("rebalance", "month")
-        by.sortWithinPartitions("month", *sort_by).write.partitionBy("month").parquet(target)
+        by = rows.withColumn("month", F.trunc("date", "month")).hint("rebalance", "month")
+        watch(by.sortWithinPartitions("month", *sort_by)).write.partitionBy("month").parquet(target)
     else:
-        out = df.sortWithinPartitions(*sort_by) if sort_by else df
-        out.write.parquet(target)
-    monthly.switch(spark, path, number, {_CURRENT: version})
-    return target
+        watch(rows.sortWithinPartitions(*sort_by) if sort_by else rows).write.parquet(target)
+    declared.require_sound(spark, path, target, rows.schema)
+    return version
+
+
+def publish(
+    df: DataFrame, path: str, sort_by: Sequence[str] = (), by_month: bool = False
+) -> str:
+    """Write a full rebuild as a new version and return its folder.
+
+    A version becomes the current one when a manifest that names it is renamed into
+    place, so readers see the old or the new table, never a part, and a failed build
+    leaves the old one. See :func:`write_version` for the other arguments.
+    """
+    spark = df.sparkSession
+    number = monthly.manifest(spark, path)[0] + 1
+    version = write_version(df, path, sort_by, by_month, number)
+    monthly.switch(spark, path, number, {CURRENT: version})
+    return f"{path}/{version}"
 
 
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
@@ -88,10 +130,10 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str
     if keep < 1:
         raise ValueError("keep must be at least 1")
     kept = set(monthly.kept_entries(spark, path, keep).values())
-    found = [name for name in monthly.children(spark, path) if name.startswith(_VERSION)]
+    found = [name for name in children(spark, path) if name.startswith(VERSION)]
     gone = [f"{path}/{name}" for name in found if name not in kept]
     for folder in gone:
-        monthly.delete(spark, folder)
+        delete(spark, folder)
     monthly.drop_manifests(spark, path, keep)
     return gone
 
@@ -104,14 +146,23 @@ def load(
     end: str | None = None,
 ) -> DataFrame:
     """Read the current version of a published table, or a date range of it."""
-    version = current_version(spark, path)
-    if version is None:
+    _, entries = monthly.manifest(spark, path)
+    if not entries:
         raise FileNotFoundError(f"no committed version under {path}")
-    if any(name.startswith("month=") for name in monthly.children(spark, version)):
+    if CURRENT not in entries:  # rebuilt month by month
+        return between(monthly.read(spark, path, schema, entries=entries), start, end).drop("month")
+    return read_version(spark, f"{path}/{entries[CURRENT]}", schema, start, end)
+
+
+def read_version(
+    spark: SparkSession, version: str, schema: StructType, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """Read a version folder, or a date range of it."""
+    if any(name.startswith("month=") for name in children(spark, version)):
         stored = StructType(schema.fields + [monthly.MONTH])
         rows = spark.read.schema(stored).parquet(version)
-        return _between(rows, start, end).drop("month")
-    return _between(spark.read.schema(schema).parquet(version), start, end)
+        return between(rows, start, end).drop("month")
+    return between(spark.read.schema(schema).parquet(version), start, end)
 
 
 # --------------------------------------------------------------------------
@@ -128,10 +179,10 @@ def read_observations(
     spark: SparkSession, path: str, start: str | None = None, end: str | None = None
 ) -> DataFrame:
     """Read the fact table; a date range also prunes the month partitions."""
-    return _between(monthly.read(spark, path, schemas.OBSERVATIONS), start, end).drop("month")
+    return between(monthly.read(spark, path, schemas.OBSERVATIONS), start, end).drop("month")
 
 
-def _between(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+def between(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
     """Rows of a date range; where rows are stored by month, only its months."""
     by_month = "month" in df.columns
     if start is not None:
@@ -161,13 +212,28 @@ def upsert_observations(
     step, leaves the table as it was, and can be run again.
     A batch that repeats a key or holds a NULL in one is refused.
     """
+    monthly.commit(spark, path, merge_batch(spark, path, batch, load_ts, touch_on_update))
+
+
+def merge_batch(
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    load_ts: str,
+    touch_on_update: bool = False,
+    entries: Mapping[str, str] | None = None,
+) -> str:
+    """Write the months of the fact table that a batch touches, merged with it, into a folder nothing reads yet.
+
+    ``entries`` name the state of the table to merge into, its newest commit by default.
+    """
     keys = list(schemas.KEYS)
     # A batch is a few weeks of days. It is parsed once and spills to disk if it must.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         months = months_of(batch, keys)
-        target = monthly.read(spark, path, schemas.OBSERVATIONS, months).drop("month")
-        monthly.write(upsert(target, batch, keys, load_ts, touch_on_update), path)
+        target = monthly.read(spark, path, schemas.OBSERVATIONS, months, entries).drop("month")
+        return monthly.write_batch(upsert(target, batch, keys, load_ts, touch_on_update), path, keys)
     finally:
         batch.unpersist()
 
@@ -216,20 +282,45 @@ def write_snapshot(
     A first pass compares both tables month by month and finds those that differ, a
     set bounded by the calendar. Only these are joined row by row and rewritten, so a
     daily run over a long history writes its last months and whatever was corrected.
+    A run without changes makes no commit.
     """
-    if not path_exists(spark, path):
-        monthly.write(snapshot_scd2(None, current, run_ts, strategy, **options), path)
-        return []
-    history = monthly.read(spark, path, schemas.HISTORY)
-    changes = touched_months(history, current, run_ts, strategy=strategy, **options)
-    months = sorted(r.month for r in changes.collect())
-    if months:
-        past = monthly.read(spark, path, schemas.HISTORY, months).drop("month")
-        now = current.filter(F.trunc("date", "month").isin(months))
-        monthly.write(snapshot_scd2(past, now, run_ts, strategy, **options), path)
+    batch, months = snapshot_batch(spark, path, current, run_ts, strategy, None, **options)
+    if batch is not None:
+        monthly.commit(spark, path, batch)
     return months
 
 
+def snapshot_batch(
+    spark: SparkSession,
+    path: str,
+    current: DataFrame,
+    run_ts: str,
+    strategy: str,
+    entries: Mapping[str, str] | None,
+    months: Sequence | None = None,
+    **options,
+) -> tuple[str | None, list]:
+    """Write the months of a history that a run changes into a folder nothing reads yet.
+
+    Returns the folder, or None if nothing changed, and the changed months. The first run
+    writes all rows and names no months. Where the caller knows that no others have changed,
+    ``months`` are those to compare, and ``current`` holds their rows.
+    """
+    if entries is None:
+        entries = monthly.manifest(spark, path)[1]
+    if not entries:
+        first = snapshot_scd2(None, current, run_ts, strategy, **options)
+        return monthly.write_batch(first, path, schemas.KEYS), []
+    history = monthly.read(spark, path, schemas.HISTORY, months, entries)
+    changes = touched_months(history, current, run_ts, strategy=strategy, **options)
+    months = sorted((r.month for r in changes.collect()), key=lambda m: (m is not None, m))
+    if not months:
+        return None, []
+    past = monthly.read(spark, path, schemas.HISTORY, months, entries).drop("month")
+    now = current.filter(monthly.in_months(F.col("date"), months))
+    return monthly.write_batch(snapshot_scd2(past, now, run_ts, strategy, **options), path, schemas.KEYS), months
+
+
 # --------------------------------------------------------------------------
 # Logs, views, schemas
 # --------------------------------------------------------------------------
@@ -240,12 +331,32 @@ def create_if_absent(df: DataFrame, path: str) -> None:
     df.limit(0).write.mode("ignore").parquet(path)
 
 
+def stamped(df: DataFrame, run_ts: str) -> DataFrame:
+    """Rows of a log with the time of their run in front."""
+    stamp = F.lit(run_ts).cast(TimestampNTZType())
+    return df.select(stamp.alias("run_ts"), *df.columns)
+
+
+def run_name(run_ts: str) -> str:
+    """A run's folder: its time in digits."""
+    moment = datetime.datetime.fromisoformat(run_ts)
+    return moment.strftime("%Y%m%d%H%M%S%f")
+
+
 def append_run(df: DataFrame, path: str, run_ts: str | None = None) -> None:
-    """Append rows stamped with the run time (now, unless given)."""
-    stamp = F.current_timestamp() if run_ts is None else F.lit(run_ts)
-    stamped = df.select(stamp.cast(TimestampNTZType()).alias("run_ts"), *df.columns)
-    create_if_absent(stamped, path)
-    stamped.write.mode("append").parquet(path)
+    """Log the rows of a run, stamped with its time (now, unless given), as one commit.
+
+    A run that is logged again replaces its rows; one that is cut off leaves the log as it was.
+    """
+    run_ts = run_ts or datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None).isoformat(" ")
+    monthly.commit(df.sparkSession, path, monthly.write_run(stamped(df, run_ts), path, run_name(run_ts)))
+
+
+def read_log(
+    spark: SparkSession, path: str, schema: StructType, entries: Mapping[str, str] | None = None
+) -> DataFrame:
+    """All runs of a log; none before the first."""
+    return monthly.read(spark, path, schema, entries=entries, by=monthly.RUN).drop("run")
 
 
 def create_view(df: DataFrame, name: str) -> None:
@@ -256,18 +367,6 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def source(spark: SparkSession, name: str, root: str) -> DataFrame:
-    """Scan a named table with its declared schema."""
-    path = table_path(root, name)
-    if name == "raw.city_weather":
-        return read_observations(spark, path)
-    if name == "dbt.city_weather_snapshot":
-        return read_history(spark, path)
-    if name == "analytics.city_weather_model_metrics":
-        return spark.read.schema(CATALOG[name]).parquet(path)
-    return load(spark, path, CATALOG[name])
-
-
 def describe_table(df: DataFrame) -> DataFrame:
     """Column name, type, nullability and number of non-NULL values.
 

@@ -15,6 +15,7 @@ from daygrain.operators.history import snapshot_scd2
 from daygrain.plans.daily import build_models, ingest, train_and_predict
 from daygrain.schemas import FINAL, METRICS, MOVING_AVG
 from daygrain.sources import bucketed, months
+from daygrain.sources.release import source
 from daygrain.sources.tables import (
     append_run,
     create_database,
@@ -26,8 +27,8 @@ from daygrain.sources.tables import (
     path_exists,
     publish,
     read_history,
+    read_log,
     read_observations,
-    source,
     table_path,
     upsert_observations,
     write_snapshot,
@@ -357,10 +358,9 @@ def test_append_log_and_empty_create(spark, tmp_path):
     append_run(rows, path, "2026-03-01 00:00:00")
     append_run(rows, path, "2026-03-02 00:00:00")
     create_if_absent(rows, path)
-    log = spark.read.schema(METRICS).parquet(path)
-    assert log.count() == 2
+    assert read_log(spark, path, METRICS).count() == 2
     append_run(rows, path)
-    assert spark.read.schema(METRICS).parquet(path).count() == 3
+    assert read_log(spark, path, METRICS).count() == 3
     empty = str(tmp_path / "empty")
     create_if_absent(rows, empty)
     stored = spark.read.parquet(empty)
