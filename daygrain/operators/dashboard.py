@@ -75,17 +75,18 @@ def anomaly_heatmap(
 
 
 def heatmap_matrix(
-    cells: DataFrame, value: str = "temp_max_anomaly", tile_digits: int = 1
+    cells: DataFrame, value: str = "temp_max_anomaly", tile_digits: int = 1, missing: str = "(none)"
 ) -> DataFrame:
     """All series of a day side by side: (date, tile, cells), cells a map of series to value.
 
     A column per series does not scale, and a day of all series has no bound either, so
-    a day is cut into ``16 ** tile_digits`` tiles by a digest of the series.
+    a day is cut into ``16 ** tile_digits`` tiles by a digest of the series. A map has no
+    NULL key, so the cell of rows without a series has the key ``missing``.
     """
     tile = F.substring(F.md5(F.col("city").cast("binary")), 1, tile_digits)
     entries = F.array_sort(F.collect_list(F.struct("city", value)))
     return (
-        cells.filter(F.col("city").isNotNull())
+        cells.withColumn("city", F.coalesce("city", F.lit(missing)))
         .groupBy("date", tile.alias("tile"))
         .agg(F.map_from_entries(entries).alias("cells"))
     )

@@ -10,13 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.functions import round_half_up
-from daygrain.operators import analytics, checks, dashboard, forecast, history, models
+from daygrain.operators import analytics, checks, dashboard, forecast, history, models, moments
 from daygrain.operators.joins import BROADCAST_ROWS
 from daygrain.operators.upsert import upsert
 from daygrain.plans.daily import build_models, ingest, model_tables, train_and_predict
-from daygrain.schemas import KEYS, METRICS, MOVING_AVG, STAGE
+from daygrain.schemas import KEYS, METRICS, MOVING_AVG, OBSERVATIONS, STAGE
 from daygrain.session import scratch_path, written
-from daygrain.sources import bucketed, payloads, release, tables
+from daygrain.sources import bucketed, declared, months, payloads, release, tables
 from daygrain.sources.bindings import daily_obs, daily_ship
 
 # Run times and series names, repeated as literals in the SQL.
@@ -220,6 +220,152 @@ def _after_stages(result, build: bool = False) -> Query:
     return run
 
 
+#: The second batch of shipments begins here, and corrects days that the first one had.
+GROWN_FROM, GROWN_TO = "1997-06-15", "1997-07-01"
+
+
+def _month_by_month(name: str) -> Query:
+    """A rolling model after two ingests and two builds, the second of which starts at the touched months."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        root = scratch_path(spark, "month_by_month")
+        obs = daily_ship(spark, d)
+        payloads.series_of(obs).write.json(f"{root}/series")
+        first = obs.filter(F.col("date") < F.lit(GROWN_TO).cast("date"))
+        second = obs.filter(F.col("date") >= F.lit(GROWN_FROM).cast("date")).withColumn(
+            "temp_max", F.col("temp_max") + 1
+        )
+        for n, (batch, run_ts) in enumerate(((first, FIRST_RUN), (second, SECOND_RUN))):
+            payloads.write_payloads(payloads.pack_daily(batch), f"{root}/landing-{n}")
+            ingest(spark, f"{root}/landing-{n}", f"{root}/series", root, run_ts, require_all=False, json_lines=True)
+            build_models(spark, root, f"{root}/series", run_ts, json_lines=True, incremental=True)
+        return release.source(spark, name, root)
+
+    return run
+
+
+def _trained_twice(result) -> Query:
+    """What is stored after two overlapping ingests and the same training run twice."""
+
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        root = scratch_path(spark, "trained")
+        obs = daily_obs(spark, d)
+        payloads.series_of(obs).write.json(f"{root}/series")
+        day = F.col("date")
+        parts = (day < F.lit("2024-01-21").cast("date"), day >= F.lit("2024-01-15").cast("date"))
+        for n, part in enumerate(parts):
+            payloads.write_payloads(payloads.pack_daily(obs.filter(part)), f"{root}/landing-{n}")
+            ingest(spark, f"{root}/landing-{n}", f"{root}/series", root, LOAD_TS, require_all=False, json_lines=True)
+        for _ in range(2):
+            train_and_predict(spark, root, SECOND_RUN)
+        return result(spark, root)
+
+    return run
+
+
+def _stored_forecast(spark: SparkSession, root: str) -> DataFrame:
+    return _rounded(release.source(spark, "adhoc.city_weather_forecast", root), *_FORECAST_COLUMNS)
+
+
+def _stored_metrics(spark: SparkSession, root: str) -> DataFrame:
+    return _rounded(release.source(spark, "analytics.city_weather_model_metrics", root), "metric_value")
+
+
+def _stored_outcomes(spark: SparkSession, root: str) -> DataFrame:
+    return _rounded(release.source(spark, "analytics.city_weather_fit_outcomes", root), "sxx")
+
+
+def fit_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """What becomes of every series, one of which has lost its values and one most of its days."""
+    obs = daily_obs(spark, d).withColumn("temp_max", F.when(F.col("city") != "S_3", F.col("temp_max")))
+    short = (F.col("city") != "S_5") | (F.col("date") <= F.lit("2024-01-05").cast("date"))
+    return _rounded(forecast.fit_outcomes(moments.month_moments(obs.filter(short))), "sxx")
+
+
+def month_moments(spark: SparkSession, d: str) -> DataFrame:
+    """Days counted from the first one of the month, spreads as deviations."""
+    rows = moments.month_moments(daily_ship(spark, d)).select(
+        "series",
+        "month",
+        "n_rows",
+        "n",
+        (F.col("mean_x") - F.unix_date("month")).alias("mean_x"),
+        "mean_y",
+        "sxx",
+        F.sqrt(F.try_divide("syy", "n")).alias("deviation"),
+        F.try_divide("sxy", "n").alias("covariance"),
+        "last_day",
+    )
+    return _rounded(rows, "mean_x", "mean_y", "sxx", "deviation", "covariance")
+
+
+def refused_build(spark: SparkSession, d: str) -> DataFrame:
+    """The model that readers see after a build whose checks failed: the one of the build before."""
+    root = scratch_path(spark, "refused")
+    obs = daily_obs(spark, d)
+    known = payloads.series_of(obs)
+    known.write.json(f"{root}/series")
+    known.filter(F.col("lat") != 25).write.json(f"{root}/fewer")
+    early = obs.filter(F.col("date") < F.lit("2024-01-21").cast("date"))
+    for name, batch in (("early", early), ("whole", obs)):
+        payloads.write_payloads(payloads.pack_daily(batch), f"{root}/{name}")
+        ingest(spark, f"{root}/{name}", f"{root}/series", root, LOAD_TS, require_all=False, json_lines=True)
+        if name == "early":
+            build_models(spark, root, f"{root}/series", FIRST_RUN, json_lines=True)
+    try:
+        build_models(spark, root, f"{root}/fewer", SECOND_RUN, json_lines=True)
+        raise AssertionError("a build with unknown series passed")
+    except checks.CheckFailed:
+        return release.source(spark, "dbt.rolling_precip", root)
+
+
+# --------------------------------------------------------------------------
+# Declared tables
+# --------------------------------------------------------------------------
+
+
+def _ledger(spark: SparkSession, label: str) -> str:
+    """An empty table with key, required column and a default."""
+    path = scratch_path(spark, label)
+    ledger = declared.Declaration(
+        OBSERVATIONS, key=KEYS, not_null=("latitude",), defaults={"load_ts": f"timestamp_ntz '{LOAD_TS}'"}
+    )
+    declared.declare(spark, path, ledger)
+    return path
+
+
+def declared_defaults(spark: SparkSession, d: str) -> DataFrame:
+    """Rows written without a load time, or with one before a given day only, as the table holds them."""
+    path = _ledger(spark, "defaults")
+    obs = daily_obs(spark, d)
+    early = F.col("date") < F.lit("2024-01-16").cast("date")
+    months.write(obs.withColumn("load_ts", F.when(early, F.col("load_ts"))), path)
+    return months.read(spark, path, OBSERVATIONS).drop("month")
+
+
+def declared_refusals(spark: SparkSession, d: str) -> DataFrame:
+    """Which of five commits a declared table takes, and how many rows it has after each."""
+    path = _ledger(spark, "refusals")
+    obs = daily_obs(spark, d)
+    tenth = obs.filter(F.col("date") == F.lit("2024-01-10").cast("date"))
+    attempts = {
+        "sound": obs.drop("load_ts"),
+        "repeated key": obs.unionByName(tenth),
+        "missing key": obs.withColumn("city", F.when(F.col("city") != "S_7", F.col("city"))),
+        "missing value": obs.withColumn("latitude", F.when(F.col("latitude") != 25, F.col("latitude"))),
+        "unknown column": obs.withColumn("altitude", F.lit(1.0)),
+    }
+    outcomes = []
+    for name, rows in attempts.items():
+        try:
+            months.write(rows, path)
+            taken = True
+        except checks.CheckFailed:
+            taken = False
+        outcomes.append((name, taken, months.read(spark, path, OBSERVATIONS).count()))
+    return spark.createDataFrame(outcomes, "attempt string, taken boolean, n_rows bigint")
+
+
 def stage_final(spark: SparkSession, d: str) -> DataFrame:
     """The stored final table, whose forecast part was read back rather than predicted again."""
     final = _after_stages(lambda s, root: release.source(s, "analytics.city_weather_final", root))
@@ -302,6 +448,25 @@ def _snapshots(strategy: str) -> Query:
     return run
 
 
+def snapshot_missing_keys(spark: SparkSession, d: str) -> DataFrame:
+    """A stored history of rows without a series or a day: two runs without changes, then one with."""
+    obs = daily_obs(spark, d).select(*STAGE.names)
+    tenth = F.col("date") == F.lit("2024-01-10").cast("date")
+    keyless = obs.withColumns(
+        {
+            "city": F.when(F.col("city") != "S_7", F.col("city")),
+            "date": F.when(~((F.col("city") == "S_8") & tenth), F.col("date")),
+        }
+    )
+    changed = keyless.withColumn(
+        "temp_min", F.when(F.col("city").isNull() | F.col("date").isNull(), F.lit(-1.0)).otherwise(F.col("temp_min"))
+    )
+    path = scratch_path(spark, "keyless")
+    for state, run_ts in ((keyless, FIRST_RUN), (keyless, "2024-01-25 00:00:00"), (changed, SECOND_RUN)):
+        tables.write_snapshot(spark, path, state, run_ts, "check")
+    return tables.read_history(spark, path)
+
+
 def snapshot_stored(spark: SparkSession, d: str) -> DataFrame:
     """Both runs on a stored history, where the second rewrites what changed."""
     path = scratch_path(spark, "history")
@@ -385,6 +550,15 @@ QUERIES: dict[str, Query] = {
     "stage_dashboard_dataset": _after_stages(
         lambda spark, root: release.source(spark, "dbt.rolling_precip", root), build=True
     ),
+    "stage_forecast": _trained_twice(_stored_forecast),
+    "stage_metrics_repeated": _trained_twice(_stored_metrics),
+    "stage_fit_outcomes": _trained_twice(_stored_outcomes),
+    "stage_refused_build": refused_build,
+    "moving_avg_month_by_month": _month_by_month("dbt.moving_avg"),
+    "rolling_precip_month_by_month": _month_by_month("dbt.rolling_precip"),
+    "dry_spell_month_by_month": _month_by_month("dbt.dry_spell"),
+    "declared_defaults": declared_defaults,
+    "declared_refusals": declared_refusals,
     "upsert_twice": upsert_twice,
     "publish_reload": publish_reload,
     "append_metrics": _metrics_log,
@@ -405,12 +579,15 @@ QUERIES: dict[str, Query] = {
     "forecast_ship": forecast_ship,
     "forecast_metrics": forecast_metrics,
     "latest_metrics": latest_metrics,
+    "fit_outcomes": fit_outcomes,
+    "month_moments": month_moments,
     "final_series": final_series,
     "forecast_uncertainty": forecast_uncertainty,
     # history
     "snapshot_timestamp": _snapshots("timestamp"),
     "snapshot_check": _snapshots("check"),
     "snapshot_stored": snapshot_stored,
+    "snapshot_missing_keys": snapshot_missing_keys,
     # dashboard
     "climate_profile": _on_model(models.moving_avg, dashboard.climate_profile),
     "rolling_trend": _on_model(models.moving_avg, dashboard.rolling_trend),

@@ -367,12 +367,16 @@ def create_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def describe_table(df: DataFrame) -> DataFrame:
-    """Column name, type, nullability and number of non-NULL values.
+def describe_table(df: DataFrame, counts: bool = True) -> DataFrame:
+    """Column name, type and nullability; with ``counts`` the number of non-NULL values as well.
 
-    The counts of all columns come from one pass over the table.
+    The counts of all columns come from one pass over the table; without them nothing is read.
     """
-    counts = df.agg(*[F.count(F.col(f.name)).alias(f.name) for f in df.schema.fields])
+    fields = df.schema.fields
+    if not counts:
+        rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in fields]
+        return df.sparkSession.createDataFrame(rows, "name string, type string, nullable boolean")
+    counted = df.agg(*[F.count(F.col(f.name)).alias(f.name) for f in fields])
     entries = [
         F.struct(
             F.lit(f.name).alias("name"),
@@ -380,6 +384,6 @@ def describe_table(df: DataFrame) -> DataFrame:
             F.lit(f.nullable).alias("nullable"),
             F.col(f.name).alias("non_null_rows"),
         )
-        for f in df.schema.fields
+        for f in fields
     ]
-    return counts.select(F.inline(F.array(*entries)))
+    return counted.select(F.inline(F.array(*entries)))
