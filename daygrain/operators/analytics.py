@@ -15,7 +15,7 @@ from daygrain.functions import (
     round_half_up,
     sigma_flag,
 )
-from daygrain.operators.bands import rows_below, value_bands, with_band
+from daygrain.operators.bands import value_counts
 from daygrain.operators.joins import attach_series_stats
 from daygrain.operators.series import (
     before,
@@ -92,8 +92,8 @@ def temp_ranks(
 
     Missing values sort last. The day breaks ties for the quartile only: equal
     values share a percent rank. With ``block_days`` a series is cut into bands
-    of values rather than days, see :func:`daygrain.operators.bands.value_bands`; that
-    runs one job at once.
+    of values rather than days, see :func:`daygrain.operators.bands.value_counts`; that
+    counts the values of a series in one pass at once, and reads the rows once more.
     """
     rows = df.select(series, time, "temp_max", "temp_min")
     if block_days:
@@ -118,16 +118,12 @@ def temp_ranks(
 
 
 def _ranks_in_bands(rows: DataFrame, series: str, time: str, value: str) -> DataFrame:
-    """Rank within bands of values and add the rows in the bands below."""
-    cuts = value_bands(rows, series, value)
-    rows = with_band(rows, cuts, series, value)
-    below = rows_below(rows.groupBy(series, "_band").agg(F.count(F.lit(1)).alias("n")), series)
-    in_band = W.partitionBy(series, "_band").orderBy(F.col(value).asc_nulls_last())
-    in_band_by_day = in_band.orderBy(F.col(value).asc_nulls_last(), F.col(time).asc())
-    rows = meet(rows, below, [series, "_band"]).select(
-        *[c for c in rows.columns if c != "_band"],
-        (F.col("_below") + F.rank().over(in_band) - 1).alias("_smaller"),
-        (F.col("_below") + F.row_number().over(in_band_by_day) - 1).alias("_index"),
+    """Ranks from running counts over the distinct values; the day counts among equal values only."""
+    counts = value_counts(rows, series, value)
+    same = W.partitionBy(series, value).orderBy(F.col(time).asc())
+    smaller = F.col("_up_to") - F.col("n")
+    rows = meet(rows, counts, [series, value]).select(
+        *rows.columns, "_n", smaller.alias("_smaller"), (smaller + F.row_number().over(same) - 1).alias("_index")
     )
     # The first n % 4 quarters hold one row more than the others.
     small = F.floor(F.col("_n") / 4)

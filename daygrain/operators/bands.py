@@ -1,4 +1,4 @@
-"""Cutting long series by value: bands that hold about equally many rows."""
+"""Cutting long series by value: bands that hold about equally many rows, and running counts over them."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.operators.joins import broadcast_if_small
-from daygrain.operators.series import before, meet
+from daygrain.operators.series import before, meet, running, whole
 from daygrain.session import written
 
 BANDS = 64
@@ -46,3 +46,21 @@ def rows_below(per_band: DataFrame, series: str) -> DataFrame:
     """(series, _band, _below) from counts ``n`` per band."""
     below = F.coalesce(F.sum("n").over(before(series, "_band")), F.lit(0))
     return per_band.select(series, "_band", below.alias("_below"))
+
+
+def value_counts(df: DataFrame, series: str, value: str) -> DataFrame:
+    """(series, value, n, _up_to, _n): how often each value occurs, rows up to it, and rows of the series.
+
+    NULL is the last value. The table is counted in one pass over the rows, cut into bands,
+    added up inside them and written, so that cuts, ranks and quartiles all come from it and
+    long series are spread over tasks.
+    """
+    values = written(df.groupBy(series, value).agg(F.count(F.lit(1)).alias("n")), "values")
+    banded = with_band(values, value_bands(values, series, value), series, value).drop("_n")
+    per_band = banded.groupBy(series, "_band").agg(F.sum("n").alias("n"))
+    # A series has a row per band here.
+    per_band = per_band.withColumn("_n", F.sum("n").over(whole(series)))
+    totals = meet(per_band.select(series, "_band", "_n"), rows_below(per_band, series), [series, "_band"])
+    up_to = F.col("_below") + F.sum("n").over(running([series, "_band"], value))
+    counted = meet(banded, totals, [series, "_band"]).withColumn("_up_to", up_to)
+    return written(counted.select(series, value, "n", "_up_to", "_n"), "value-counts")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daygrain.functions import round_half_up
-from daygrain.operators.bands import rows_below, value_bands, with_band
+from daygrain.operators.bands import value_counts
 from daygrain.operators.series import meet, running, whole
 
 
@@ -119,49 +119,58 @@ def rain_temp_relation(points: DataFrame, series: str = "city") -> DataFrame:
     )
 
 
-def _box(
-    df: DataFrame, series: str, value: str, block_days: int | None
-) -> tuple[DataFrame, DataFrame]:
-    """(values, box): rows per distinct value, and exact quartiles and fences per series.
+_QUARTILES = (("q1", 0.25), ("median", 0.5), ("q3", 0.75))
 
-    Equal values are counted before they move. A running count over the distinct values
-    tells where each quartile lies; with ``block_days`` it runs within bands of values.
-    """
-    kept = df.select(series, value).filter(F.col(value).isNotNull())
-    values = kept.groupBy(series, value).agg(F.count(F.lit(1)).alias("n"))
-    if block_days:
-        cuts = value_bands(kept, series, value)
-        banded = with_band(values, cuts, series, value)
-        below = rows_below(banded.groupBy(series, "_band").agg(F.sum("n").alias("n")), series)
-        counted = meet(banded, below, [series, "_band"]).withColumn(
-            "_up_to", F.col("_below") + F.sum("n").over(running([series, "_band"], value))
-        )
-    else:
-        counted = values.select(
-            "*",
-            F.sum("n").over(running(series, value)).alias("_up_to"),
-            F.sum("n").over(whole(series)).alias("_n"),
-        )
+
+def _ends(value: str) -> dict[str, Column]:
+    """The values next to each quartile, from running counts over the distinct values."""
     ends = {"min_value": F.min(value), "max_value": F.max(value)}
-    for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+    for name, share in _QUARTILES:
         place = (F.col("_n") - 1) * F.lit(share)
         for side, at in (("low", F.floor(place)), ("high", F.ceil(place))):
             ends[f"_{name}_{side}"] = F.min(F.when(F.col("_up_to") > at, F.col(value)))
-    box = counted.groupBy(series).agg(
-        F.first("_n").alias("_n"), *[expr.alias(name) for name, expr in ends.items()]
-    )
-    for name, share in (("q1", 0.25), ("median", 0.5), ("q3", 0.75)):
+    return ends
+
+
+def _fences(box: DataFrame) -> DataFrame:
+    """Quartiles between their neighbouring values, and the fences."""
+    for name, share in _QUARTILES:
         low, high = F.col(f"_{name}_low"), F.col(f"_{name}_high")
         place = (F.col("_n") - 1) * F.lit(share)
         between = (F.ceil(place) - place) * low + (place - F.floor(place)) * high
         box = box.withColumn(name, F.when(low == high, low).otherwise(between))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
-    return values, box.select(
-        series,
-        *("min_value", "q1", "median", "q3", "max_value"),
-        (F.col("q1") - reach).alias("lower_fence"),
-        (F.col("q3") + reach).alias("upper_fence"),
-    )
+    fenced = box.withColumn("lower_fence", F.col("q1") - reach).withColumn("upper_fence", F.col("q3") + reach)
+    return fenced.drop(*[f"_{name}_{side}" for name, _ in _QUARTILES for side in ("low", "high")])
+
+
+_BOX = ("min_value", "q1", "median", "q3", "max_value", "lower_fence", "upper_fence")
+
+
+def _box(df: DataFrame, series: str, value: str, block_days: int | None) -> DataFrame:
+    """Exact quartiles, fences and number of outliers per series, from one pass over the rows.
+
+    Equal values are counted before they move. A running count over the distinct values tells
+    where each quartile lies, and the same values are held against the fences. With
+    ``block_days`` the counts are written first, in bands of values.
+    """
+    kept = df.select(series, value).filter(F.col(value).isNotNull())
+    if block_days:
+        counted = value_counts(kept, series, value)
+        ends = counted.groupBy(series).agg(
+            F.first("_n").alias("_n"), *[expr.alias(name) for name, expr in _ends(value).items()]
+        )
+        fenced = meet(counted.select(series, value, "n"), _fences(ends).drop("_n"), [series])
+    else:
+        counted = kept.groupBy(series, value).agg(F.count(F.lit(1)).alias("n")).select(
+            "*",
+            F.sum("n").over(running(series, value)).alias("_up_to"),
+            F.sum("n").over(whole(series)).alias("_n"),
+        )
+        own = whole(series)
+        fenced = _fences(counted.select("*", *[expr.over(own).alias(name) for name, expr in _ends(value).items()]))
+    outliers = F.coalesce(F.sum(F.when(_outside(value), F.col("n"))), F.lit(0))
+    return fenced.groupBy(series).agg(*[F.first(c).alias(c) for c in _BOX], outliers.alias("n_outliers"))
 
 
 def _outside(value: str) -> Column:
@@ -178,16 +187,9 @@ def temp_distribution(
 
     Exact quartiles. An outlier lies more than 1.5 interquartile ranges outside.
     """
-    values, box = _box(df, series, value, block_days)
-    outliers = F.coalesce(F.sum(F.when(_outside(value), F.col("n"))), F.lit(0))
-    stats = [c for c in box.columns if c != series]
-    counted = meet(values, box, [series]).groupBy(series).agg(
-        *[F.first(c).alias(c) for c in stats], outliers.alias("n_outliers")
-    )
+    box = _box(df, series, value, block_days)
     rounded = ("q1", "median", "q3", "lower_fence", "upper_fence")
-    return counted.select(
-        *[round_half_up(c, 4).alias(c) if c in rounded else F.col(c) for c in counted.columns]
-    )
+    return box.select(*[round_half_up(c, 4).alias(c) if c in rounded else F.col(c) for c in box.columns])
 
 
 def temp_outliers(
@@ -198,7 +200,7 @@ def temp_outliers(
     block_days: int | None = None,
 ) -> DataFrame:
     """The single days that lie outside the box-plot fences of their series."""
-    fences = _box(df, series, value, block_days)[1].select(series, "lower_fence", "upper_fence")
+    fences = _box(df, series, value, block_days).select(series, "lower_fence", "upper_fence")
     rows = df.select(series, time, value).filter(F.col(value).isNotNull())
     return meet(rows, fences, [series]).filter(_outside(value)).select(series, time, value)
 

@@ -14,7 +14,8 @@ from daygrain.operators.analytics import (
     temp_ranks,
     trend_deviation,
 )
-from daygrain.operators.dashboard import climate_profile, latest_month_avg, monthly_averages
+from daygrain.operators import bands
+from daygrain.operators.dashboard import climate_profile, latest_month_avg, monthly_averages, temp_distribution
 from daygrain.operators.forecast import evaluate, fit_trend, predict, training_set, uncertainty
 from daygrain.operators.history import snapshot_scd2, touched_months
 from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, temp_anomaly
@@ -198,3 +199,22 @@ def test_block_choice_follows_the_calendar(raw, observations):
     assert choose_block_days(raw, max_days=10) == 10
     assert choose_block_days(observations()) is None
     assert OBSERVATIONS.names[0] == "city"
+
+
+@pytest.mark.parametrize(
+    "operator,block_days,scans",
+    [(temp_distribution, None, 1), (temp_distribution, 5, 1), (temp_ranks, 5, 2), (temp_ranks, None, 1)],
+)
+def test_ranks_and_quartiles_read_the_table_once_or_twice(raw, monkeypatch, operator, block_days, scans):
+    """Reads of the table itself, in the result and in the small tables that are written for it."""
+    plans = []
+    original = bands.written
+
+    def written(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return original(df, label)
+
+    monkeypatch.setattr(bands, "written", written)
+    plans.append(operator(raw, block_days=block_days)._jdf.queryExecution().optimizedPlan().toString())
+    # Only the fact table has a month; small written tables have none.
+    assert sum(len(re.findall(r"Relation \[[^\]]*\bmonth#", text)) for text in plans) == scans
