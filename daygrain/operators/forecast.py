@@ -195,9 +195,14 @@ def _scores(head: DataFrame, level: float, min_obs: int) -> DataFrame:
     points = model.select(
         "series", *_MOMENTS, "slope", "variance", F.inline("points")
     )
-    actual, predicted = F.col("y"), _line_at(F.col("x"))
+    return scored(points, _line_at(F.col("x")), _half_width(F.col("x"), level))
+
+
+def scored(points: DataFrame, predicted: Column, half_width: Column) -> DataFrame:
+    """Metrics in long form of points (series, x, y) under a prediction and half its interval."""
+    actual = F.col("y")
     error = F.abs(actual - predicted)
-    inside = error <= _half_width(F.col("x"), level)
+    inside = error <= half_width
     size = F.abs(actual) + F.abs(predicted)
     metrics = points.groupBy("series").agg(
         F.avg(error).alias("MAE"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrain.functions import round_half_up
-from daygrain.operators import analytics, checks, dashboard, forecast, history, models, moments
+from daygrain.operators import analytics, checks, dashboard, forecast, history, models, moments, seasonal
 from daygrain.operators.joins import BROADCAST_ROWS
 from daygrain.operators.upsert import upsert
 from daygrain.plans.daily import build_models, ingest, model_tables, train_and_predict
@@ -404,6 +404,22 @@ def forecast_ship(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(forecast.predict(model), *_FORECAST_COLUMNS)
 
 
+def forecast_seasonal(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(seasonal.forecast_seasonal(daily_ship(spark, d)), *_FORECAST_COLUMNS)
+
+
+def seasonal_metrics(spark: SparkSession, d: str) -> DataFrame:
+    """With the root of the mean square, which has fewer digits than the square."""
+    metrics = seasonal.evaluate_seasonal(daily_ship(spark, d))
+    square = F.col("error_metric") == "MSE"
+    rooted = metrics.select(
+        "series",
+        F.when(square, "RMSE").otherwise(F.col("error_metric")).alias("error_metric"),
+        F.when(square, F.sqrt("metric_value")).otherwise(F.col("metric_value")).alias("metric_value"),
+    )
+    return _rounded(rooted, "metric_value")
+
+
 def forecast_metrics(spark: SparkSession, d: str) -> DataFrame:
     metrics = forecast.evaluate(forecast.training_set(daily_obs(spark, d)))
     return _rounded(metrics, "metric_value")
@@ -578,6 +594,11 @@ QUERIES: dict[str, Query] = {
     "forecast_single_series": forecast_single_series,
     "forecast_ship": forecast_ship,
     "forecast_metrics": forecast_metrics,
+    "forecast_seasonal": forecast_seasonal,
+    "forecast_seasonal_obs": lambda spark, d: _rounded(
+        seasonal.forecast_seasonal(daily_obs(spark, d)), *_FORECAST_COLUMNS
+    ),
+    "seasonal_metrics": seasonal_metrics,
     "latest_metrics": latest_metrics,
     "fit_outcomes": fit_outcomes,
     "month_moments": month_moments,
