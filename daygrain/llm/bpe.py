@@ -289,7 +289,9 @@ def decoder(ranks: dict[bytes, int]):
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the packed ids of the whole text in a column named ``ids``."""
+    """``docs`` with the packed ids of the whole text in a new column named ``ids``; one of that name is refused."""
+    if ids in docs.columns:
+        raise ValueError(f"documents have a column {ids!r} already")
     return docs.withColumn(ids, encoder(ranks)(text_or_empty(F.col(text))))
 
 

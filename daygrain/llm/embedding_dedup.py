@@ -1,14 +1,16 @@
 """Embedding near-dedup as an exact metric range join.
 
 Vectors are scaled to length one, where cosine >= t is distance <= eps. Pivots,
-drawn from the data, partition them: a vector's home is its nearest pivot. By
+drawn from the data far from one another, partition them: a vector's home is its nearest pivot. By
 the triangle inequality a vector can only have a partner at home in another
 cell if it is no farther than eps from the plane between the two pivots, and it
 is replicated to those cells alone. A pair is compared in the lower of its two
 home cells only, so replicas go one way. Cells join independently.
 
 A cell is compared in blocks of at most about ``BLOCK`` by ``BLOCK`` vectors, so
-neither a crowded cell nor many replicas make a task grow. A block returns link
+neither a crowded cell nor many replicas make a task grow. Within a block rows are
+sorted by their distance to one of them, and only rows whose distances differ by at
+most eps are compared. A block returns link
 counts and a spanning forest of its links, never the links themselves. Equal
 vectors are collapsed first and counted by their number.
 
@@ -39,8 +41,11 @@ from daygrain.llm.graph import Forest, components
 
 COSINE = 0.95
 BLOCK = 4096
-#: Most pivots.
+#: Most pivots, and as many as there are at least from 64 vectors each on.
 PIVOTS = 2048
+LEAST = 8
+#: Vectors a pivot is chosen from.
+SPREAD = 4
 #: Rounding allowance of the replication test, far above the error of double arithmetic.
 SLACK = 1e-6
 
@@ -69,24 +74,39 @@ def block_links(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
     right = left if alone else np.flatnonzero(group.chunk == group.right_chunk)
     copies, found = group.copies.to_numpy(), np.zeros(len(group), np.int64)
     forest = Forest(len(group))
+    # Rings around one vector: rows whose distances to it differ by more than eps are farther apart than eps.
+    eps = np.sqrt(2 - 2 * cosine) + SLACK
+    ring = np.sqrt(np.maximum(2 - 2 * rows @ rows[left[0]], 0)) if len(left) else np.zeros(len(rows))
+    left, right = (side[np.argsort(ring[side], kind="stable")] for side in (left, right))
     for at in range(0, len(left), 512):
         own = left[at : at + 512]
-        near = rows[own] @ rows[right].T >= cosine
-        near &= sizes[own][:, None] == sizes[right][None, :]
+        first = np.searchsorted(ring[right], ring[own[0]] - eps)
+        some = right[first : np.searchsorted(ring[right], ring[own[-1]] + eps, side="right")]
+        near = rows[own] @ rows[some].T >= cosine
+        near &= sizes[own][:, None] == sizes[some][None, :]
         if alone:
-            near[np.arange(len(own)), at + np.arange(len(own))] = False
+            near[np.arange(len(own)), at - first + np.arange(len(own))] = False
         linked = np.flatnonzero(near.any(1))
         for i in linked:
-            forest.link(own[i], right[near[i]])
-        found[own[linked]] += near[linked] @ copies[right]
+            forest.link(own[i], some[near[i]])
+        found[own[linked]] += near[linked] @ copies[some]
         if not alone:
             hit = np.flatnonzero(near.any(0))
-            found[right[hit]] += copies[own] @ near[:, hit]
+            found[some[hit]] += copies[own] @ near[:, hit]
     nodes, ids = np.flatnonzero(found), group.gid.to_numpy()
     roots = forest.roots(nodes)
     return pd.DataFrame({"a": ids[nodes], "b": ids[roots], "n": found[nodes]})
 
 
+def spread_out(rows: np.ndarray, wanted: int) -> np.ndarray:
+    """``wanted`` of the rows, each the farthest from those before it."""
+    chosen, nearest = [0], 2 - 2 * rows @ rows[0]
+    while len(chosen) < min(wanted, len(rows)):
+        chosen.append(int(nearest.argmax()))
+        nearest = np.minimum(nearest, 2 - 2 * rows @ rows[chosen[-1]])
+    return rows[chosen]
+
+
 def cells(distinct: DataFrame, pivots: np.ndarray, cosine: float) -> DataFrame:
     """``distinct`` with each vector's cell; replicas in other cells have home = false."""
     eps = np.sqrt(2 - 2 * cosine)
@@ -122,10 +142,10 @@ def links(distinct: DataFrame, cosine: float = COSINE, block: int = BLOCK, most:
     ``distinct`` is a written table of different vectors: gid, vector, copies.
     """
     n = distinct.count()
-    wanted = min(most, max(1, -(-n // block)))
-    sample = distinct.select("vector", F.xxhash64("gid").alias("draw")).orderBy("draw").limit(wanted).collect()
+    wanted = min(most, max(1, -(-n // block), min(LEAST, n // 64)))
+    sample = distinct.select("vector", F.xxhash64("gid").alias("draw")).orderBy("draw").limit(SPREAD * wanted).collect()
     width = max([len(r["vector"]) for r in sample], default=1)
-    pivots = unit_rows([r["vector"] for r in sample], width)[0] if sample else np.zeros((1, width))
+    pivots = spread_out(unit_rows([r["vector"] for r in sample], width)[0], wanted) if sample else np.zeros((1, width))
     placed = stored(cells(distinct, pivots, cosine), "cells")
 
     counts = placed.groupBy("cell").agg(
@@ -188,3 +208,22 @@ def op2(spark, sf_dir: str) -> DataFrame:
         F.col("component").alias("component_id"),
         F.col("id").eqNullSafe(F.col("component")).alias("kept"),
     )
+
+
+#: For ids that do not repeat and vectors of one length.
+OP2_SQL = f"""
+WITH RECURSIVE sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= {COSINE}),
+reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other),
+least AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT vec_id, count(b) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN links ON a = vec_id GROUP BY vec_id, component_id
+"""

@@ -39,7 +39,8 @@ class Forest:
 
 
 def _least_neighbour(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    """The least of each node's neighbourhood; written, so that a join with it can split a hub's edges."""
+    return stored(pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "least")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -55,24 +56,27 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
 
 
+def _is_done(edges: DataFrame) -> bool:
+    """Whether all trees are stars: no node hangs on two, and none that others hang on hangs itself."""
+    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return nodes.filter("up > 1 OR up = 1 AND least = 0").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of ``edges``; the component is its smallest node.
 
-    Alternates large and small stars until nothing moves, which takes a
-    logarithmic number of rounds. Each round is two aggregations with
-    map-side combine and two joins that adaptive execution may split, and is
-    written out, so that no lineage grows and no node's edges meet in one task.
-    Self-links and repeated links do no harm; no edges give no rows.
+    Alternates large and small stars until all trees are stars, which takes a
+    logarithmic number of rounds. Each round is two aggregations with map-side
+    combine, whose results are written, and two joins with them, which adaptive
+    execution splits where a hub has many edges. Each round is written out, so that
+    no lineage grows. Self-links and repeated links do no harm; no edges give no rows.
     """
     now = stored(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u > v").distinct(), "edges"
     )
-    before = None
-    while True:
-        state = now.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.hash("v").cast("long"))).first()
-        if state == before or not state[0]:
-            break
-        before = state
-        now = stored(_small_star(_large_star(now)), "edges")
+    while not _is_done(now):
+        # Two steps with a write between them: the second reads the edges twice.
+        now = stored(_small_star(stored(_large_star(now), "edges")), "edges")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -10,7 +10,8 @@ hash picks. Rows with crc32(id as text) mod 4 = 2 are held out and never learned
 from. Predictions look at the text alone.
 
 A null text and a text without a letter is ``und`` with score 0; so is every
-text if no row is labelled. A null id counts as the text of no characters for the
+text if no row is labelled. Letters are those of Unicode's category L: not digits,
+number forms such as Ⅷ, fractions or circled numbers. A null id counts as the text of no characters for the
 hold-out rule. Every row gives a row, repeats included; an empty table gives an
 empty result; other columns are never looked at. The sample is ordered, so equal
 tables give equal weights.
@@ -18,12 +19,12 @@ tables give equal weights.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -42,7 +43,7 @@ ROWS = 4096
 #: Documents whose best language has less than this share are rejected by the pipeline.
 MIN_SCORE = 0.3
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def windows(data: bytes, width: int = WINDOW) -> np.ndarray:

@@ -2,13 +2,14 @@
 
 Each source's documents are packed end to end into blocks of ``block`` words;
 the last block of a source may be shorter. A source's target in words becomes a
-number of output slots. Slots of all sources are scattered over the output
-shards by a pseudorandom permutation of the whole output, so the number of
-slots a source gets in a shard is a multinomial draw given the totals: totals
-stay on target, shards vary. Inside a source the k-th slot maps through a
-pseudorandom permutation of its block numbers, a new one for every pass over
-the source, and blocks join slots by (source, block number). In every pass each
-block is used at most once, so nothing is used more than ``cap`` times.
+number of output slots. Slots of all sources draw a keyed random number, and its
+rank over all slots is the slot's place in the output, which is cut into shards
+of ``SHARD_SLOTS`` slots: so the numbers of slots that the sources get in a shard
+are a multinomial draw given the totals. Totals stay on target, shards vary. The
+slots of a source are counted through the shards, and the k-th maps through a
+pseudorandom permutation of its block numbers, a new one for every pass over the
+source; blocks join slots by (source, block number). In every pass each block is
+used at most once, so nothing is used more than ``cap`` times.
 
 Targets share the total by weight; a target stops at ``cap`` times its source's
 size and the excess is shared by weight among the others. Sources are ordered by
@@ -18,7 +19,8 @@ A null text has no words and a document without words takes part with 0. Rows
 that repeat an id are separate documents. An empty table gives an empty result.
 Permutations are keyed by seed, source and pass, so reruns agree. The number of
 distinct sources is taken to be small: their totals, a row each, are ordered in
-one task. A hot source is spread over buckets of its documents.
+one task. A hot source is spread over buckets of its documents, by a hash of id
+and text, and its slots over range partitions of the draw.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daygrain.llm.common import WORD, stored, table, text_or_empty
+from daygrain.llm.common import WORD, shuffle_partitions, stored, table, text_or_empty
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK = 1024
@@ -36,8 +38,13 @@ SEED = 17
 SHARD_SLOTS = 256
 #: Documents whose running sums one task takes.
 BUCKET_ROWS = 50_000
-#: Slots that one row of the slot generator expands to.
+#: Slots that one row of the slot generator expands to, and rows that one task expands.
 RUN = 8192
+TASK_RUNS = 16
+#: Places below which a permutation walks until it ends, and steps of a walk from there on.
+SMALL = 4096
+STEPS = 24
+ROW_BITS = 33  # monotonically_increasing_id keeps the row within its partition in so many bits
 MODULUS = 2147483647
 
 #: A word with the white space after it, the first one also with what stands before it.
@@ -47,9 +54,10 @@ PIECE = r"(?:^[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
 def permuted(index: str, n: str, key: str) -> str:
     """SQL for the place of ``index`` in a pseudorandom permutation of 0 to n - 1.
 
-    Four Feistel rounds over a square of at least n places; a place beyond n is
-    sent round again, which ends inside after at most as many steps as there
-    are places outside.
+    Four Feistel rounds over a square of at least n places; a place beyond n is sent round
+    again. Under ``SMALL`` places there is a step for every place outside, so that all walks
+    end. From there on at most a share of 1/32 is outside, and of all walks ``STEPS`` long a
+    share of 32 ** -STEPS is not at its end, which raises. So a slot costs the same whatever n is.
     """
     side = f"greatest(1L, cast(ceil(sqrt({n})) AS bigint))"
 
@@ -61,9 +69,11 @@ def permuted(index: str, n: str, key: str) -> str:
             f" named_struct('l', state.r, 'r', (state.l + {drawn}) % {side}), state -> state.l * {side} + state.r)"
         )
 
+    steps = f"least({side} * {side} - {n}, if({n} < {SMALL}, {SMALL}L, {STEPS}L))"
     return (
-        f"aggregate(sequence(0L, greatest(0L, {side} * {side} - {n})), cast(-1 AS bigint), (walker, step) ->"
-        f" CASE WHEN step = 0 THEN {once(index)} WHEN walker < {n} THEN walker ELSE {once('walker')} END)"
+        f"aggregate(sequence(0L, greatest(0L, {steps})), cast(-1 AS bigint), (walker, step) ->"
+        f" CASE WHEN step = 0 THEN {once(index)} WHEN walker < {n} THEN walker ELSE {once('walker')} END,"
+        f" walker -> if(walker < greatest({n}, 1), walker, cast(raise_error('a walk has not ended') AS bigint)))"
     )
 
 
@@ -92,12 +102,11 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, cap: int = CAP) -> DataFr
 def positions(sized: DataFrame, weights, cap: int) -> tuple[DataFrame, DataFrame]:
     """Documents with their place in their source's word stream, and the sources with their targets.
 
-    ``sized`` is a written table of row, doc_id, source and size.
+    ``sized`` is a written table of row, doc_id, source, size and mark.
     """
     buckets = max(1, -(-sized.count() // BUCKET_ROWS))
-    number = F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(MODULUS))
     keyed = sized.withColumn("skey", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).withColumn(
-        "bucket", F.pmod(number * 48271, F.lit(MODULUS)) % buckets
+        "bucket", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(buckets))
     )
     cells = stored(
         keyed.groupBy("skey", "bucket").agg(F.sum("size").alias("words"), F.first("source").alias("source")), "cells"
@@ -110,7 +119,7 @@ def positions(sized: DataFrame, weights, cap: int) -> tuple[DataFrame, DataFrame
         .join(sources, cells["source"].eqNullSafe(sources["source"]))
         .select("skey", "bucket", "base", "sid", "source_size", "target")
     )
-    inside = Window.partitionBy("skey", "bucket").orderBy("doc_id", "size", "row").rowsBetween(
+    inside = Window.partitionBy("skey", "bucket").orderBy("doc_id", "size", "mark", "row").rowsBetween(
         Window.unboundedPreceding, 0
     )
     placed = (
@@ -121,21 +130,62 @@ def positions(sized: DataFrame, weights, cap: int) -> tuple[DataFrame, DataFrame
     return placed, sources
 
 
-def slots(sources: DataFrame, block: int, seed: int, shard_slots: int) -> DataFrame:
-    """One row per output slot: shard, slot, sid, pass, block number and the words taken from the block."""
-    planned = (
+def planned_slots(sources: DataFrame, block: int) -> DataFrame:
+    """Sources with their blocks, whole passes, words of the last pass, and number of slots."""
+    return (
         sources.withColumn("want", F.floor(F.col("target") + 0.5).cast("long"))
         .filter("want > 0")
-        .selectExpr("*", f"source_size div {block} AS whole", f"source_size % {block} AS tail", "want div source_size AS passes",
-                    "want % source_size AS rest")
+        .selectExpr("sid", f"source_size div {block} AS whole", f"source_size % {block} AS tail",
+                    "want div source_size AS passes", "want % source_size AS rest")
         .selectExpr("*", "whole + if(tail > 0, 1, 0) AS blocks")
         .selectExpr("*", f"passes * blocks + (rest + {block - 1}) div {block} AS n_slots")
     )
-    planned = planned.withColumn(
-        "first", F.sum("n_slots").over(Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_slots")
-    ).withColumn("total", F.sum("n_slots").over(Window.partitionBy()))
-    runs = planned.selectExpr("*", f"explode(sequence(0L, (n_slots - 1) div {RUN})) AS run").repartition("sid", "run")
-    each = runs.selectExpr("*", f"explode(sequence(run * {RUN}, least(n_slots, (run + 1) * {RUN}) - 1)) AS k")
+
+
+def drawn_places(planned: DataFrame, seed: int) -> DataFrame:
+    """(sid, place, k): the place of every slot in the output, and how many of its source come before it.
+
+    Places are ranks of a keyed draw, found in range partitions of it: a slot's rank is its row
+    in its partition plus the rows of the partitions before. ``k`` is found the same way, from
+    rows per partition and source.
+    """
+    runs = planned.select("sid", "n_slots", F.explode(F.expr(f"sequence(0L, (n_slots - 1) div {RUN})")).alias("run"))
+    total = planned.agg(F.sum(F.expr(f"(n_slots - 1) div {RUN} + 1"))).first()[0] or 0
+    each = runs.repartition(max(1, -(-total // TASK_RUNS))).selectExpr(
+        "sid", f"explode(sequence(run * {RUN}, least(n_slots, (run + 1) * {RUN}) - 1)) AS nth"
+    )
+    # Integers alone are hashed, so the draw is the same wherever a slot is made.
+    ordered = ("draw", "sid", "nth")
+    placed = stored(
+        each.withColumn("draw", F.xxhash64(F.lit(seed), "sid", "nth"))
+        .repartitionByRange(shuffle_partitions(planned.sparkSession), *ordered)
+        .sortWithinPartitions(*ordered)
+        .select("sid", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")),
+        "places",
+    )
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = placed.groupBy("part").agg(F.count("*").alias("n"))  # one row per partition
+    parts = per_part.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("rows_before"))
+    own_before = Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    per_source = placed.groupBy("sid", "part").agg(F.count("*").alias("n"))
+    bases = per_source.select("sid", "part", F.coalesce(F.sum("n").over(own_before), F.lit(0)).alias("own_before"))
+    inside = Window.partitionBy("part", "sid").orderBy("at")
+    return (
+        placed.withColumn("own", F.row_number().over(inside) - 1)
+        .join(F.broadcast(parts), "part")
+        .join(bases, ["part", "sid"])
+        .select(
+            "sid",
+            (F.col("rows_before") + F.col("at").bitwiseAND((1 << ROW_BITS) - 1)).alias("place"),
+            (F.col("own_before") + F.col("own")).alias("k"),
+        )
+    )
+
+
+def slots(sources: DataFrame, block: int, seed: int, shard_slots: int) -> DataFrame:
+    """One row per output slot: shard, slot, sid, pass, block number and the words taken from the block."""
+    planned = planned_slots(sources, block)
+    each = drawn_places(planned, seed).join(F.broadcast(planned), "sid")  # a row per source
     each = each.selectExpr("*", "k div blocks AS pass", "k % blocks AS i")
     each = each.selectExpr(
         "*",
@@ -143,13 +193,9 @@ def slots(sources: DataFrame, block: int, seed: int, shard_slots: int) -> DataFr
         f"CASE WHEN pass < passes THEN if(i < whole, {block}, tail) ELSE least({block}, rest - i * {block}) END AS words",
         f"if(i < whole, {block}, tail) AS length",
     )
-    drawn = each.selectExpr(
-        "sid", "pass", "words", "length",
-        f"CASE WHEN i < whole THEN {permuted('i', 'whole', 'key')} ELSE whole END AS block",
-        f"{permuted('(first + k)', 'total', str(seed * 32452843 % MODULUS))} AS place",
-    )
-    return drawn.selectExpr(
-        "sid", "pass", "block", "words", "length", f"place div {shard_slots} AS shard", f"place % {shard_slots} AS slot"
+    return each.selectExpr(
+        "sid", "pass", f"CASE WHEN i < whole THEN {permuted('i', 'whole', 'key')} ELSE whole END AS block",
+        "words", "length", f"place div {shard_slots} AS shard", f"place % {shard_slots} AS slot",
     )
 
 
@@ -171,6 +217,7 @@ def sized_rows(docs: DataFrame, id: str, text: str, source: str, keep: list) ->
         F.col(id).alias("doc_id"),
         F.col(source).alias("source"),
         words.alias("size"),
+        F.xxhash64(F.col(text)).alias("mark"),
         *keep,
     )
 
@@ -179,20 +226,27 @@ def words_taken(
     docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source",
     weights=WEIGHTS, block: int = BLOCK, cap: int = CAP, seed: int = SEED,
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, size, source_size, target and taken, the words the mix takes from it."""
+    """One row per row of ``docs``: doc_id, size, source_size, target, taken and n_shards.
+
+    ``taken`` counts the words the mix takes from it, ``n_shards`` the output shards that hold any of them.
+    """
     placed, sources = positions(stored(sized_rows(docs, id, text, source, []), "sizes"), weights, cap)
     uses = slots(sources, block, seed, SHARD_SLOTS).groupBy("sid", "block").agg(
         F.count_if(F.col("words") == F.col("length")).alias("uses"),
         F.max(F.when(F.col("words") < F.col("length"), F.col("words"))).alias("cut"),
+        # A block has a slot in each pass, of which there are few.
+        F.collect_list(F.struct("shard", "words")).alias("places"),
     )
     part = F.coalesce(F.col("uses"), F.lit(0)) * (F.col("end") - F.col("head")) + F.greatest(
         F.lit(0), F.least("end", F.col("block") * block + F.coalesce(F.col("cut"), F.lit(0))) - F.col("head")
     )
+    reached = F.filter("places", lambda p: F.col("block") * block + p["words"] > F.col("head"))
+    shards = F.array_distinct(F.flatten(F.collect_list(F.transform(reached, lambda p: p["shard"]))))
     return (
         pieces(placed, block)
         .join(uses, ["sid", "block"], "left")
         .groupBy("row", "doc_id", "size", "source_size", "target")
-        .agg(F.coalesce(F.sum(part), F.lit(0)).cast("long").alias("taken"))
+        .agg(F.coalesce(F.sum(part), F.lit(0)).cast("long").alias("taken"), F.size(shards).cast("long").alias("n_shards"))
         .drop("row")
     )
 
@@ -210,7 +264,7 @@ def mixed_documents(
     held = stored(
         sized_rows(docs, id, text, source, [F.struct(*docs.columns).alias("doc")]), "mix-input"
     )
-    placed, sources = positions(held.select("row", "doc_id", "source", "size"), weights, cap)
+    placed, sources = positions(held.select("row", "doc_id", "source", "size", "mark"), weights, cap)
     used = (
         pieces(placed, block)
         .join(slots(sources, block, seed, SHARD_SLOTS), ["sid", "block"])

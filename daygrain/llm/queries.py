@@ -35,7 +35,9 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_embedding_dedup": embedding_dedup.OP2_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op6_warc": warc.OP6_SQL,
     "op12_conversation_repair": conversation_repair.OP12_SQL,
     "op13_vector_codes": vector_codes.OP13_SQL,
 }

@@ -60,7 +60,7 @@ def by_bytes(pieces: Iterator[tuple[int, str]], most: int = BATCH_BYTES) -> Iter
     batch, held = [], 0
     for row, piece in pieces:
         batch.append((row, piece))
-        held += len(piece)
+        held += len(piece) if piece.isascii() else len(piece.encode("utf-8", "surrogatepass"))
         if held >= most:
             yield batch
             batch, held = [], 0

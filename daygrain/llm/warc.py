@@ -259,3 +259,23 @@ def read_archive(manifest: DataFrame, folder: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "warc")
     return read_archive(write_archive(table(spark, sf_dir, "pages"), folder), folder)
+
+
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((twenty[{g}] >> {shift}) & 31)::INT, 1)"
+    for g in range(1, 9)
+    for shift in (15, 10, 5, 0)
+)
+
+#: A SHA-1 in base32: eight times twenty bits, four digits each.
+OP6_SQL = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+digested AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, hex,
+         list_transform(range(8), lambda g: ('0x' || substr(hex, 5 * g::INT + 1, 5))::BIGINT) AS twenty
+  FROM payloads)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = min(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> min(page_id) OVER same THEN min(page_id) OVER same END AS refers_to
+FROM digested WINDOW same AS (PARTITION BY hex)
+"""

@@ -28,6 +28,7 @@ ROWS = [
     (15, "Another start here.\n" + PASSAGE + "\nAnother end.", "en", "b"),
     (16, "double  spaces \n and\ttabs  ", "en", "zz"),
     (-17, "one", "en", "zz"),
+    (18, "½ ² ① 12 Ⅷ", "en", "zz"),
 ]
 
 SCHEMA = StructType(

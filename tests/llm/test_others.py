@@ -14,6 +14,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import tiktoken
+import xxhash
 from pyspark.sql import functions as F
 
 from daygrain.llm import bpe, language_id, mixing, sharding, token_counts, warc
@@ -76,6 +77,77 @@ def test_permutation_is_one(spark):
         assert sorted(drawn) == list(range(n)) and (n < 90 or drawn != sorted(drawn))
 
 
+def test_permutations_of_any_size_cost_the_same(spark):
+    """Steps per slot do not grow, and far places are still permuted without a clash."""
+    for n in (4095, 4096, 10**6, 10**9, 10**11):
+        df = spark.range(3000).withColumn("n", F.lit(n).cast("long"))
+        drawn = [r[0] for r in df.selectExpr(mixing.permuted("id", "n", "777") + " AS p").collect()]
+        assert len(set(drawn)) == 3000 and all(0 <= p < n for p in drawn)
+
+
+def test_draw_reaches_the_result(edge_docs):
+    plan = mixing.words_taken(edge_docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "place" in plan and "shard" in plan
+    _, sources = mixing.positions(stored(mixing.sized_rows(edge_docs, "doc_id", "text", "source", []), "sizes"), mixing.WEIGHTS, 3)
+    block, shard_slots = 8, 16
+    planned = {r["sid"]: r for r in mixing.planned_slots(sources, block).collect()}
+    rows = mixing.slots(sources, block, 1, shard_slots).collect()
+    # A plain replay: slots in the order of their places, each the next of its source.
+    seen = Counter()
+    for r in sorted(rows, key=lambda r: (r["shard"], r["slot"])):
+        k, p = seen[r["sid"]], planned[r["sid"]]
+        assert r["pass"] == k // p["blocks"]
+        last = r["pass"] == p["passes"]
+        i = k % p["blocks"]
+        assert r["length"] == (block if i < p["whole"] else p["tail"])
+        assert r["words"] == (min(block, p["rest"] - i * block) if last else r["length"])
+        assert (r["block"] == p["whole"]) == (i == p["whole"])
+        seen[r["sid"]] += 1
+    assert seen == Counter({s: p["n_slots"] for s, p in planned.items()})
+    # Shards differ from one another as random draws do: neither all alike nor sorted by source.
+    shards = defaultdict(Counter)
+    for r in rows:
+        shards[r["shard"]][r["sid"]] += 1
+    full = [c for c in shards.values() if sum(c.values()) == shard_slots]
+    big = max(planned, key=lambda s: planned[s]["n_slots"])
+    share = planned[big]["n_slots"] / len(rows)
+    counts = np.array([c[big] for c in full])
+    assert len(full) > 20 and abs(counts.mean() - share * shard_slots) < 1.0
+    spread = shard_slots * share * (1 - share)
+    assert 0.4 * spread < counts.var() < 2.2 * spread
+
+
+@pytest.mark.parametrize("block", [7, 1024])
+def test_taken_equals_a_plain_count_over_blocks(edge_docs, block):
+    """Every document's words and shards, from the slots and the layout of its source, one word at a time."""
+    placed, sources = mixing.positions(stored(mixing.sized_rows(edge_docs, "doc_id", "text", "source", []), "sizes"), mixing.WEIGHTS, 3)
+    slots = defaultdict(list)
+    for r in mixing.slots(sources, block, mixing.SEED, mixing.SHARD_SLOTS).collect():
+        slots[r["sid"], r["block"]].append((r["words"], r["shard"]))
+    expected = Counter()
+    layout = defaultdict(list)
+    for r in placed.collect():
+        uses = [s for at in range(r["start"], r["start"] + r["size"]) for w, s in slots[r["sid"], at // block] if at % block < w]
+        expected[r["doc_id"], r["size"], len(uses), len(set(uses))] += 1
+        layout[r["sid"]] += range(r["start"], r["start"] + r["size"])
+    assert all(sorted(words) == list(range(len(words))) for words in layout.values())
+    got = mixing.words_taken(edge_docs, block=block).collect()
+    assert Counter((r["doc_id"], r["size"], r["taken"], r["n_shards"]) for r in got) == expected
+
+
+def test_rows_without_an_id_are_spread(spark, monkeypatch):
+    rows = [(None, f"text {i} of many", "s") for i in range(400)] + [(1, f"word {i}", "s") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 100)
+    sized = stored(mixing.sized_rows(docs, "doc_id", "text", "source", []), "sizes")
+    placed, _ = mixing.positions(sized, mixing.WEIGHTS, 3)
+    assert "bucket" in placed._jdf.queryExecution().analyzed().toString()
+    words = sorted(w for r in placed.collect() for w in range(r["start"], r["start"] + r["size"]))
+    assert words == list(range(len(words)))
+    buckets = sized.selectExpr("pmod(xxhash64(doc_id, mark), 8) AS b").groupBy("b").count().collect()
+    assert max(r["count"] for r in buckets) < 200
+
+
 def test_slots_fill_shards_without_gaps(edge_docs):
     _, sources = mixing.positions(stored(mixing.sized_rows(edge_docs, "doc_id", "text", "source", []), "sizes"), mixing.WEIGHTS, 3)
     rows = mixing.slots(sources, 16, 1, 8).collect()
@@ -107,6 +179,48 @@ def test_mix_of_nothing(no_docs, edge_docs):
 # sharding
 
 
+def plain_shards(rows, n, snap=0.02, overhead=16):
+    """(id, shard, slot) of a sorted list that is cut at equal byte targets, or at the edge of a group nearby."""
+    keyed = []
+    for id, text in rows:
+        digest = xxhash.xxh64_intdigest(text.encode(), 42)
+        size = len(text.encode()) + overhead
+        keyed.append(((digest - (1 << 64) if digest >> 63 else digest), (id is not None, id or 0), size, id))
+    keyed.sort(key=lambda r: r[:3])
+    ends, at = [], 0
+    for r in keyed:
+        at += r[2]
+        ends.append(at)
+    targets = [at * k // n for k in range(1, n)]
+    spans = [(r[0], end - r[2], end) for r, end in zip(keyed, ends)]
+    crossed = {d for d, first, last in spans if any(first < t < last for t in targets)}
+    groups = [
+        (min(first for e, first, _ in spans if e == d), max(last for e, _, last in spans if e == d)) for d in crossed
+    ]
+    cuts = []
+    for target in targets:
+        cut = target
+        for first, last in groups:
+            edge = min((first, last), key=lambda x: (abs(x - target), x))
+            if first < target < last and abs(edge - target) <= snap * at / n:
+                cut = edge
+        cuts.append(2 * cut)
+    found, slots = [], Counter()
+    for r, end in zip(keyed, ends):
+        shard = sum(c <= 2 * end - r[2] for c in cuts)
+        found.append((r[3], r[2], shard, slots[shard]))
+        slots[shard] += 1
+    return Counter(found)
+
+
+@pytest.mark.parametrize("n, snap", [(4, 0.02), (3, 0.5), (40, 0.02)])
+def test_shards_equal_a_sorted_list(edge_docs, n, snap):
+    rows = [(r["doc_id"], r["text"] or "") for r in edge_docs.collect()]
+    got = sharding.shard_by_bytes(edge_docs, n, snap=snap).collect()
+    # Rows equal in id and text lie side by side in either order.
+    assert Counter((r["id"], r["size"], r["shard"], r["slot"]) for r in got) == plain_shards(rows, n, snap)
+
+
 def test_shards_are_contiguous_and_balanced(spark, documents, edge_docs):
     for docs, n in ((documents, 40), (documents, 3), (edge_docs, 4), (edge_docs, 1)):
         rows = [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]
@@ -173,6 +287,8 @@ def test_bpe_of_tables(documents, edge_docs, no_docs, ranks, reference):
             ids = reference.encode_ordinary(text)
             truth.append((id, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
         assert Counter(tuple(r) for r in bpe.encoded_digests(docs, ranks).collect()) == Counter(truth)
+    with pytest.raises(ValueError, match="already"):
+        bpe.encode_documents(edge_docs, ranks)
     packed = bpe.encode_documents(edge_docs, ranks, ids="packed")
     assert packed.columns == [*edge_docs.columns, "packed"]
     for text, decoded in packed.select("text", bpe.decoder(ranks)("packed")).collect():
@@ -312,6 +428,47 @@ def test_language_edges(edge_docs, no_docs):
     assert left.columns == edge_docs.columns and left.count() == sum(id in letters for id, _, _, _ in ROWS)
 
 
+def plain_shares(net, text):
+    """Mean distribution over the bytes of a text, byte by byte in double precision."""
+    data = text.replace("\0", " ").encode()
+    data += b"\0" * (-len(data) % language_id.WINDOW)
+    hidden, sums = net.recurrent[0].shape[1], np.zeros(len(net.languages))
+    for at in range(0, len(data), language_id.WINDOW):
+        window = data[at : at + language_id.WINDOW]
+        states = [{}, {}]
+        for way in (0, 1):
+            inputs, own, state = net.inputs[way].astype(float), net.recurrent[way].astype(float), np.zeros(hidden)
+            for t in range(len(window)) if way == 0 else reversed(range(len(window))):
+                fed = inputs[:, window[t]]
+                gate = np.clip(0.25 * (fed[: 2 * hidden] + own[: 2 * hidden] @ state) + 0.5, 0, 1)
+                new = fed[2 * hidden :] + gate[hidden:] * (own[2 * hidden :] @ state)
+                state = state + gate[:hidden] * (new / (1 + abs(new)) - state)
+                states[way][t] = state
+        for t, byte in enumerate(window):
+            if byte:
+                score = net.output.astype(float) @ np.concatenate([states[0][t], states[1][t]]) + net.bias
+                share = np.exp(score - score.max())
+                sums += share / share.sum()
+    return sums / sums.sum()
+
+
+def test_language_equals_a_plain_pass_over_the_bytes(edge_docs):
+    net = language_id.train(language_id.training_sample(edge_docs, "doc_id", "text", "lang"))
+    got = Counter()
+    for r in language_id.predicted(edge_docs.filter("length(text) < 2000 OR text IS NULL")).collect():
+        got[r["id"], r["lang_pred"], round(r["score"], 3)] += 1
+    expected = Counter()
+    for id, text, _, _ in ROWS:
+        if text is not None and len(text) >= 2000:
+            continue
+        if not any(c.isalpha() for c in text or ""):
+            expected[id, "und", 0.0] += 1
+            continue
+        shares = plain_shares(net, text)
+        expected[id, net.languages[shares.argmax()], round(float(shares.max()), 3)] += 1
+    assert sum(got.values()) == sum(expected.values()) and sum((got - expected).values()) <= 1  # a rounding apart
+
+
 def test_every_byte_gets_a_label():
     net = language_id.train([("de", "der die das und ist " * 30), ("fr", "le la les et est une " * 30)], steps=30)
     assert net.languages == ["de", "fr"]

@@ -22,7 +22,7 @@ from daygrain.llm import queries as registered
 from daygrain.llm import secret_scan, vector_codes
 
 
-@pytest.mark.parametrize("name", ["op12_conversation_repair", "op13_vector_codes"])
+@pytest.mark.parametrize("name", sorted(registered.ORACLE))
 def test_query_equals_sql(spark, data_dir, name):
     assert differences(registered.QUERIES[name](spark, data_dir), connect(data_dir), registered.ORACLE[name]) == []
 
