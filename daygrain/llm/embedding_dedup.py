@@ -151,9 +151,10 @@ def links(distinct: DataFrame, cosine: float = COSINE, block: int = BLOCK, most:
     counts = placed.groupBy("cell").agg(
         F.ceil(F.count_if("home") / block).cast("int").alias("homes"),
         F.ceil(F.count_if(~F.col("home")) / block).cast("int").alias("others"),
-    )  # one row per pivot
+    )  # one row per pivot, of which there are at most ``most``
     spread = F.pmod(F.xxhash64("gid"), F.when(F.col("home"), F.col("homes")).otherwise(F.col("others"))).cast("int")
-    chunked = placed.join(counts, "cell").withColumn(
+    # Broadcast, as a shuffle by cell would do for the blocks too and put all of a cell into one task.
+    chunked = placed.join(F.broadcast(counts), "cell").withColumn(
         "chunk", F.when(F.col("home"), spread).otherwise(F.col("homes") + spread)
     )
     # A chunk of homes meets every chunk of the cell, a chunk of replicas every chunk of homes.
