@@ -26,7 +26,10 @@ from daygrain.operators.checks import (
 )
 from daygrain.operators.forecast import (
     evaluate,
+    evaluate_moments,
     final_series,
+    fit_moments,
+    fit_outcomes,
     fit_trend,
     latest_run,
     predict,
@@ -35,13 +38,19 @@ from daygrain.operators.forecast import (
 )
 from daygrain.operators.history import open_rows, snapshot_scd2
 from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, temp_anomaly
+from daygrain.operators.moments import month_moments
+from daygrain.operators.seasonal import evaluate_seasonal, forecast_seasonal
 from daygrain.operators.series import choose_block_days
 from daygrain.operators.upsert import upsert
 from daygrain.plans.daily import build_models, ingest, train_and_predict
 from daygrain.session import build_session
+from daygrain.sources.declared import Declaration, declare
+from daygrain.sources.release import Stage, pin, source
 
 __all__ = [
     "CheckFailed",
+    "Declaration",
+    "Stage",
     "build_models",
     "build_session",
     "check_accepted",
@@ -50,17 +59,25 @@ __all__ = [
     "choose_block_days",
     "compare_series",
     "coverage",
+    "declare",
     "dry_spell",
     "evaluate",
+    "evaluate_moments",
+    "evaluate_seasonal",
     "final_series",
+    "fit_moments",
+    "fit_outcomes",
     "fit_trend",
+    "forecast_seasonal",
     "ingest",
     "last_days",
     "latest_run",
     "loaded_since",
     "longest_rain_streaks",
+    "month_moments",
     "moving_avg",
     "open_rows",
+    "pin",
     "predict",
     "rain_streaks",
     "recent_loads",
@@ -72,6 +89,7 @@ __all__ = [
     "sigma_flags",
     "snapshot_scd2",
     "sorted_for_display",
+    "source",
     "temp_anomaly",
     "temp_ranks",
     "train_and_predict",
