@@ -1,8 +1,11 @@
 """A deterministic sharded WARC writer and its reader.
 
 Pages are put into shards of near-equal payload bytes, contiguous in the order
-of page id: cuts come from global prefix sums, so they depend on the pages
-alone. A task sorts its shards' records by (id, digest) and writes each shard
+of (page id, payload digest): a page's shard is its global byte offset over the shard
+size, so cuts depend on the pages alone. A task takes a range of whole shards. There
+are at most as many ranges as shuffle partitions, and only where each range
+begins is known to the driver and to every task; offsets inside a range are a running
+sum of its writer. A task sorts its records and writes each shard
 to files that roll over once ``roll_bytes`` of compressed records are in them.
 Headers, record ids, block and payload digests are made anew; every record is a
 gzip member of its own. A file is written under a temporary name and renamed
@@ -14,7 +17,8 @@ Of records with equal payloads of at least ``min_bytes`` the one with the
 smallest id is a response, the others are revisits that refer to it; smaller
 payloads are all responses. Of rows that repeat id and payload one is the
 response. A null payload counts as empty, a null url leaves out the target
-header, a null id ranks last and is written as ``null``. An empty table gives an
+header, a null id ranks last and is written as ``null``. Rows that repeat id and
+payload are written by one task, to as many shards as they fill. An empty table gives an
 archive without files and an empty result; other columns are never looked at.
 
 Digests of a payload are counted before they are shuffled, and only payloads
@@ -30,6 +34,7 @@ import posixpath
 import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -37,12 +42,15 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrain.llm.common import delete_on_exit, stored, table, text_or_empty
+from daygrain.llm.common import delete_on_exit, shuffle_partitions, stored, table, text_or_empty
 from daygrain.llm.sharding import laid_out
 from daygrain.session import scratch_path
 
 SHARD_BYTES = 64 << 20
 ROLL_BYTES = 8 << 20
+#: What a record's headers count for in the size of a shard.
+OVERHEAD = 512
+LAST = (1 << 63) - 1
 DATE = "2026-01-01T00:00:00Z"
 LEVEL = 4
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -129,14 +137,33 @@ class ShardFiles:
         return frame
 
 
-def _writer(folder: str, roll_bytes: int, date: str):
+def ranges(slim: DataFrame, shard_bytes: int, most: int) -> list[tuple[int, str, int, int]]:
+    """(id, digest, offset, shard) at which each of at most ``most`` ranges of shards begins, in order.
+
+    ``slim`` has id (null: ``LAST``), digest and size. Rows that repeat id and digest stay in
+    one range, that of the first of them.
+    """
+    offsets = stored(laid_out(slim.select(F.col("id").alias("hash"), F.col("digest").alias("id"), "size")), "page-offsets")
+    total = offsets.agg(F.max(F.col("start") + F.col("size"))).first()[0] or 0
+    per_range = max(1, -(-(-(-total // shard_bytes)) // most))  # shards
+    heads = offsets.groupBy(F.floor(F.col("start") / (shard_bytes * per_range)).alias("range")).agg(
+        F.min(F.struct("hash", "id")).alias("key")
+    )
+    heads = heads.groupBy("key.hash", "key.id").agg(F.min("range").alias("range"))  # at most ``most`` rows
+    found = offsets.join(F.broadcast(heads), ["hash", "id"]).groupBy("hash", "id", "range").agg(F.min("start").alias("start"))
+    return sorted((r["hash"], r["id"], r["start"], r["range"] * per_range) for r in found.collect())
+
+
+def _writer(folder: str, heads: list[tuple[int, str, int, int]], shard_bytes: int, roll_bytes: int, date: str):
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        files, key, first, copy = None, None, None, 0
+        files, now, key, first, copy = None, None, None, None, 0
         for frame in frames:
             files = files or ShardFiles(folder, roll_bytes)
-            for shard, id, digest, kind, url, html, first_id in zip(
-                frame.shard, frame.id, frame.digest, frame.kind, frame.url, frame.html, frame.first_id
+            for part, id, digest, kind, url, html, first_id in zip(
+                frame.part, frame.id, frame.digest, frame.kind, frame.url, frame.html, frame.first_id
             ):
+                if part != now:
+                    now, (offset, least) = part, heads[part][2:]
                 id = None if pd.isna(id) else int(id)
                 if (id, digest) != key:
                     key, first, copy = (id, digest), None, 0
@@ -145,8 +172,10 @@ def _writer(folder: str, roll_bytes: int, date: str):
                     continue
                 revisit = first is not None and (first[0] != id or copy > 0)
                 target = None if url is None or pd.isna(url) else url
-                record = make_record(id, target, html.encode(), first[0] if first else None, revisit, copy, date)
-                files.add(int(shard), member(record))
+                payload = html.encode()
+                record = make_record(id, target, payload, first[0] if first else None, revisit, copy, date)
+                files.add(max(least, offset // shard_bytes), member(record))
+                offset += len(payload) + OVERHEAD
                 copy += 1
             if files.done:
                 yield files.taken()
@@ -189,24 +218,24 @@ def write_archive(
     )
     decisions = slim.filter(F.col("size") >= min_bytes).join(repeated, "digest").select("id", "digest", "first_id").distinct()
 
-    # Shards: where the byte offset of a page, in the order of ids, passes a multiple of the shard size.
-    last = F.coalesce(F.col("id"), F.lit((1 << 63) - 1))
-    placed = laid_out(slim.select(last.alias("id"), (F.col("size") + 512).alias("size"), F.lit(0).cast("long").alias("hash")))
-    starts = placed.groupBy(F.floor(F.col("start") / shard_bytes).cast("long").alias("shard")).agg(F.min("id").alias("from"))
-    cuts = sorted(r["from"] for r in starts.collect())  # one id per shard
+    last = F.coalesce(F.col("id"), F.lit(LAST))
+    heads = ranges(
+        slim.select(last.alias("id"), "digest", (F.col("size") + OVERHEAD).alias("size")), shard_bytes, shuffle_partitions(spark)
+    )
+    keys = [head[:2] for head in heads]
 
-    @F.pandas_udf("long")
-    def shard_of(ids: pd.Series) -> pd.Series:
-        return pd.Series(cuts, dtype="int64").searchsorted(ids, side="right") - pd.Series(1, index=ids.index)
+    @F.pandas_udf("int")
+    def range_of(ids: pd.Series, digests: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(keys, key) - 1 for key in zip(ids, digests)], dtype="int32")
 
     nothing = F.lit(None)
     both = rows.select("id", "digest", F.lit(1).alias("kind"), "url", "html", nothing.cast("long").alias("first_id")).union(
         decisions.select("id", "digest", F.lit(0), nothing.cast("string"), nothing.cast("string"), "first_id")
     )
-    sharded = both.withColumn("shard", shard_of(last)).repartition(max(1, len(cuts)), "shard")
-    ordered = sharded.sortWithinPartitions("shard", F.col("id").asc_nulls_last(), "digest", "kind")
-    manifest = ordered.select("shard", "id", "digest", "kind", "url", "html", "first_id").mapInPandas(
-        _writer(folder, roll_bytes, date), MANIFEST
+    placed = both.withColumn("part", range_of(last, "digest")).repartitionById(max(1, len(heads)), "part")
+    ordered = placed.sortWithinPartitions("part", last, "digest", F.col("id").asc_nulls_last(), "kind")
+    manifest = ordered.select("part", "id", "digest", "kind", "url", "html", "first_id").mapInPandas(
+        _writer(folder, heads, shard_bytes, roll_bytes, date), MANIFEST
     )
     manifest.write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
@@ -252,8 +281,8 @@ def read_archive(manifest: DataFrame, folder: str) -> DataFrame:
                     rows = [read_back(*r) for r in read_records(stream)]
                 yield pd.DataFrame(rows, columns=names).astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    files = manifest.repartition(max(1, manifest.count()), "file")
-    return files.mapInPandas(read, RECORDS)
+    n = min(manifest.count(), shuffle_partitions(manifest.sparkSession))
+    return manifest.repartition(max(1, n)).mapInPandas(read, RECORDS)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -365,6 +365,27 @@ def test_warc_bytes_do_not_depend_on_partitions(spark):
     assert [i for i in order if i is not None] == sorted(i for i in order if i is not None)
 
 
+@pytest.mark.parametrize("most", [1, 3, 100])
+def test_warc_ranges_are_few_and_keep_whole_keys_and_shards(spark, most):
+    rows = sorted([(i, f"{i % 5}", 100 + i % 7) for i in range(200)] + [(90, "x", 300)] * 40 + [(warc.LAST, "n", 50)] * 30)
+    heads = warc.ranges(spark.createDataFrame(rows, "id long, digest string, size long").repartition(5), 1000, most)
+    assert len(heads) <= most and heads[0] == (0, "0", 0, 0)
+    starts = {}
+    offset = 0
+    for id, digest, size in rows:
+        starts.setdefault((id, digest), offset)
+        offset += size
+    assert all(starts[id, digest] == start for id, digest, start, _ in heads)
+    shards = [set() for _ in heads]
+    keys = [h[:2] for h in heads]
+    offset = 0
+    for id, digest, size in rows:
+        at = max(n for n, key in enumerate(keys) if key <= (id, digest))
+        shards[at].add(max(heads[at][3], offset // 1000))
+        offset += size
+    assert sum(map(len, shards)) == len(set().union(*shards))  # no shard is written by two tasks
+
+
 def test_warc_refuses_a_changed_record():
     record = warc.make_record(1, "u", b"payload", None, False, 0)
     ((headers, block),) = warc.read_records(io.BytesIO(record))
