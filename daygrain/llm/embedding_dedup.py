@@ -10,7 +10,8 @@ home cells only, so replicas go one way. Cells join independently.
 A cell is compared in blocks of at most about ``BLOCK`` by ``BLOCK`` vectors, so
 neither a crowded cell nor many replicas make a task grow. Within a block rows are
 sorted by their distance to one of them, and only rows whose distances differ by at
-most eps are compared. A block returns link
+most eps are compared: first in single precision with a margin far above its error,
+then, what is left, in double precision. A block returns link
 counts and a spanning forest of its links, never the links themselves. Equal
 vectors are collapsed first and counted by their number.
 
@@ -40,7 +41,7 @@ from daygrain.llm.common import stored, table
 from daygrain.llm.graph import Forest, components
 
 COSINE = 0.95
-BLOCK = 4096
+BLOCK = 8192
 #: Most pivots, and as many as there are at least from 64 vectors each on.
 PIVOTS = 2048
 LEAST = 8
@@ -48,6 +49,8 @@ LEAST = 8
 SPREAD = 4
 #: Rounding allowance of the replication test, far above the error of double arithmetic.
 SLACK = 1e-6
+#: Share of a tile's pairs up to which candidates are verified one by one.
+SPARSE = 0.05
 
 
 def unit_rows(vectors, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,6 +64,24 @@ def unit_rows(vectors, width: int) -> tuple[np.ndarray, np.ndarray]:
     return rows, sizes
 
 
+def near_pairs(own: np.ndarray, some: np.ndarray, cosine: float, singles: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which rows of ``own`` and ``some`` have a cosine of at least ``cosine`` in double precision.
+
+    ``singles`` holds the same rows in single precision. The product of two unit
+    vectors of d components is off by less than (d + 4) roundings of 2**-24 there, so
+    no pair is lost by the margin; candidates are verified in double precision.
+    """
+    margin = (own.shape[1] + 4) * 2.0**-23
+    near = singles[0] @ singles[1].T >= np.float32(cosine - margin)
+    n = np.count_nonzero(near)
+    if n > SPARSE * near.size:
+        return own @ some.T >= cosine
+    if n:
+        i, j = np.nonzero(near)
+        near[i, j] = np.einsum("ij,ij->i", own[i], some[j]) >= cosine
+    return near
+
+
 def block_links(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
     """Links of one block: for each linked vector its weighted count and an edge to the root of its tree.
 
@@ -78,12 +99,16 @@ def block_links(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
     eps = np.sqrt(2 - 2 * cosine) + SLACK
     ring = np.sqrt(np.maximum(2 - 2 * rows @ rows[left[0]], 0)) if len(left) else np.zeros(len(rows))
     left, right = (side[np.argsort(ring[side], kind="stable")] for side in (left, right))
+    single, facing = rows.astype(np.float32), rows[right]
+    facing_single, one_size = facing.astype(np.float32), (sizes == sizes[:1]).all()
     for at in range(0, len(left), 512):
         own = left[at : at + 512]
         first = np.searchsorted(ring[right], ring[own[0]] - eps)
-        some = right[first : np.searchsorted(ring[right], ring[own[-1]] + eps, side="right")]
-        near = rows[own] @ rows[some].T >= cosine
-        near &= sizes[own][:, None] == sizes[some][None, :]
+        last = np.searchsorted(ring[right], ring[own[-1]] + eps, side="right")
+        some = right[first:last]
+        near = near_pairs(rows[own], facing[first:last], cosine, (single[own], facing_single[first:last]))
+        if not one_size:
+            near &= sizes[own][:, None] == sizes[some][None, :]
         if alone:
             near[np.arange(len(own)), at - first + np.arange(len(own))] = False
         linked = np.flatnonzero(near.any(1))

@@ -182,6 +182,19 @@ def test_embeddings_match_brute_force(spark, block, most):
     assert Counter(got) == Counter(vector_truth(rows, ids))
 
 
+@pytest.mark.parametrize("dense", [False, True])
+def test_near_pairs_are_those_of_double_precision(dense):
+    draw = np.random.default_rng(5)
+    rows = draw.normal(size=(400, 24)) * (0.2 if dense else 1.0) + (1.0 if dense else 0.0)
+    rows = np.concatenate([rows, rows[:50] + draw.normal(scale=0.05, size=(50, 24))])
+    rows /= np.linalg.norm(rows, axis=1)[:, None]
+    for cosine in [0.95, 0.999, *(rows[:50] * rows[400:]).sum(1)]:  # also cuts that pairs lie on
+        single = rows.astype(np.float32)
+        got = embedding_dedup.near_pairs(rows[:225], rows[225:], cosine, (single[:225], single[225:]))
+        away = np.abs(rows[:225] @ rows[225:].T - cosine) > 1e-12
+        assert (got == (rows[:225] @ rows[225:].T >= cosine))[away].all()
+
+
 def test_embeddings_of_the_table(spark, data_dir):
     df = spark.read.parquet(f"{data_dir}/embeddings.parquet")
     rows = df.orderBy("vec_id").collect()
