@@ -15,8 +15,10 @@ document, and each returns the same result; a null id ranks last. An empty
 table gives an empty result; other columns are never looked at. Documents are
 told apart by id and a 64-bit hash of the text.
 
-A frequent unit is counted before it is shuffled, and its occurrences meet the
-kept one in a plain join, which adaptive execution may split.
+A frequent unit is counted before it is shuffled. Counts and passages are written
+before they are joined back: adaptive execution splits a hot digest, or a hot
+document, only where the other side of the join does not come straight from an
+aggregation.
 """
 
 from __future__ import annotations
@@ -80,6 +82,21 @@ def _framed(rows: list[tuple], names: list[str]) -> pd.DataFrame:
     return frame.astype({"id": "Int64", "digest": "Int64"})
 
 
+def found_units(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The units of every row of ``docs``, and a row with pos -1 that counts them; written."""
+    whole = F.col(text)
+    source = docs.select(F.col(id).alias("id"), F.xxhash64(text_or_empty(whole)).alias("text_hash"), whole.alias("text"))
+    return stored(source.mapInPandas(_unit_rows, UNITS), "units")
+
+
+def repeats(bodies: DataFrame) -> DataFrame:
+    """The units that are not the earliest of their digest, with the smallest id that has it."""
+    counts = bodies.groupBy("digest").agg(F.count("*").alias("n"), F.min("id").alias("keep_id"))
+    repeated = stored(counts.filter("n > 1").drop("n"), "repeated")
+    kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 0)
+    return bodies.join(repeated, "digest").filter(~kept)
+
+
 def repeated_passages(
     docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
@@ -88,25 +105,21 @@ def repeated_passages(
     ``removed`` lists the passages to remove in order: head, tail, words and
     keep_id, the smallest id that keeps one of its units.
     """
-    whole = F.col(text)
-    source = docs.select(F.col(id).alias("id"), F.xxhash64(text_or_empty(whole)).alias("text_hash"), whole.alias("text"))
-    units = stored(source.mapInPandas(_unit_rows, UNITS), "units")
-    bodies = units.filter("pos >= 0")
-    groups = bodies.groupBy("digest").agg(F.count("*").alias("n"), F.min("id").alias("keep_id")).filter("n > 1")
-    repeats = bodies.join(groups.drop("n"), "digest").filter(~(F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("nth") == 0)))
-    repeats = repeats.dropDuplicates(["id", "text_hash", "pos"])
+    units = found_units(docs, id, text)
+    later = repeats(units.filter("pos >= 0")).dropDuplicates(["id", "text_hash", "pos"])
     order = Window.partitionBy("id", "text_hash").orderBy("pos")
     passages = (
-        repeats.withColumn("run", F.col("pos") - F.row_number().over(order))
+        later.withColumn("run", F.col("pos") - F.row_number().over(order))
         .groupBy("id", "text_hash", "run")
         .agg(F.min("head").alias("head"), F.max("tail").alias("tail"), F.sum("words").cast("int").alias("words"),
              F.min("keep_id").alias("keep_id"))
         .filter(F.col("words") >= min_words)
     )
-    removed = passages.groupBy(F.col("id").alias("rid"), F.col("text_hash").alias("rhash")).agg(
+    per_document = passages.groupBy(F.col("id").alias("rid"), F.col("text_hash").alias("rhash")).agg(
         F.array_sort(F.collect_list(F.struct("head", "tail", "words", "keep_id"))).alias("removed"),
         F.sum(F.col("tail") - F.col("head")).alias("removed_chars"),
     )
+    removed = stored(per_document, "passages")
     heads = units.filter("pos < 0").select(
         "id", "text_hash", F.col("nth").alias("n_units"), F.col("words").alias("n_words"), F.col("tail").alias("n_chars")
     )

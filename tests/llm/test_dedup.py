@@ -262,6 +262,31 @@ def test_substrings_match_plain_code(edge_docs, documents):
         assert got == truth
 
 
+def test_a_hot_line_is_split(spark):
+    """The join with the counts of units is split by adaptive execution where one unit is frequent."""
+    hot = "this line stands in every document of the table. "
+    docs = spark.range(3000).selectExpr("id AS doc_id", f"concat(repeat('{hot}', 4), 'line ', id, ' stands here. and ', id, ' there.') AS text")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = substring_dedup.repeats(substring_dedup.found_units(docs.repartition(20)).filter("pos >= 0"))
+        rows = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(rows) == 4 * 3000 - 1 and {r["keep_id"] for r in rows} == {0}
+
+
 def test_units_tile_every_text(documents):
     for text in [t or "" for _, t, _, _ in ROWS] + [r["text"] for r in documents.select("text").collect()]:
         assert "".join(m.group() for m in substring_dedup.UNIT.finditer(text)) == text
