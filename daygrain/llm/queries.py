@@ -38,6 +38,8 @@ ORACLE = {
     "op2_embedding_dedup": embedding_dedup.OP2_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op6_warc": warc.OP6_SQL,
+    "op7_simhash": simhash.OP7_SQL,
+    "op9_sharding": sharding.OP9_SQL,
     "op12_conversation_repair": conversation_repair.OP12_SQL,
     "op13_vector_codes": vector_codes.OP13_SQL,
 }

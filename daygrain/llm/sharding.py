@@ -23,7 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daygrain.llm.common import shuffle_partitions, stored, table, text_or_empty
+from daygrain.llm.sql_hash import CRC_TABLE, crc32, signed, xxh64_of_texts
 
+SHARDS = 40
+OVERHEAD = 16
+#: The share of a shard by which a cut may move to the edge of a group.
+SNAP = 0.02
 ROW_BITS = 33  # monotonically_increasing_id keeps the row within its partition in so many bits
 
 
@@ -90,7 +95,12 @@ def cut_points(rows: DataFrame, n_shards: int, snap: float) -> list[int]:
 
 
 def shard_by_bytes(
-    docs: DataFrame, n_shards: int = 40, id: str = "doc_id", text: str = "text", overhead: int = 16, snap: float = 0.02
+    docs: DataFrame,
+    n_shards: int = SHARDS,
+    id: str = "doc_id",
+    text: str = "text",
+    overhead: int = OVERHEAD,
+    snap: float = SNAP,
 ) -> DataFrame:
     """One row per row of ``docs``: id, size, text_crc32, shard and slot, the row's place in its shard.
 
@@ -131,3 +141,34 @@ def op9(spark, sf_dir: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+#: Running sums over the whole order, which the operator takes in range partitions.
+OP9_SQL = f"""
+WITH {CRC_TABLE},
+{xxh64_of_texts("hashed", "SELECT coalesce(text, '') AS k FROM documents")},
+sized AS (
+  SELECT doc_id, strlen(k) + {OVERHEAD} AS size, ({crc32("k")})::BIGINT AS text_crc32, {signed("h")} AS hash
+  FROM documents JOIN hashed ON k = coalesce(text, ''), crc),
+laid AS (
+  SELECT *, (sum(size) OVER (ORDER BY hash, doc_id NULLS FIRST, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start,
+         row_number() OVER (ORDER BY hash, doc_id NULLS FIRST, size) - 1 AS row
+  FROM sized),
+targets AS (
+  SELECT total, total * k // {SHARDS} AS target
+  FROM (SELECT sum(size)::BIGINT AS total FROM sized), (SELECT unnest(range(1, {SHARDS})) AS k)),
+crossed AS (
+  SELECT min(start) AS first, max(start + size) AS last FROM laid
+  WHERE hash IN (SELECT hash FROM laid JOIN targets ON start < target AND target < start + size)
+  GROUP BY hash),
+edges AS (
+  SELECT total, target, CASE WHEN target - first <= last - target THEN first ELSE last END AS edge
+  FROM targets LEFT JOIN crossed ON first < target AND target < last),
+cuts AS (
+  SELECT CASE WHEN abs(edge - target) <= {SNAP}::DOUBLE * total / {SHARDS} THEN edge ELSE target END AS place FROM edges),
+placed AS (
+  SELECT *, (SELECT count(*) FROM cuts WHERE 2 * place <= 2 * start + size)::INTEGER AS shard FROM laid)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row - min(row) OVER (PARTITION BY shard) AS slot,
+       NULL::INTEGER AS grown_shard
+FROM placed
+"""

@@ -32,8 +32,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from daygrain.llm.common import stored, table, text_or_empty
+from daygrain.llm.common import LOWER, UPPER, WORD, stored, table, text_or_empty
 from daygrain.llm.graph import Forest, components
+from daygrain.llm.sql_hash import xxh64_of_texts
 
 SHINGLE = 3
 MAX_BITS = 3
@@ -208,3 +209,31 @@ def op7(spark, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.col("component").alias("component_id"),
     )
+
+
+#: All pairs of different fingerprints, and a walk along their links.
+OP7_SQL = f"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{WORD}') AS w
+  FROM documents),
+shingles AS (
+  SELECT r, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {SHINGLE} THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - {SHINGLE} + 2), lambda i: array_to_string(w[i:i + {SHINGLE} - 1], ' ')) END) AS k
+  FROM rows),
+{xxh64_of_texts("hashed", "SELECT k FROM shingles", SEED)},
+counted AS (
+  SELECT r, {" + ".join(f"(CASE WHEN 2 * count_if(h & {1 << i}::UBIGINT <> 0) > count(*) THEN {1 << i}::UBIGINT ELSE 0 END)" for i in range(64))} AS fp
+  FROM shingles JOIN hashed USING (k) GROUP BY r),
+prints AS MATERIALIZED (SELECT doc_id, coalesce(fp, 0)::UBIGINT AS fp FROM rows LEFT JOIN counted USING (r)),
+links AS MATERIALIZED (
+  SELECT a.fp AS a, b.fp AS b
+  FROM (SELECT DISTINCT fp FROM prints) a JOIN (SELECT DISTINCT fp FROM prints) b
+    ON a.fp <> b.fp AND bit_count(xor(a.fp, b.fp)) <= {MAX_BITS}),
+reached AS (
+  SELECT DISTINCT fp, fp AS other FROM prints
+  UNION SELECT r.fp, l.b FROM reached r JOIN links l ON l.a = r.other),
+least AS (
+  SELECT r.fp, min(p.doc_id) AS component_id FROM reached r JOIN prints p ON p.fp = r.other GROUP BY r.fp)
+SELECT doc_id, format('{{:016x}}', fp) AS fingerprint, component_id FROM prints JOIN least USING (fp)
+"""
