@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daygrain.llm.common import WORD, shuffle_partitions, stored, table, text_or_empty
+from daygrain.llm.sql_hash import signed, wide, xxh64_of_int, xxh64_of_long, xxh64_of_texts
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BLOCK = 1024
@@ -299,3 +300,76 @@ def mixed_documents(
 
 def op1(spark, sf_dir: str) -> DataFrame:
     return words_taken(table(spark, sf_dir, "documents"))
+
+
+def _once_sql(x: str) -> str:
+    """Four rounds over a place of a square, whose sides are kept as one number."""
+    mixed = f"(((x % side) * 48271 + key + round * 1299709) % {MODULUS})"
+    drawn = f"(({mixed} * {mixed} + (x % side) * 69621) % {MODULUS})"
+    return f"list_reduce([{x}, 1, 2, 3, 4], lambda x, round: (x % side) * side + (x // side + {drawn}) % side)"
+
+
+#: The draw slot by slot, ranks over all slots, and walks that end when they reach a place.
+OP1_SQL = f"""
+WITH RECURSIVE {xxh64_of_texts("hashed", "SELECT text AS k FROM documents WHERE text IS NOT NULL")},
+sized AS (
+  SELECT row_number() OVER () AS row, doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size,
+         {signed(f"coalesce(h, {wide(42)})")} AS mark
+  FROM documents LEFT JOIN hashed ON k = text),
+bucketed AS (
+  SELECT s.*, (({signed("h")}) % n + n) % n AS bucket
+  FROM (SELECT *, {xxh64_of_long("mark", f"({xxh64_of_long('doc_id')})")} AS h FROM sized) s,
+       (SELECT greatest(1, (count(*) + {BUCKET_ROWS - 1}) // {BUCKET_ROWS}) AS n FROM sized)),
+ranked AS (
+  SELECT *, list_value({", ".join(f"{w}::DOUBLE" for w in WEIGHTS)})[sid % {len(WEIGHTS)} + 1] AS weight, {CAP} * source_size AS most
+  FROM (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid
+        FROM sized GROUP BY source)),
+levels AS (
+  SELECT *, row_number() OVER by_room AS place,
+         (sum(source_size) OVER ()::BIGINT - coalesce(sum(most) OVER before, 0)::BIGINT)::DOUBLE
+         / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM ranked
+  WINDOW by_room AS (ORDER BY most / weight, sid),
+         before AS (ORDER BY most / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+sources AS (
+  SELECT source, sid, source_size,
+         CASE WHEN place >= (SELECT min(place) FROM levels WHERE most > level * weight)
+              THEN weight * (SELECT arg_min(level, place) FROM levels WHERE most > level * weight)
+              ELSE most::DOUBLE END AS target
+  FROM levels),
+planned AS (
+  SELECT *, passes * blocks + (rest + {BLOCK - 1}) // {BLOCK} AS n_slots
+  FROM (SELECT sid, source_size // {BLOCK} AS whole, source_size % {BLOCK} AS tail, want // source_size AS passes,
+               want % source_size AS rest, (source_size + {BLOCK - 1}) // {BLOCK} AS blocks
+        FROM (SELECT *, floor(target + 0.5)::BIGINT AS want FROM sources) WHERE want > 0)),
+drawn AS (
+  SELECT p.*, nth, {signed("h")} AS draw
+  FROM (SELECT *, {xxh64_of_long("nth", f"({xxh64_of_int('sid', f'({xxh64_of_int(str(SEED))})')})")} AS h
+        FROM (SELECT *, unnest(range(n_slots)) AS nth FROM planned)) p),
+slots AS (
+  SELECT *, (row_number() OVER (ORDER BY draw, sid, nth) - 1) // {SHARD_SLOTS} AS shard,
+         row_number() OVER (PARTITION BY sid ORDER BY draw, nth) - 1 AS k
+  FROM drawn),
+turns AS (
+  SELECT *, greatest(1, ceil(sqrt(whole)))::BIGINT AS side, k // blocks AS pass, k % blocks AS i,
+         (sid * 7919 + k // blocks * 104729 + {SEED * 15485863}) % {MODULUS} AS key,
+         CASE WHEN k // blocks < passes THEN CASE WHEN k % blocks < whole THEN {BLOCK} ELSE tail END
+              ELSE least({BLOCK}, rest - k % blocks * {BLOCK}) END AS words
+  FROM slots),
+walks AS (
+  SELECT sid, k, whole, side, key, {_once_sql("i")} AS spot FROM turns WHERE i < whole
+  UNION ALL SELECT sid, k, whole, side, key, {_once_sql("spot")} FROM walks WHERE spot >= whole),
+used AS (
+  SELECT t.sid, t.shard, t.words, coalesce(w.spot, t.whole) * {BLOCK} AS first
+  FROM turns t LEFT JOIN walks w ON w.sid = t.sid AND w.k = t.k AND w.spot < w.whole),
+placed AS (
+  SELECT row, doc_id, size, sid, source_size, target,
+         (sum(size) OVER (PARTITION BY sid ORDER BY bucket, doc_id NULLS FIRST, size, mark, row ROWS UNBOUNDED PRECEDING)
+          - size)::BIGINT AS start
+  FROM bucketed b JOIN sources s ON b.source IS NOT DISTINCT FROM s.source)
+SELECT doc_id, size, source_size, target,
+       coalesce(sum(least(start + size, first + words) - greatest(start, first)) FILTER (first IS NOT NULL), 0)::BIGINT AS taken,
+       count(DISTINCT shard) AS n_shards
+FROM placed p LEFT JOIN used u ON u.sid = p.sid AND size > 0 AND first < start + size AND first + words > start
+GROUP BY row, doc_id, size, source_size, target
+"""

@@ -35,7 +35,9 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_mix_sources": mixing.OP1_SQL,
     "op2_embedding_dedup": embedding_dedup.OP2_SQL,
+    "op3_substring_dedup": substring_dedup.OP3_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op6_warc": warc.OP6_SQL,
     "op7_simhash": simhash.OP7_SQL,

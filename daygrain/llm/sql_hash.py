@@ -94,6 +94,31 @@ def xxh64_of_texts(name: str, keys: str, seed: int = SEED) -> str:
 {name}_6 AS (SELECT k, list_reduce([h] || b, lambda h, b: {byte}) AS h FROM {name}_5),{_closed(name)}"""
 
 
+def _bound(x: str, then) -> str:
+    """``then`` of a value that is computed once."""
+    return f"list_transform([{x}], lambda h: {then('h')})[1]"
+
+
+def _ended(h: str) -> str:
+    """The last steps, as one expression."""
+    h = _bound(h, lambda x: cut(f"{folded(x, 33)} * {wide(P2)}"))
+    h = _bound(h, lambda x: cut(f"{folded(x, 29)} * {wide(P3)}"))
+    return _bound(h, lambda x: folded(x, 32))
+
+
+def xxh64_of_long(x: str, seed: str = wide(SEED)) -> str:
+    """Spark's XXH64 of a signed 64-bit number after ``seed``, which is left alone by a null."""
+    bits = f"(CASE WHEN {x} < 0 THEN {x}::HUGEINT + {_BITS}::HUGEINT ELSE {x}::HUGEINT END)::UHUGEINT"
+    start = cut(f"{seed} + {wide(P5 + 8)}")
+    return f"CASE WHEN {x} IS NULL THEN {seed} ELSE {_ended(_word(f'({start})', bits))} END"
+
+
+def xxh64_of_int(x: str, seed: str = wide(SEED)) -> str:
+    """Spark's XXH64 of a number of 0 to 2 ** 31 - 1 of 32 bits after ``seed``."""
+    start = f"xor({cut(f'{seed} + {wide(P5 + 4)}')}, {cut(f'{x}::UHUGEINT * {wide(P1)}')})"
+    return _ended(cut(f"{turned(start, 23)} * {wide(P2)} + {wide(P3)}"))
+
+
 def signed(h: str) -> str:
     """An unsigned 64-bit number as the signed one of the same bits."""
     return f"(CASE WHEN {h} >= {1 << 63} THEN {h}::HUGEINT - {_BITS}::HUGEINT ELSE {h}::HUGEINT END)::BIGINT"

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
@@ -164,6 +164,12 @@ def cleaned(docs: DataFrame, id: str = "doc_id", text: str = "text", min_words:
     ])
 
 
+def listed(removed: Column) -> Column:
+    """Passages as ``head:tail:words:keep_id``, joined by commas; a null id is left out."""
+    parts = F.transform(removed, lambda p: F.concat_ws(":", p["head"], p["tail"], p["words"], p["keep_id"]))
+    return F.array_join(parts, ",")
+
+
 def op3(spark, sf_dir: str) -> DataFrame:
     return repeated_passages(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"),
@@ -172,5 +178,47 @@ def op3(spark, sf_dir: str) -> DataFrame:
         "n_chars",
         F.size("removed").alias("n_removed"),
         F.col("removed_chars").cast("long").alias("removed_chars"),
-        "removed",
+        listed(F.col("removed")).alias("removed"),
     )
+
+
+#: Fixed value: white space as Python has it.
+_BLANK = r"\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_UNIT_SQL = rf"[^.!?\n]*(?:[.!?]+[{_BLANK}]+|[.!?]+\z|[.!?\n])[{_BLANK}]*|[^.!?\n]+\z"
+
+#: Units as texts in place of digests. Letters whose lower case has several characters are not looked after.
+OP3_SQL = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, doc_id, text FROM (SELECT DISTINCT doc_id, text FROM documents)),
+cuts AS (
+  SELECT d, doc_id, unnest(units) AS unit, generate_subscripts(units, 1) AS nr
+  FROM (SELECT d, doc_id, regexp_extract_all(text, '{_UNIT_SQL}') AS units FROM docs)),
+measured AS (
+  SELECT d, doc_id, nr, length(unit) AS chars, regexp_extract_all(lower(unit), '[^{_BLANK}]+') AS w,
+         sum(length(unit)) OVER (PARTITION BY d ORDER BY nr ROWS UNBOUNDED PRECEDING) AS tail
+  FROM cuts),
+units AS (
+  SELECT d, doc_id, row_number() OVER (PARTITION BY d ORDER BY nr) AS pos, tail - chars AS head, tail,
+         len(w) AS words, array_to_string(w, ' ') AS said
+  FROM measured WHERE len(w) > 0),
+marked AS (
+  SELECT *, row_number() OVER (PARTITION BY d, said ORDER BY pos) AS nth, min(doc_id) OVER (PARTITION BY said) AS keep_id
+  FROM units),
+later AS (
+  SELECT *, pos - row_number() OVER (PARTITION BY d ORDER BY pos) AS run
+  FROM marked WHERE nth > 1 OR doc_id IS DISTINCT FROM keep_id),
+passages AS (
+  SELECT d, min(head) AS head, max(tail) AS tail, sum(words) AS words, min(keep_id) AS keep_id
+  FROM later GROUP BY d, run HAVING sum(words) >= {MIN_WORDS}),
+removed AS (
+  SELECT d, count(*) AS n, sum(tail - head) AS chars,
+         string_agg(concat_ws(':', head, tail, words, keep_id), ',' ORDER BY head) AS removed
+  FROM passages GROUP BY d),
+sizes AS (SELECT d, count(*) AS n_units, sum(words) AS n_words FROM units GROUP BY d)
+SELECT o.doc_id, coalesce(n_units, 0)::INTEGER AS n_units, coalesce(n_words, 0)::INTEGER AS n_words,
+       coalesce(length(o.text), 0)::INTEGER AS n_chars, coalesce(n, 0)::INTEGER AS n_removed,
+       coalesce(chars, 0)::BIGINT AS removed_chars, coalesce(removed, '') AS removed
+FROM documents o
+JOIN docs ON docs.doc_id IS NOT DISTINCT FROM o.doc_id AND docs.text IS NOT DISTINCT FROM o.text
+LEFT JOIN sizes USING (d) LEFT JOIN removed USING (d)
+"""

@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -51,6 +52,21 @@ def test_queries_match_sql(name, spark, data_dir):
     assert differences(queries.QUERIES[name](spark, data_dir), connect(data_dir), queries.ORACLE[name]) == []
 
 
+OF_DOCUMENTS = ["op1_mix_sources", "op3_substring_dedup", "op7_simhash", "op9_sharding"]
+
+
+@pytest.fixture(scope="module")
+def edge_dir(edge_docs, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("edges")
+    pq.write_table(edge_docs.toArrow(), folder / "documents.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", OF_DOCUMENTS)
+def test_queries_match_sql_on_edge_rows(name, spark, edge_dir):
+    assert differences(queries.QUERIES[name](spark, edge_dir), connect(edge_dir), queries.ORACLE[name]) == []
+
+
 def test_native_operators_run_no_python(spark, data_dir, documents):
     for df in (mixing.words_taken(documents), mixing.mixed_documents(documents), exact_dedup.label_duplicates(documents),
                exact_dedup.drop_duplicates(documents)):

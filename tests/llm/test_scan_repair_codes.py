@@ -16,17 +16,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from compare import connect, differences
 from daygrain.llm import conversation_repair as repair
-from daygrain.llm import queries as registered
 from daygrain.llm import secret_scan, vector_codes
 
 
-@pytest.mark.parametrize("name", sorted(registered.ORACLE))
-def test_query_equals_sql(spark, data_dir, name):
-    assert differences(registered.QUERIES[name](spark, data_dir), connect(data_dir), registered.ORACLE[name]) == []
-
-
 # secrets
 
 
