@@ -74,11 +74,22 @@ def dry_spell_label(days: Column, short_from: int = 3, extended_from: int = 7) -
     )
 
 
+#: Far above the rounding of a sum, far below any step of a measured value.
+EDGE = 1e-9
+
+
 def sigma_flag(value: Column, mean: Column, stddev: Column, k: float = 2.0) -> Column:
+    """How a value lies to a band around the mean; on its edge is inside.
+
+    Sums of doubles differ in their last bits with the order of adding, which is another
+    in another plan. So an edge is as wide as ``EDGE`` of the numbers that it comes from.
+    """
     heat, cold, normal = SIGMA_FLAGS
+    reach = k * stddev
+    edge = EDGE * (F.abs(mean) + F.abs(reach))
     return (
-        F.when(value > mean + k * stddev, heat)
-        .when(value < mean - k * stddev, cold)
+        F.when(value > mean + reach + edge, heat)
+        .when(value < mean - reach - edge, cold)
         .otherwise(normal)
     )
 

@@ -162,6 +162,14 @@ def test_ties_share_a_percentile_and_days_split_the_quartile(observations, block
     assert column(df, "temp_quartile") == [1, 1, 2, 3, 4]
 
 
+@pytest.mark.parametrize("plan", [{}, {"max_broadcast_rows": 10}, {"block_days": 2}], ids=["window", "broadcast", "blocks"])
+def test_sigma_flags_take_the_edge_as_inside(observations, plan):
+    # Of 0, 0, 0, x the last is 1.5 deviations above the mean, whatever x is.
+    for x in (0.1, 0.3, 0.7, 1.1, 123.4, 9.9e8, -0.3, -17.9):
+        assert column(sigma_flags(observations(*temps(0.0, 0.0, 0.0, x)), k=1.5, **plan), "anomaly_flag") == ["Normal"] * 4
+    assert column(sigma_flags(observations(*temps(*[0.1] * 7)), **plan), "anomaly_flag") == ["Normal"] * 7
+
+
 def test_sigma_flags_both_sides(observations):
     df = sigma_flags(observations(*temps(*[0.0] * 10, 100.0)))
     assert column(df, "anomaly_flag")[-1] == "Heat Anomaly"

@@ -18,6 +18,7 @@ from daygrain.operators import bands
 from daygrain.operators.dashboard import climate_profile, latest_month_avg, monthly_averages, temp_distribution
 from daygrain.operators.forecast import evaluate, fit_trend, predict, training_set, uncertainty
 from daygrain.operators.history import snapshot_scd2, touched_months
+from daygrain.operators.joins import broadcast_if_small, fits_broadcast
 from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, temp_anomaly
 from daygrain.operators.series import choose_block_days
 from daygrain.operators.upsert import upsert
@@ -92,6 +93,15 @@ def test_many_series_take_one_shuffle_and_no_broadcast(raw, operator):
         assert shuffles(df) == 1 and "Broadcast" not in plan(df)
 
 
+def test_long_keys_are_not_broadcast_however_few(spark):
+    few = spark.range(100).selectExpr("repeat('k', 1000) || id AS city", "1.0D AS latitude")
+    assert fits_broadcast(few)
+    assert not fits_broadcast(few, max_bytes=100_000)
+    assert not fits_broadcast(few, max_rows=99)
+    assert fits_broadcast(few.limit(0), max_rows=0, max_bytes=0)
+    assert "Broadcast" in plan(few.join(broadcast_if_small(few), "city"))
+
+
 def test_blocks_split_the_series(raw):
     assert "hashpartitioning(city, _block" in plan(moving_avg(raw, block_days=7))
     assert "hashpartitioning(city, _block" in plan(dry_spell(raw, block_days=7))
