@@ -23,16 +23,31 @@ def day_number(time: str) -> Column:
 
 
 def month_moments(
-    df: DataFrame, series: str = "city", time: str = "date", target: str = "temp_max", points: int = POINTS
+    df: DataFrame,
+    series: str = "city",
+    time: str = "date",
+    target: str = "temp_max",
+    points: int = POINTS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """(series, month, n_rows, moments, last_day, points); rows without a target count in ``n_rows`` only.
 
     One scan and one partial aggregation. Of the values, a day number and the target move.
+    Lists do not fit a hash table of fixed width, so a task sorts what it gets; ``tasks`` deals
+    the rows of a large table, of which few share a series and month, to so many before that.
     """
-    x, y = day_number(time), F.col(target)
+    df = df.select(
+        F.col(series).alias("series"),
+        F.trunc(time, "month").alias("month"),
+        F.col(time).alias("_time"),
+        F.col(target).alias("_target"),
+    )
+    if tasks:
+        df = df.repartition(tasks, "series", "month")
+    x, y = day_number("_time"), F.col("_target")
     observed = F.struct(x.alias("x"), y.alias("y"))
     newest = F.slice(F.sort_array(F.collect_list(F.when(y.isNotNull() & x.isNotNull(), observed)), asc=False), 1, points)
-    return df.groupBy(F.col(series).alias("series"), F.trunc(time, "month").alias("month")).agg(
+    return df.groupBy("series", "month").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.regr_count(y, x).alias("n"),
         F.regr_avgx(y, x).alias("mean_x"),
@@ -40,7 +55,7 @@ def month_moments(
         F.regr_sxx(y, x).alias("sxx"),
         F.regr_syy(y, x).alias("syy"),
         F.regr_sxy(y, x).alias("sxy"),
-        F.max(F.when(y.isNotNull(), F.col(time))).alias("last_day"),
+        F.max(F.when(y.isNotNull(), F.col("_time"))).alias("last_day"),
         newest.alias("points"),
     )
 

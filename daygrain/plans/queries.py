@@ -17,7 +17,7 @@ from daygrain.plans.daily import build_models, ingest, model_tables, train_and_p
 from daygrain.schemas import KEYS, METRICS, MOVING_AVG, OBSERVATIONS, STAGE
 from daygrain.session import scratch_path, written
 from daygrain.sources import bucketed, declared, months, payloads, release, tables
-from daygrain.sources.bindings import daily_obs, daily_ship
+from daygrain.sources.bindings import daily_obs, daily_ship, ship_tasks
 
 # Run times and series names, repeated as literals in the SQL.
 LOAD_TS = "2024-02-01 00:00:00"
@@ -284,7 +284,7 @@ def fit_outcomes(spark: SparkSession, d: str) -> DataFrame:
 
 def month_moments(spark: SparkSession, d: str) -> DataFrame:
     """Days counted from the first one of the month, spreads as deviations."""
-    rows = moments.month_moments(daily_ship(spark, d)).select(
+    rows = moments.month_moments(daily_ship(spark, d), tasks=ship_tasks(spark, d)).select(
         "series",
         "month",
         "n_rows",

@@ -3,7 +3,8 @@
 Both give the fact-table schema with one row per series and day. The only
 shuffle is the aggregation itself: it groups on the integer key and the day,
 so rows are pre-aggregated before they move and a series that holds a large
-share of the events is spread over its days.
+share of the events is spread over its days. Shipments hardly repeat a key, so
+a large table of them moves as it is, to as many tasks as its rows need.
 """
 
 from __future__ import annotations
@@ -15,6 +16,16 @@ from daygrain.functions import round_half_up
 from daygrain.schemas import EVENTS, LINEITEM, OBSERVATIONS
 
 
+#: Rows that one task groups; what it holds in memory follows from this alone.
+ROWS_A_TASK = 500_000
+
+
+def ship_tasks(spark: SparkSession, data_dir: str) -> int | None:
+    """Tasks that the rows of ``lineitem`` need, counted from its footers; None for a table that fits one."""
+    rows = spark.read.schema(LINEITEM).parquet(f"{data_dir}/lineitem.parquet").count()
+    return max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_A_TASK)) if rows > ROWS_A_TASK else None
+
+
 def daily_obs(spark: SparkSession, data_dir: str) -> DataFrame:
     """Observations per user and day from ``events``."""
     events = spark.read.schema(EVENTS).parquet(f"{data_dir}/events.parquet").select(
@@ -68,6 +79,9 @@ def daily_ship(spark: SparkSession, data_dir: str) -> DataFrame:
         "l_linenumber",
         "l_returnflag",
     )
+    tasks = ship_tasks(spark, data_dir)
+    if tasks:
+        lines = lines.repartition(tasks, "l_suppkey", "date")
     returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))
     daily = lines.groupBy("l_suppkey", "date").agg(
         F.max("l_extendedprice").alias("temp_max"),

@@ -23,7 +23,8 @@ from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, tem
 from daygrain.operators.series import choose_block_days
 from daygrain.operators.upsert import upsert
 from daygrain.schemas import KEYS, OBSERVATIONS, STAGE
-from daygrain.sources import bucketed
+from daygrain.plans.queries import QUERIES
+from daygrain.sources import bindings, bucketed
 from daygrain.sources.bindings import daily_obs
 from daygrain.sources.payloads import conform
 from daygrain.sources.tables import read_observations, upsert_observations
@@ -228,3 +229,16 @@ def test_ranks_and_quartiles_read_the_table_once_or_twice(raw, monkeypatch, oper
     plans.append(operator(raw, block_days=block_days)._jdf.queryExecution().optimizedPlan().toString())
     # Only the fact table has a month; small written tables have none.
     assert sum(len(re.findall(r"Relation \[[^\]]*\bmonth#", text)) for text in plans) == scans
+
+
+def test_shipments_move_to_as_many_tasks_as_their_rows_need(spark, data_dir, monkeypatch):
+    """What a task groups follows from ROWS_A_TASK, not from the number of shuffle partitions."""
+    query = QUERIES["month_moments"]
+    whole = sorted(map(str, query(spark, data_dir).collect()))
+    monkeypatch.setattr(bindings, "ROWS_A_TASK", 400)
+    dealt = query(spark, data_dir)
+    tasks = bindings.ship_tasks(spark, data_dir)
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    moves = re.findall(r"Exchange hashpartitioning\([^)]*?, (\d+)\)", plan(dealt))
+    assert moves == [str(tasks)] * 2
+    assert sorted(map(str, dealt.collect())) == whole
