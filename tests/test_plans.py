@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from daygrain.operators.analytics import (
     compare_series,
@@ -15,6 +16,7 @@ from daygrain.operators.analytics import (
     trend_deviation,
 )
 from daygrain.operators import bands
+from daygrain.operators.carry import carry_over
 from daygrain.operators.dashboard import climate_profile, latest_month_avg, monthly_averages, temp_distribution
 from daygrain.operators.forecast import evaluate, fit_trend, predict, training_set, uncertainty
 from daygrain.operators.history import snapshot_scd2, touched_months
@@ -24,7 +26,8 @@ from daygrain.operators.series import choose_block_days
 from daygrain.operators.upsert import upsert
 from daygrain.schemas import KEYS, OBSERVATIONS, STAGE
 from daygrain.plans.queries import QUERIES
-from daygrain.sources import bindings, bucketed
+from daygrain.sources import bindings, bucketed, tables
+from daygrain.sources import months as monthly
 from daygrain.sources.bindings import daily_obs
 from daygrain.sources.payloads import conform
 from daygrain.sources.tables import read_observations, upsert_observations
@@ -242,3 +245,35 @@ def test_shipments_move_to_as_many_tasks_as_their_rows_need(spark, data_dir, mon
     moves = re.findall(r"Exchange hashpartitioning\([^)]*?, (\d+)\)", plan(dealt))
     assert moves == [str(tasks)] * 2
     assert sorted(map(str, dealt.collect())) == whole
+
+
+def test_a_carry_moves_rows_once(spark, table, tmp_path):
+    rows = monthly.read(spark, table, OBSERVATIONS)
+    spells = dry_spell(rows).withColumn("month", F.trunc("date", "month"))
+    spells.write.parquet(f"{tmp_path}/spells")
+    months = monthly.months_in(monthly.manifest(spark, table)[1])
+    assert shuffles(carry_over(rows, spark.read.parquet(f"{tmp_path}/spells"), months)) == 1
+
+
+def test_only_stored_months_are_joined(spark, observations, tmp_path, monkeypatch):
+    """Rows of months that the table lacks are all new, so no join is made for them."""
+    path, joined = f"{tmp_path}/facts", []
+    join = tables.upsert
+
+    def watched(target, batch, *args):
+        joined.append(sorted(r.day for r in batch.selectExpr("dayofmonth(date) AS day").collect()))
+        return join(target, batch, *args)
+
+    monkeypatch.setattr(tables, "upsert", watched)
+    upsert_observations(spark, path, conform(observations({"day": 1, "temp_max": 1.0}, {"day": 2}), STAGE), "2026-04-01 00:00:00")
+    assert joined == []
+    later = observations({"day": 1, "temp_max": 5.0}, {"day": 3}, {"day": 35, "temp_max": 7.0})
+    upsert_observations(spark, path, conform(later, STAGE), "2026-05-01 00:00:00")
+    assert joined == [[1, 3]]
+    rows = read_observations(spark, path).orderBy("date").collect()
+    assert [(r.date.month, r.date.day, r.temp_max, r.load_ts.month) for r in rows] == [
+        (3, 1, 5.0, 4),
+        (3, 2, None, 4),
+        (3, 3, None, 5),
+        (4, 4, 7.0, 5),
+    ]
