@@ -25,8 +25,10 @@ from daygrain.operators.models import dry_spell, moving_avg, rolling_precip, tem
 from daygrain.operators.series import choose_block_days
 from daygrain.operators.upsert import upsert
 from daygrain.schemas import KEYS, OBSERVATIONS, STAGE
+from daygrain import session
+from daygrain.plans import queries
 from daygrain.plans.queries import QUERIES
-from daygrain.sources import bindings, bucketed, tables
+from daygrain.sources import bindings, bucketed, files, tables
 from daygrain.sources import months as monthly
 from daygrain.sources.bindings import daily_obs
 from daygrain.sources.payloads import conform
@@ -277,3 +279,20 @@ def test_only_stored_months_are_joined(spark, observations, tmp_path, monkeypatc
         (3, 3, None, 5),
         (4, 4, 7.0, 5),
     ]
+
+
+def test_month_query_leaves_only_its_tables(spark, data_dir, monkeypatch):
+    """Payloads and derived rows that have been read are gone; the result does not need them."""
+    roots = []
+    original = session.scratch_path
+
+    def watched(spark, label):
+        roots.append(original(spark, label))
+        return roots[-1]
+
+    monkeypatch.setattr(queries, "scratch_path", watched)
+    monkeypatch.setattr(session, "scratch_path", watched)
+    rows = QUERIES["moving_avg_month_by_month"](spark, data_dir).count()
+    left = {child for root in roots for child in files.children(spark, root)}
+    assert rows > 0 and len(roots) == 2
+    assert left == {"_release", "adhoc", "dbt", "raw", "series"}

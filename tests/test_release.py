@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime
+import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from daygrain.operators.history import snapshot_scd2
 from daygrain.plans import daily
 from daygrain.plans.daily import build_models, ingest, train_and_predict
 from daygrain.schemas import HISTORY, KEYS, METRICS, STAGE
+from daygrain.session import STAGE_SETTINGS, settings
 from daygrain.sources import declared, release
 from daygrain.sources import months as monthly
 from daygrain.sources.payloads import conform, pack_daily, series_of, write_payloads
@@ -321,6 +324,93 @@ def test_incremental_models_equal_full_ones(spark, tmp_path, seed):
     assert stored == contents(again)
 
 
+def test_runs_of_months_give_the_tables_of_one_run(spark, tmp_path, monkeypatch):
+    """A run at a time: models, carry, history and counts of the checks are those of all months at once."""
+    tables = {}
+    for at_most in (1, 1 << 30):
+        rng, runs = random.Random(11), []
+        monkeypatch.setattr(monthly, "RUN_BYTES", at_most)
+        carry = daily.carry_over
+        with monkeypatch.context() as patch:
+            patch.setattr(daily, "carry_over", lambda *a: (runs.append(len(a[2])), carry(*a))[1])
+            site = Site(spark, tmp_path / str(at_most))
+            site.land(days("dense", "2025-11-20", 70, rng) + days("thin", "2025-10-01", 120, rng, keep=0.1))
+            results = [site.build(1, incremental=True, strategy="check")]
+            site.land(days("dense", "2026-01-29", 60, rng, shift=9.0) + days("late", "2026-02-10", 5, rng))
+            results.append(site.build(2, incremental=True, strategy="check"))
+        shown = [site.table(name) for name in (*MODELS, HISTORY_TABLE)]
+        shown.append(site.table(daily.CARRY_TABLE).withColumn("temps", F.to_json("temps")).withColumn("rain", F.to_json("rain")))
+        tables[at_most] = [contents(df) for df in (*results, *shown)]
+        months = len(monthly.months_in(monthly.manifest(spark, table_path(site.root, RAW))[1]))
+        assert set(runs) == {1} if at_most == 1 else max(runs) > 1 and len(runs) == 2
+        assert months == 6
+    assert tables[1] == tables[1 << 30]
+
+
+def test_checks_of_a_table_written_in_parts_add_up(spark, tmp_path):
+    checking = Checking("city_weather", STANDARD_CHECKS["city_weather"], ["A"])
+    rows = spark.createDataFrame([(None, None), ("A", None), ("A", datetime.date(2026, 1, 1))], "city string, date date")
+    for part in range(3):
+        checking.watch(rows).write.parquet(str(tmp_path / str(part)))
+    assert [n for *_, n in checking.found()] == [3, 6]
+
+
+def test_a_stage_leaves_no_shuffle_files(spark, site):
+    """Shuffle files go with their job, not when the driver collects its garbage."""
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        blocks = disk.getAllBlocks().mkString(" ").split()
+        return {b for b in blocks if b.startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffled(), spark.conf.get(setting)
+    rng = random.Random(12)
+    batch = days("A", "2026-01-01", 40, rng) + days("B", "2026-01-20", 40, rng)
+    spark.createDataFrame([(c, 1.0, 2.0) for c in "AB"], "city string, lat double, lon double").write.json(site.series)
+    with settings(spark, STAGE_SETTINGS):
+        write_payloads(pack_daily(table_of(spark, batch)), f"{site.root}/landing")
+    ingest(spark, f"{site.root}/landing", site.series, site.root, "2026-03-01 00:00:00", json_lines=True)
+    train_and_predict(spark, site.root, "2026-03-02 00:00:00")
+    site.build(1, incremental=True)
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:  # they are deleted in the background
+        time.sleep(0.2)
+    assert shuffled() - before == set()
+    assert spark.conf.get(setting) == was
+
+
+def test_stored_files_are_compressed(spark, site):
+    site.land(days("A", "2026-01-01", 40, random.Random(13)))
+    site.build(1, incremental=True)
+    stored = [f for _, _, names in os.walk(site.root) for f in names if f.startswith("part-") and f.endswith(".parquet")]
+    assert stored and all(f.endswith(".zstd.parquet") for f in stored)
+    landed = [f for f in os.listdir(f"{site.root}/landing-1") if f.startswith("part-")]
+    assert landed and all(f.endswith(".json.gz") for f in landed)
+
+
+@pytest.mark.parametrize("strategy", ["timestamp", "check"])
+def test_only_months_of_a_history_are_joined(spark, tmp_path, monkeypatch, strategy):
+    """Months that the history lacks hold new rows alone, so no join is made for them."""
+    rng, path, joined = random.Random(14), str(tmp_path / "history"), []
+    early, late = days("A", "2026-01-05", 40, rng), days("A", "2026-02-01", 60, rng, shift=3.0)
+    write_snapshot(spark, path, table_of(spark, early), "2026-06-01 00:00:00", strategy)
+    original = snapshot_scd2
+
+    def watched(history, current, *args, **how):
+        if history is not None:
+            joined.extend(r.month for r in current.selectExpr("month(date) AS month").distinct().collect())
+        return original(history, current, *args, **how)
+
+    monkeypatch.setattr(release.tables, "snapshot_scd2", watched)
+    now = [r for r in early if r[3].month == 1] + late
+    write_snapshot(spark, path, table_of(spark, now), "2026-06-02 00:00:00", strategy)
+    assert joined == [2]
+    first = original(None, table_of(spark, early), "2026-06-01 00:00:00", strategy)
+    expected = original(first, table_of(spark, now), "2026-06-02 00:00:00", strategy)
+    assert contents(read_history(spark, path)) == contents(expected)
+
+
 def test_incremental_build_reads_touched_months_only(spark, site, monkeypatch):
     rng = random.Random(9)
     site.land(days("A", "2025-11-01", 120, rng))
